@@ -35,7 +35,8 @@ def parse_triple(triple: str) -> dict[str, Column]:
 
 def bucket_label(r, g, b) -> Column:
     """Text form of a joint bucket; its byte order decides between equally frequent colours."""
-    return F.format_string("R %d,G %d,B %d", r, g, b)
+    columns = [F.col(c) if isinstance(c, str) else c for c in (r, g, b)]
+    return F.concat_ws(",", *[F.concat(F.lit(f"{name} "), c.cast("string")) for name, c in zip(CHANNELS, columns)])
 
 
 def parse_bucket_label(label: str) -> dict[str, Column]:

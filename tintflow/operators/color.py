@@ -69,8 +69,9 @@ def weigh(pixels: DataFrame, keys: list[str]) -> DataFrame:
     return pixels.groupBy(*keys, "r", "g", "b").agg(pixel_weight(pixels).alias("weight"))
 
 
-# Slots of an observation: one per channel for the average, one for the joint bucket.
+# An observation is one integer: the slot it belongs to above 24 bits that hold a channel bucket or a joint bucket.
 RED, GREEN, BLUE, JOINT = 0, 1, 2, 3
+SLOT_SHIFT = 24
 
 
 def _observations() -> Column:
@@ -78,11 +79,10 @@ def _observations() -> Column:
     red, green, blue = (bucketize(c, "bucket_size").cast("int") for c in "rgb")
 
     def seen(slot, value):
-        return F.struct(F.lit(slot).cast("tinyint").alias("slot"), value.alias("value"))
+        return value.bitwiseOR(F.lit(slot << SLOT_SHIFT))
 
     joint = F.shiftleft(red, 16).bitwiseOR(F.shiftleft(green, 8)).bitwiseOR(blue)
-    return F.when(F.col("kind") == "average",
-                  F.array(seen(RED, red), seen(GREEN, green), seen(BLUE, blue))
+    return F.when(F.col("kind") == "average", F.array(seen(RED, red), seen(GREEN, green), seen(BLUE, blue))
                   ).otherwise(F.array(seen(JOINT, joint)))
 
 
@@ -101,7 +101,7 @@ def _average(slot: int, rounding: str) -> Column:
 
 
 def colors_of(pixels: DataFrame, *, rounding: str = "truncate") -> DataFrame:
-    """One colour per frame, bucket size and kind, from pixels that carry ``bucket_size`` and ``kind``.
+    """One colour per frame, bucket size and kind, from pixels that carry distinct ``bucket_size`` and ``kind``.
 
     One pass serves both kinds. ``seen`` holds at most 3 x 256 counted buckets per frame. The dominant colour is the most
     frequent joint bucket; of equally frequent ones the greatest label in byte order.
@@ -109,11 +109,14 @@ def colors_of(pixels: DataFrame, *, rounding: str = "truncate") -> DataFrame:
     if rounding not in ROUNDINGS:
         raise ValueError(f"rounding is one of {ROUNDINGS}")
     require(pixels, *FRAME, "r", "g", "b", "bucket_size", "kind")
-    frame = [*FRAME, "bucket_size", "kind"]
     counted = (
         pixels.withColumn("seen", F.explode(_observations()))
-        .groupBy(*frame, "seen.slot", "seen.value").agg(pixel_weight(pixels).alias("cnt"))
+        .groupBy(*FRAME, "bucket_size", "seen").agg(pixel_weight(pixels).alias("cnt"))
+        .select(*FRAME, "bucket_size", "cnt", F.shiftright("seen", SLOT_SHIFT).alias("slot"),
+                F.col("seen").bitwiseAND(F.lit((1 << SLOT_SHIFT) - 1)).alias("value"))
+        .withColumn("kind", F.when(F.col("slot") == JOINT, "dominant").otherwise("average"))
     )
+    frame = [*FRAME, "bucket_size", "kind"]
     red, green, blue = (F.shiftright("value", s).bitwiseAND(F.lit(255)) for s in (16, 8, 0))
     most = F.struct("cnt", bucket_label(red, green, blue).alias("label"), "value")
     per_frame = counted.groupBy(*frame).agg(

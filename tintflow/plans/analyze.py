@@ -11,7 +11,7 @@ from tintflow.operators.history import append_history, last_versions, upsert_fra
 from tintflow.operators.lookup import route_requests
 from tintflow.operators.sampling import DEFAULT_INTERVAL_US, first_stream, sample_frames
 from tintflow.plans.strips import video_strip
-from tintflow.session import staged
+from tintflow.session import join_on_group, staged
 
 ASKED = ["video_key", "bucket_size", "kind"]
 
@@ -36,7 +36,7 @@ def analyze(requests: DataFrame, videos: DataFrame, blocks: DataFrame, events: D
     shown = routed.filter("action = 'show'").select(*ASKED)
 
     open_videos = work.select("video_key").distinct()
-    pictures = events.join(open_videos, "video_key", "left_semi")
+    pictures = join_on_group(events, open_videos, "video_key", ["seq"], "left_semi")
     if first_stream_only:
         pictures = first_stream(pictures)
     frames = sample_frames(pictures, interval_us=interval_us).select(
@@ -44,7 +44,7 @@ def analyze(requests: DataFrame, videos: DataFrame, blocks: DataFrame, events: D
     fresh = colors_of(attach_requests(attach_frames(pixels, frames), work), rounding=rounding)
 
     # The stored side is the large one; equality on the key also keeps a key from matching another it begins.
-    cached = stored.join(shown, ASKED, "left_semi").select(*fresh.columns)
+    cached = join_on_group(stored, shown, ASKED, ["frame_index"], "left_semi").select(*fresh.columns)
     return Analysis(routed, fresh, video_strip(fresh.unionByName(cached)))
 
 

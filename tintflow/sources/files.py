@@ -1,4 +1,7 @@
-"""Stored files as rows: videos as opaque bytes, and directory listings."""
+"""Stored files as rows: videos as opaque bytes, and directory listings.
+
+Spark's file listing leaves out files without bytes and those whose names begin with a dot or an underscore.
+"""
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F

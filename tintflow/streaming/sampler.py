@@ -14,8 +14,8 @@ def sample_frames_stream(events: DataFrame, *, interval_us: int = DEFAULT_INTERV
 
     State per video: the chosen stream, the first picture's time and the number of pictures written. Within a
     micro-batch a video's events are taken in (pts_us, seq) order; a later batch's event that lies
-    before the next deadline is not written. Memory per video is one micro-batch of its events, which the
-    source's ``maxFilesPerTrigger`` / ``maxBytesPerTrigger`` bounds; the state itself is three numbers.
+    before the next deadline is not written. A task holds one video's events of one micro-batch, four numbers each:
+    set the source's ``maxFilesPerTrigger`` or ``maxBytesPerTrigger`` so that a whole micro-batch would fit.
     """
     columns = ["video_key", "stream_index", "pts_us", "seq"]
     key_type = events.schema["video_key"].dataType.simpleString()
@@ -25,15 +25,13 @@ def sample_frames_stream(events: DataFrame, *, interval_us: int = DEFAULT_INTERV
         if state.exists:
             stream, start, written = state.get
         else:
-            stream, start, written = int(rows["stream_index"][rows["seq"].idxmin()]), None, 0
+            first = rows["seq"].idxmin()
+            stream, start, written = int(rows["stream_index"][first]), None, 0
         if first_stream_only:
             rows = rows[rows["stream_index"] == stream]
         rows = rows.sort_values(["pts_us", "seq"])
-        if len(rows) and start is None:
-            start = int(rows["pts_us"].iloc[0])
         if start is None:
-            state.update((stream, None, written))
-            return
+            start = int(rows["pts_us"].iloc[0])
         reached = (rows["pts_us"].to_numpy() - start) // interval_us + 1
         rows, reached = rows[reached > written], reached[reached > written]
         if len(rows):
