@@ -11,7 +11,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from catalog import inputs, registry
-from tintflow.operators.color import attach_requests, colors_of
+from tintflow.operators.color import requested_colors
 
 HEADLINE = ["frame_colors", "video_strip", "sample_frames", "average_color", "dominant_color", "color_strip",
             "pack_containers", "last_versions", "route_requests", "frame_image_scan", "sample_frames_stream", "analyze"]
@@ -23,7 +23,7 @@ def frame_colors_1_40(spark, sf_dir):
     sizes = F.explode(F.array(F.lit(1), F.lit(40)))
     kinds = F.explode(F.array(F.lit("average"), F.lit("dominant")))
     asked = (pixels.select("video_key").distinct().withColumn("bucket_size", sizes).withColumn("kind", kinds))
-    return colors_of(attach_requests(pixels, asked))
+    return requested_colors(pixels, asked)
 
 
 def main():

@@ -7,7 +7,7 @@ from tintflow.functions import colour, naming
 from tintflow.functions.requests import kind_choice, validate_requests
 from tintflow.operators import color, filters, history, lookup, ordering, packing, sampling, strip
 from tintflow.plans.analyze import analyze
-from tintflow.plans.colors import frame_colors
+from tintflow.plans.colors import frame_colors, image_frame_colors
 from tintflow.plans.strips import prefix_scan, video_strip
 from tintflow.session import apply_defaults, new_folder
 from tintflow.sources import files, images, manifests
@@ -180,6 +180,16 @@ def image_pixels(spark, sf_dir):
     return flat.select(F.regexp_extract("path", STRIP_FILE, 1).alias("video_key"), "x", "y", "r", "g", "b")
 
 
+@query(with_(*PIXEL_STRIP, "raster AS (SELECT video_key, CAST(1 AS BIGINT) AS frame_index, rgb >> 16 AS r, "
+             "(rgb >> 8) & 255 AS g, rgb & 255 AS b FROM (SELECT *, unnest(range(height)) FROM scaled))",
+             i.COLOR_REQUESTS, i.asked_colors_sql("raster", "color_asked", "found")) + "SELECT * FROM found")
+def image_colors(spark, sf_dir):
+    """Colours of the exported strips, each taken as a one-frame video."""
+    pictures = exported_images(spark, sf_dir)
+    frames = pictures.select("video_key", F.lit(1).cast("long").alias("frame_index"), "path")
+    return image_frame_colors(frames, pictures.drop("video_key"), i.color_requests(spark, sf_dir))
+
+
 # Scalar functions --------------------------------------------------------------------------------------------------
 
 @query(with_(i.PX) + "SELECT video_key, frame_index, r - r % 40 AS r40, (g // 7) * 7 AS g7, (b // 1) * 1 AS b1 FROM px")
@@ -457,7 +467,7 @@ def last_versions(spark, sf_dir):
 PACKING_CAP = 20_000
 
 
-@query(f"""WITH RECURSIVE d AS (SELECT source AS volume, doc_id AS seq, n_chars AS size,
+PACKED_SQL = f"""WITH RECURSIVE d AS (SELECT source AS volume, doc_id AS seq, n_chars AS size,
     row_number() OVER (PARTITION BY source ORDER BY doc_id) AS n FROM documents),
   p AS (SELECT volume, seq, size, n, CAST(0 AS BIGINT) AS container_id, CAST(0 AS BIGINT) AS byte_offset FROM d WHERE n = 1
     UNION ALL SELECT d.volume, d.seq, d.size, d.n,
@@ -466,11 +476,25 @@ PACKING_CAP = 20_000
       CASE WHEN byte_offset + p.size > 0 AND byte_offset + p.size + d.size > {PACKING_CAP}
         THEN 0 ELSE byte_offset + p.size END
     FROM p JOIN d ON d.volume = p.volume AND d.n = p.n + 1)
-  SELECT volume, seq, size, container_id, byte_offset FROM p""")
+  SELECT volume, seq, size, container_id, byte_offset FROM p"""
+
+
+@query(PACKED_SQL)
 def pack_containers(spark, sf_dir):
     return packing.pack_containers(i.blobs(spark, sf_dir), cap=PACKING_CAP)
 
 
+@query(PACKED_SQL)
+def append_containers(spark, sf_dir):
+    """Packing the later documents onto the earlier ones gives what packing all at once gives."""
+    numbered = ordering.number_rows(i.blobs(spark, sf_dir), ["volume"], ["seq"], total="files")
+    earlier = numbered.filter("2 * row_no <= files").drop("row_no", "files")
+    later = numbered.filter("2 * row_no > files").drop("row_no", "files")
+    first = packing.pack_containers(earlier, cap=PACKING_CAP)
+    second = packing.pack_containers(later, cap=PACKING_CAP, opened=packing.open_containers(first))
+    return first.unionByName(second)
+
+
 @query(with_(i.VIDEO_BLOCKS) + "SELECT * FROM video_blocks QUALIFY row_number() OVER "
        "(PARTITION BY video_key ORDER BY recorded_at DESC, seq DESC) = 1")
 def latest_record(spark, sf_dir):

@@ -93,13 +93,28 @@ def test_requests_choose_videos_sizes_and_kinds(asked):
     assert rows(found.filter("bucket_size = 16 and kind = 'average'")) == rows(one)
 
 
-def test_shuffled_requests_give_the_same(asked, monkeypatch):
+@pytest.mark.parametrize("few", [8, 0])
+def test_many_requests_give_the_same(asked, monkeypatch, few):
+    """Neither choosing among the results nor shuffling counted pixels changes them."""
     pixels, requests = asked
     expected = rows(frame_colors(pixels, requests))
     monkeypatch.setattr(color, "is_small", lambda *_: False)
+    monkeypatch.setattr(color, "FEW_COMBINATIONS", few)
     assert rows(frame_colors(pixels, requests), *color.FRAME, "bucket_size", "kind", "r", "g", "b") == expected
 
 
+def test_pixels_of_frames_broadcast_or_dealt(spark, monkeypatch):
+    rng = random.Random(9)
+    pixels = spark.createDataFrame(
+        [("v", rng.randrange(5), *(rng.choice([0, 99]) for _ in range(3))) for _ in range(200)],
+        "video_key string, seq long, r int, g int, b int")
+    frames = spark.createDataFrame([("v", 1, 1), ("v", 4, 2), ("w", 2, 1)], "video_key string, seq long, frame_index long")
+    expected = rows(color.weigh(color.attach_frames(pixels, frames), color.FRAME))
+    monkeypatch.setattr(color, "is_small", lambda *_: False)
+    dealt = color.weigh(color.attach_frames(pixels, frames), color.FRAME)
+    assert rows(dealt, *color.FRAME, "r", "g", "b", "weight") == expected
+
+
 def test_dealt_join_equals_broadcast_join(spark):
     large = spark.range(500).selectExpr("id % 7 as k", "id")
     small = spark.range(5).selectExpr("id as k", "id * 10 as v")

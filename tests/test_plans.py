@@ -10,7 +10,8 @@ from tintflow.plans.strips import prefix_scan, video_strip
 
 SF = "/root/testdata/sf0.001"
 PYTHON = ("MapInPandas", "FlatMapGroupsInPandas", "ArrowEvalPython", "BatchEvalPython")
-USES_PYTHON = {"strip_png", "frame_image_scan", "image_pixels", "pack_containers", "sample_frames_stream"}
+USES_PYTHON = {"strip_png", "frame_image_scan", "image_pixels", "image_colors",
+               "pack_containers", "append_containers", "sample_frames_stream"}
 
 
 @pytest.mark.parametrize("name", sorted(set(registered.queries()) - USES_PYTHON))
@@ -21,7 +22,7 @@ def test_no_python_in_the_plan(spark, name):
 
 
 def test_buckets_are_counted_before_the_shuffle(spark):
-    text = plan(color.colors_of(color.attach_requests(inputs.pixels(spark, SF), inputs.color_requests(spark, SF))))
+    text = plan(color.requested_colors(inputs.pixels(spark, SF), inputs.color_requests(spark, SF)))
     lines = [line.strip(" +-:") for line in text.split("\n")]
     shuffle = max(k for k, line in enumerate(lines) if line.startswith("Exchange hashpartitioning") and "seen" in line
                   or "_groupingexpression" in line and line.startswith("Exchange"))

@@ -141,22 +141,36 @@ def dominant_color(pixels: DataFrame, bucket_size: int) -> DataFrame:
     return colors_of(asked)
 
 
-def attach_requests(pixels: DataFrame, requests: DataFrame, *, small: bool | None = None) -> DataFrame:
-    """Pixels of requested videos, once per (bucket size, kind) asked of their video.
+# Distinct (bucket size, kind) pairs up to which all of them are computed for every frame.
+FEW_COMBINATIONS = 8
 
-    Few requests are broadcast to the pixels. Otherwise equal pixels of a frame are counted first, and
-    the counted rows are shuffled to the requests, a hot video over many partitions.
-    """
-    wanted = requests.select("video_key", "bucket_size", "kind").distinct()
-    if is_small(wanted) if small is None else small:
-        return pixels.join(F.broadcast(wanted), "video_key")
-    return join_on_group(weigh(pixels, FRAME), wanted, "video_key", [*FRAME, "r", "g", "b"], small=False)
 
+def requested_colors(pixels: DataFrame, requests: DataFrame, *, rounding: str = "truncate") -> DataFrame:
+    """Colours of the requested videos' frames, for each (bucket size, kind) asked of their video.
 
-def attach_frames(pixels: DataFrame, frames: DataFrame, *, small: bool | None = None) -> DataFrame:
+    Few requests are broadcast to the pixels. With many requests but few distinct pairs, each frame gets the
+    colour of every pair, and the requests choose among the results, which are far smaller than the pixels.
+    Otherwise equal pixels of a frame are counted, and the counted rows shuffled to the requests.
+    """
+    asked = ["video_key", "bucket_size", "kind"]
+    wanted = requests.select(*asked).distinct()
+    if is_small(wanted):
+        return colors_of(pixels.join(F.broadcast(wanted), "video_key"), rounding=rounding)
+    # At most 510 rows: 255 bucket sizes of two kinds.
+    pairs = wanted.select("bucket_size", "kind").distinct().collect()
+    if len(pairs) <= FEW_COMBINATIONS:
+        each = F.explode(F.array(*[F.struct(F.lit(size).alias("bucket_size"), F.lit(kind).alias("kind"))
+                                   for size, kind in pairs]))
+        every = colors_of(pixels.withColumn("_pair", each).select("*", "_pair.*"), rounding=rounding)
+        return join_on_group(every, wanted, asked, ["frame_index"], "left_semi", small=False)
+    spread = join_on_group(weigh(pixels, FRAME), wanted, "video_key", [*FRAME, "r", "g", "b"], small=False)
+    return colors_of(spread, rounding=rounding)
+
+
+def attach_frames(pixels: DataFrame, frames: DataFrame) -> DataFrame:
     """Pixels of picture events (video_key, seq) that became frames, with their frame index."""
     event = ["video_key", "seq"]
     places = frames.select(*event, "frame_index")
-    if is_small(places) if small is None else small:
+    if is_small(places):
         return pixels.join(F.broadcast(places), event).drop("seq")
     return join_on_group(weigh(pixels, event), places, event, ["r", "g", "b"], salts=8, small=False).drop("seq")

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tintflow.operators.ordering import CHUNK, across_chunks, cut_into_chunks
+from tintflow.session import join_on_group
 
 # Container limit in bytes (fixed value).
 CONTAINER_CAP = 10_000_000_000
@@ -83,14 +84,29 @@ def _place(sizes: np.ndarray, cap: int, container: int, fill: int) -> tuple[np.n
         at, upto, container, fill = upto, following[upto], container + 1, 0
 
 
-def pack_containers(files: DataFrame, *, cap: int = CONTAINER_CAP, compat: bool = False,
-                    chunks: int | None = None) -> DataFrame:
+def open_containers(placed: DataFrame) -> DataFrame:
+    """The container each volume appends to next, and the bytes in it, from the files placed so far."""
+    filled = placed.groupBy("volume", "container_id").agg(F.sum("size").alias("fill"))
+    return (filled.groupBy("volume").agg(F.max(F.struct("container_id", "fill")).alias("_last"))
+            .select("volume", "_last.*"))
+
+
+def pack_containers(files: DataFrame, *, cap: int = CONTAINER_CAP, opened: DataFrame | None = None,
+                    compat: bool = False, chunks: int | None = None) -> DataFrame:
     """Container and byte offset of every file (volume, seq, size, ...) in order of ``seq``.
 
-    ``compat`` reports the offset of an appended file one byte higher.
+    Appending starts at the ``opened`` containers (volume, container_id, fill); a volume without one starts at
+    container 0. ``compat`` reports the offset of an appended file one byte higher.
     """
     keys = ["volume"]
-    chunked = cut_into_chunks(files.withColumn("size", F.col("size").cast("long")), keys, ["seq"], chunks)
+    sized = files.withColumn("size", F.col("size").cast("long"))
+    if opened is None:
+        started = sized.withColumn("_container", F.lit(0).cast("long")).withColumn("_fill", F.lit(0).cast("long"))
+    else:
+        started = join_on_group(
+            sized, opened.select("volume", F.col("container_id").alias("_container"), F.col("fill").alias("_fill")),
+            "volume", ["seq"], "left").na.fill(0, ["_container", "_fill"])
+    chunked = cut_into_chunks(started, keys, ["seq"], chunks)
     chunk_keys = ["volume", CHUNK]
     volume, number = chunked.schema["volume"], chunked.schema[CHUNK]
 
@@ -98,23 +114,25 @@ def pack_containers(files: DataFrame, *, cap: int = CONTAINER_CAP, compat: bool
         found = _steps(rows.sort_values("seq")["size"].to_numpy(), cap)
         found.insert(0, "volume", key[0])
         found.insert(1, CHUNK, key[1])
-        return found
+        return found.assign(_container=rows["_container"].iloc[0], _fill=rows["_fill"].iloc[0])
 
     def chain(key, found):
-        container, fill, states = 0, 0, []
+        container, fill, states = int(found["_container"].iloc[0]), int(found["_fill"].iloc[0]), []
         for chunk, step in found.sort_values([CHUNK, "above"]).groupby(CHUNK, sort=True):
             states.append((key[0], chunk, container, fill))
             taken = step.iloc[max(int(np.searchsorted(step["above"].to_numpy(), fill, side="left")) - 1, 0)]
             container += int(taken["opened"])
             fill = int(taken["fill"]) + (fill if taken["keeps"] else 0)
-        return pd.DataFrame(states, columns=["volume", CHUNK, "_container", "_fill"])
+        return pd.DataFrame(states, columns=["volume", CHUNK, "_carried", "_carried_fill"])
 
     head = f"volume {volume.dataType.simpleString()}, {CHUNK} {number.dataType.simpleString()}"
     split = across_chunks(chunked, keys, F.count("*").alias("_files")).drop("_files")
     states = (
-        chunked.join(F.broadcast(split), chunk_keys, "left_semi").select(*chunk_keys, "seq", "size")
-        .groupBy(*chunk_keys).applyInPandas(steps, f"{head}, above long, opened long, fill long, keeps boolean")
-        .groupBy("volume").applyInPandas(chain, f"{head}, _container long, _fill long")
+        chunked.join(F.broadcast(split), chunk_keys, "left_semi").select(
+            *chunk_keys, "seq", "size", "_container", "_fill")
+        .groupBy(*chunk_keys).applyInPandas(
+            steps, f"{head}, above long, opened long, fill long, keeps boolean, _container long, _fill long")
+        .groupBy("volume").applyInPandas(chain, f"{head}, _carried long, _carried_fill long")
     )
 
     placed_columns = [*files.columns, "container_id", "byte_offset"]
@@ -125,9 +143,11 @@ def pack_containers(files: DataFrame, *, cap: int = CONTAINER_CAP, compat: bool
             rows["size"].to_numpy(), cap, int(rows["_container"].iloc[0]), int(rows["_fill"].iloc[0]))
         return rows[placed_columns]
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in chunked.schema if f.name != CHUNK)
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in sized.schema)
     placed = (
-        chunked.join(F.broadcast(states), chunk_keys, "left").na.fill(0, ["_container", "_fill"])
+        chunked.join(F.broadcast(states), chunk_keys, "left")
+        .withColumn("_container", F.coalesce("_carried", "_container"))
+        .withColumn("_fill", F.coalesce("_carried_fill", "_fill"))
         .groupBy(*chunk_keys).applyInPandas(place, f"{fields}, container_id long, byte_offset long")
     )
     if compat:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tintflow.functions.requests import accepted
-from tintflow.operators.color import attach_frames, attach_requests, colors_of
+from tintflow.operators.color import attach_frames, requested_colors
 from tintflow.operators.history import append_history, last_versions, upsert_frame_colors
 from tintflow.operators.lookup import route_requests
 from tintflow.operators.sampling import DEFAULT_INTERVAL_US, first_stream, sample_frames
@@ -41,7 +41,7 @@ def analyze(requests: DataFrame, videos: DataFrame, blocks: DataFrame, events: D
         pictures = first_stream(pictures)
     frames = sample_frames(pictures, interval_us=interval_us).select(
         "video_key", "seq", (F.col("frame_no") + 1).alias("frame_index"))
-    fresh = colors_of(attach_requests(attach_frames(pixels, frames), work), rounding=rounding)
+    fresh = requested_colors(attach_frames(pixels, frames), work, rounding=rounding)
 
     # The stored side is the large one; equality on the key also keeps a key from matching another it begins.
     cached = join_on_group(stored, shown, ASKED, ["frame_index"], "left_semi").select(*fresh.columns)
