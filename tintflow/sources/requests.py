@@ -1,6 +1,6 @@
 """Analysis requests stored as short text files with one field per line."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 LINE_BREAK = "\r\n|\n|\r"
@@ -15,9 +15,16 @@ LAYOUTS = {
 }
 
 
+def lines_of(text: Column) -> Column:
+    """The lines of a text; a line break at its end opens no further line."""
+    ending = F.when(text.endswith("\r\n"), 2).when(text.endswith("\n") | text.endswith("\r"), 1).otherwise(0)
+    whole = F.left(text, F.length(text) - ending)
+    return F.when(text.contains("\r"), F.split(whole, LINE_BREAK)).otherwise(F.split(whole, "\n"))
+
+
 def parse_requests(texts: DataFrame, layout: str = "form", *, text: str = "value") -> DataFrame:
     """The lines of each text as named columns; a line that is not there is null."""
-    lines = F.split(text, LINE_BREAK)
+    lines = lines_of(F.col(text))
     fields = [F.get(lines, F.lit(i)).alias(name) for i, name in enumerate(LAYOUTS[layout])]
     return texts.select(*[c for c in texts.columns if c != text], *fields)
 
