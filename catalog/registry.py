@@ -8,7 +8,9 @@ from tintflow.functions.requests import kind_choice, validate_requests
 from tintflow.operators import color, filters, history, lookup, ordering, packing, sampling, strip
 from tintflow.plans.analyze import analyze
 from tintflow.plans.colors import frame_colors, image_frame_colors
+from tintflow.plans.ingest import ingest
 from tintflow.plans.strips import prefix_scan, video_strip
+from tintflow.schemas import VIDEO_METADATA
 from tintflow.session import apply_defaults, new_folder
 from tintflow.sources import files, images, manifests
 from tintflow.sources import requests as request_files
@@ -506,6 +508,31 @@ def ordered_frames(spark, sf_dir):
     return ordering.ordered_frames(i.stored_colors(spark, sf_dir))
 
 
+INGEST_CAP = 100_000
+
+
+@query(f"""WITH RECURSIVE d AS (SELECT 'http://' || source || '/' || doc_id || '.ogg' AS video_key, doc_id || '.ogg' AS name,
+    n_chars AS size, row_number() OVER (ORDER BY doc_id) AS n FROM documents),
+  p AS (SELECT *, CAST(0 AS BIGINT) AS container, CAST(0 AS BIGINT) AS byte_offset FROM d WHERE n = 1
+    UNION ALL SELECT d.*,
+      CASE WHEN byte_offset + p.size > 0 AND byte_offset + p.size + d.size > {INGEST_CAP}
+        THEN container + 1 ELSE container END,
+      CASE WHEN byte_offset + p.size > 0 AND byte_offset + p.size + d.size > {INGEST_CAP}
+        THEN 0 ELSE byte_offset + p.size END
+    FROM p JOIN d ON d.n = p.n + 1)
+  SELECT video_key, name, video_key AS hyperlink, 'videos/video_' || container || '.mp4' AS path, byte_offset,
+    size AS filesize FROM p""")
+def ingest_videos(spark, sf_dir):
+    """The documents as stored videos: the earlier half, then all of them, of which only the later half is new."""
+    videos = i.table(spark, sf_dir, "documents").selectExpr(
+        "concat('http://', source, '/', doc_id, '.ogg') as video_key", "concat(doc_id, '.ogg') as name",
+        "n_chars as size", "timestamp_seconds(doc_id) as recorded_at")
+    halves = ordering.number_rows(videos.withColumn("volume", F.lit("videos")), ["volume"], ["recorded_at"], total="files")
+    earlier = halves.filter("2 * row_no <= files").select(videos.columns)
+    first = ingest(earlier, spark.createDataFrame([], VIDEO_METADATA), cap=INGEST_CAP)
+    return first.unionByName(ingest(videos, first, cap=INGEST_CAP)).drop("recorded_at", "seq")
+
+
 # Strips ------------------------------------------------------------------------------------------------------------
 
 def incomplete_strip(spark, sf_dir):

@@ -11,7 +11,7 @@ from tintflow.plans.strips import prefix_scan, video_strip
 SF = "/root/testdata/sf0.001"
 PYTHON = ("MapInPandas", "FlatMapGroupsInPandas", "ArrowEvalPython", "BatchEvalPython")
 USES_PYTHON = {"strip_png", "frame_image_scan", "image_pixels", "image_colors",
-               "pack_containers", "append_containers", "sample_frames_stream"}
+               "pack_containers", "append_containers", "ingest_videos", "sample_frames_stream"}
 
 
 @pytest.mark.parametrize("name", sorted(set(registered.queries()) - USES_PYTHON))
