@@ -3,9 +3,13 @@
 Files of a volume are appended in arrival order; one that would lift a non-empty container above the cap opens the next. Each
 placement depends on all earlier ones, but only through the bytes in the open container. A chunk of consecutive
 files is therefore a step function of that fill: how many containers it opens and how full the last one is
-afterwards. The functions of all chunks are computed in parallel, chained per volume, and the chunks then placed in
-parallel. Only files within the first ``cap`` bytes of a chunk can be the first to open a container, so a
-step function has at most that many steps, and neighbouring steps with the same outcome are merged.
+afterwards. The steps of many chunks are computed in parallel, the chunks of a volume are chained through them, and then
+all chunks are placed in parallel.
+
+The chain holds a bounded number of steps. Only a file within the first ``cap`` bytes of a chunk can be the first to open a
+container. Where chunks are smaller than the cap, the possible fills are narrow: their bounds follow from the
+bytes of the chunks passed, and widen by one file's size per container. Only steps within the bounds are asked for,
+for as many chunks as the budget allows, and the next round starts from the exact fill reached.
 """
 
 import numpy as np
@@ -18,6 +22,8 @@ from tintflow.session import join_on_group
 
 # Container limit in bytes (fixed value).
 CONTAINER_CAP = 10_000_000_000
+# Steps chained at once, over all volumes.
+STEP_BUDGET = 4_000_000
 
 
 def _openings(ends: np.ndarray, cap: int) -> np.ndarray:
@@ -33,11 +39,11 @@ def _first_opening(ends: np.ndarray, cap: int, fill: int) -> int:
     return max(int(np.searchsorted(ends, cap - fill, side="right")) - 1, 0)
 
 
-def _steps(sizes: np.ndarray, cap: int) -> pd.DataFrame:
+def _steps(sizes: np.ndarray, cap: int, low: int, high: int) -> pd.DataFrame:
     """The chunk as steps: for a fill above ``above``, containers opened and the fill they leave.
 
     ``keeps`` marks the step that opens nothing and adds ``fill`` to what was there. The step above -1 is for
-    an empty container.
+    an empty container. Only steps that a fill of ``low`` to ``high`` can meet are returned.
     """
     files = len(sizes)
     ends = np.concatenate([[0], np.cumsum(sizes)])
@@ -53,21 +59,38 @@ def _steps(sizes: np.ndarray, cap: int) -> pd.DataFrame:
 
     firsts = np.flatnonzero(ends[:-1] < cap)
     above = np.maximum(cap - ends[firsts + 1], 0)
-    reach = cap - ends[firsts]
-    # A file of no bytes cannot be the first above the cap, except after a container that is already above it.
-    reach[firsts == 0] = np.iinfo(np.int64).max
-    used = reach > above
-    rows = [(-1, int(opened[0]), int(left[0]), False)]
+    upto = cap - ends[firsts]
+    # The first file also opens a container for any fill above the cap, however large one file has made it.
+    upto[firsts == 0] = np.iinfo(np.int64).max
+    # A file of no bytes cannot be the first above the cap: no fill lies between its bounds.
+    met = firsts[(upto > above) & (above < high) & (upto >= low)][::-1]
+    rows = [(-1, int(opened[0]), int(left[0]), False)] if low <= 0 else []
     if ends[-1] < cap:
         rows.append((0, 0, int(ends[-1]), True))
-    for low, j in sorted(zip(above[used].tolist(), firsts[used].tolist())):
-        step = (low, int(opened[j]) + 1, int(left[j]), False)
-        if rows[-1][0] >= 0 and rows[-1][1:] == step[1:]:
-            continue
-        rows.append(step)
+    for j in met:
+        step = (max(int(cap - ends[j + 1]), 0), int(opened[j]) + 1, int(left[j]), False)
+        if not rows or rows[-1][0] < 0 or rows[-1][1:] != step[1:]:
+            rows.append(step)
     return pd.DataFrame(rows, columns=["above", "opened", "fill", "keeps"])
 
 
+def _fills_after(chunk, low: int, high: int, cap: int) -> tuple[int, int]:
+    """Bounds of the fill a chunk leaves, given bounds of the fill it meets."""
+    if high + chunk.bytes <= cap:
+        return low + chunk.bytes, high + chunk.bytes
+    if chunk.bytes <= cap < low + chunk.bytes:  # exactly one container is opened
+        over = chunk.bytes - cap
+        return min(low, cap) + over, min(chunk.bytes, high + over + chunk.largest)
+    return 0, max(cap, chunk.largest)
+
+
+def _expected_steps(chunk, low: int, high: int, cap: int) -> int:
+    if high + chunk.bytes <= cap:
+        return 0
+    share = (min(high, cap) - low + chunk.largest + 1) / max(chunk.bytes, 1)
+    return int(chunk.files * min(share, 1)) + 1
+
+
 def _place(sizes: np.ndarray, cap: int, container: int, fill: int) -> tuple[np.ndarray, np.ndarray]:
     """Container number and byte offset of every file of a chunk, given the open container and its fill."""
     files = len(sizes)
@@ -84,6 +107,63 @@ def _place(sizes: np.ndarray, cap: int, container: int, fill: int) -> tuple[np.n
         at, upto, container, fill = upto, following[upto], container + 1, 0
 
 
+def _entered(chunked: DataFrame, cap: int, budget: int) -> DataFrame:
+    """Container and fill that each chunk meets, for volumes lying in more than one chunk."""
+    keys = ["volume", CHUNK]
+    spark, fields = chunked.sparkSession, [chunked.schema[k] for k in keys]
+    # At most two rows per chunk, see ``across_chunks``.
+    pieces = across_chunks(
+        chunked, ["volume"], F.count("*").alias("files"), F.sum("size").alias("bytes"),
+        F.max("size").alias("largest"), F.first("_container").alias("container"), F.first("_fill").alias("fill"),
+    ).withColumnRenamed(CHUNK, "number").toPandas().sort_values(["volume", "number"])
+    ahead = {volume: list(group.itertuples()) for volume, group in pieces.groupby("volume")}
+    reached = {volume: (int(queue[0].container), int(queue[0].fill)) for volume, queue in ahead.items()}
+    head = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in fields)
+
+    def steps(key, rows):
+        low, high = int(rows["_low"].iloc[0]), int(rows["_high"].iloc[0])
+        found = _steps(rows.sort_values("seq")["size"].to_numpy(), cap, low, high)
+        found.insert(0, "volume", key[0])
+        found.insert(1, CHUNK, key[1])
+        return found
+
+    states = []
+    while ahead:
+        passed, asked = [], []
+        for volume, queue in ahead.items():
+            low = high = reached[volume][1]
+            left = budget // len(ahead)
+            for piece in queue:
+                cost = _expected_steps(piece, low, high, cap)
+                if cost > left and piece is not queue[0]:
+                    break
+                left -= cost
+                passed.append(piece)
+                if cost:
+                    asked.append((volume, int(piece.number), int(low), int(high)))
+                low, high = _fills_after(piece, low, high, cap)
+        window = spark.createDataFrame(asked, f"{head}, _low long, _high long")
+        found = (
+            chunked.select(*keys, "seq", "size").join(F.broadcast(window), keys).groupBy(*keys)
+            .applyInPandas(steps, f"{head}, above long, opened long, fill long, keeps boolean").toPandas()
+            .sort_values([*keys, "above"])
+        ) if asked else pd.DataFrame(columns=keys)
+        tables = {key: table for key, table in found.groupby(keys)}
+        for piece in passed:
+            container, fill = reached[piece.volume]
+            states.append((piece.volume, int(piece.number), container, fill))
+            ahead[piece.volume].pop(0)
+            table = tables.get((piece.volume, piece.number))
+            if table is None:
+                reached[piece.volume] = container, fill + int(piece.bytes)
+                continue
+            step = table.iloc[max(int(np.searchsorted(table["above"].to_numpy(), fill, side="left")) - 1, 0)]
+            reached[piece.volume] = (container + int(step["opened"]),
+                                     int(step["fill"]) + (fill if step["keeps"] else 0))
+        ahead = {volume: queue for volume, queue in ahead.items() if queue}
+    return spark.createDataFrame(states, f"{head}, _carried long, _carried_fill long")
+
+
 def open_containers(placed: DataFrame) -> DataFrame:
     """The container each volume appends to next, and the bytes in it, from the files placed so far."""
     filled = placed.groupBy("volume", "container_id").agg(F.sum("size").alias("fill"))
@@ -92,11 +172,12 @@ def open_containers(placed: DataFrame) -> DataFrame:
 
 
 def pack_containers(files: DataFrame, *, cap: int = CONTAINER_CAP, opened: DataFrame | None = None,
-                    compat: bool = False, chunks: int | None = None) -> DataFrame:
+                    compat: bool = False, chunks: int | None = None, budget: int = STEP_BUDGET) -> DataFrame:
     """Container and byte offset of every file (volume, seq, size, ...) in order of ``seq``.
 
     Appending starts at the ``opened`` containers (volume, container_id, fill); a volume without one starts at
-    container 0. ``compat`` reports the offset of an appended file one byte higher.
+    container 0. ``compat`` reports the offset of an appended file one byte higher. ``budget`` is about how many steps
+    are chained at once.
     """
     keys = ["volume"]
     sized = files.withColumn("size", F.col("size").cast("long"))
@@ -108,33 +189,7 @@ def pack_containers(files: DataFrame, *, cap: int = CONTAINER_CAP, opened: DataF
             "volume", ["seq"], "left").na.fill(0, ["_container", "_fill"])
     chunked = cut_into_chunks(started, keys, ["seq"], chunks)
     chunk_keys = ["volume", CHUNK]
-    volume, number = chunked.schema["volume"], chunked.schema[CHUNK]
-
-    def steps(key, rows):
-        found = _steps(rows.sort_values("seq")["size"].to_numpy(), cap)
-        found.insert(0, "volume", key[0])
-        found.insert(1, CHUNK, key[1])
-        return found.assign(_container=rows["_container"].iloc[0], _fill=rows["_fill"].iloc[0])
-
-    def chain(key, found):
-        container, fill, states = int(found["_container"].iloc[0]), int(found["_fill"].iloc[0]), []
-        for chunk, step in found.sort_values([CHUNK, "above"]).groupby(CHUNK, sort=True):
-            states.append((key[0], chunk, container, fill))
-            taken = step.iloc[max(int(np.searchsorted(step["above"].to_numpy(), fill, side="left")) - 1, 0)]
-            container += int(taken["opened"])
-            fill = int(taken["fill"]) + (fill if taken["keeps"] else 0)
-        return pd.DataFrame(states, columns=["volume", CHUNK, "_carried", "_carried_fill"])
-
-    head = f"volume {volume.dataType.simpleString()}, {CHUNK} {number.dataType.simpleString()}"
-    split = across_chunks(chunked, keys, F.count("*").alias("_files")).drop("_files")
-    states = (
-        chunked.join(F.broadcast(split), chunk_keys, "left_semi").select(
-            *chunk_keys, "seq", "size", "_container", "_fill")
-        .groupBy(*chunk_keys).applyInPandas(
-            steps, f"{head}, above long, opened long, fill long, keeps boolean, _container long, _fill long")
-        .groupBy("volume").applyInPandas(chain, f"{head}, _carried long, _carried_fill long")
-    )
-
+    states = _entered(chunked, cap, budget)
     placed_columns = [*files.columns, "container_id", "byte_offset"]
 
     def place(rows):
