@@ -447,7 +447,7 @@ def sample_frames_stream(spark, sf_dir):
     events = arriving.selectExpr(
         "user_id as video_key", "cast(event_id % 3 as int) as stream_index",
         "unix_micros(cast(ts as timestamp)) as pts_us", "event_id as seq")
-    written = (sampler.sample_frames_stream(events, interval_us=i.HOURS_6).writeStream
+    written = (sampler.sample_frames_stream(events, interval_us=i.HOURS_6, first_stream_only=False).writeStream
                .outputMode("append").option("checkpointLocation", state).trigger(availableNow=True)
                .format("parquet").start(out))
     written.awaitTermination()
@@ -593,7 +593,8 @@ def video_strip_(spark, sf_dir):
 @query(with_(i.REQUESTS, i.ACCEPTED, i.VIDEO_BLOCKS, i.KEPT_BLOCKS, i.FRAME_EVENTS, i.EVENT_PIXELS, i.CACHED_COLORS,
              f"routed AS (SELECT r.*, {ROUTE} FROM accepted r)",
              "work AS (SELECT video_key, bucket_size, kind FROM routed WHERE action <> 'show')",
-             "open_events AS (SELECT * FROM frame_events WHERE video_key IN (SELECT video_key FROM work))",
+             "open_events AS (SELECT * FROM frame_events WHERE video_key IN (SELECT video_key FROM work) "
+             "QUALIFY stream_index = first_value(stream_index) OVER (PARTITION BY video_key ORDER BY seq))",
              i.sampled_sql("open_events"),
              "frame_px AS (SELECT p.video_key, s.frame_no + 1 AS frame_index, r, g, b FROM event_pixels p "
              "JOIN sampled s ON p.video_key = s.video_key AND p.seq = s.seq)",

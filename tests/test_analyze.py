@@ -28,7 +28,7 @@ def tables(spark):
 
 
 def test_routes_and_results(tables):
-    done = analyze(**tables, first_stream_only=True)
+    done = analyze(**tables)
     assert rows(done.routed) == [("known", 40, "dominant", "analyze"), ("new", 10, "average", "ingest"),
                                  ("seen", 40, "average", "show")]
     assert rows(done.fresh.filter("video_key = 'known'"), "frame_index", "r", "g", "b") == [
@@ -39,13 +39,13 @@ def test_routes_and_results(tables):
 
 
 def test_forced_analysis_replaces_stored_colors(tables):
-    done = analyze(**tables, force=True, first_stream_only=True)
+    done = analyze(**tables, force=True)
     assert rows(done.routed, "video_key", "action") == [("known", "analyze"), ("new", "ingest"), ("seen", "analyze")]
     assert rows(done.strips.groupBy("video_key", "width").count()) == [
         ("known", 800, 800), ("new", 800, 800), ("seen", 800, 800)]
 
 
 def test_all_streams(tables):
-    done = analyze(**tables)
+    done = analyze(**tables, first_stream_only=False)
     # Two pictures at each time: the first closes the open deadline, the second comes before the next one.
     assert done.fresh.filter("video_key = 'known'").count() == 4

@@ -81,7 +81,7 @@ def test_stream_equals_the_batch(spark):
     rng = random.Random(3)
     clips = [clip(rng, f"v{n}", 120, 1000) for n in range(6)]
     cut = [[e for c in clips for e in c[:70]], [e for c in clips for e in c[70:]]]
-    found = run_stream(spark, arrivals(spark, cut), interval_us=1000)
+    found = run_stream(spark, arrivals(spark, cut), interval_us=1000, first_stream_only=False)
     expected = [(c[0][0], seq, no) for c in clips for seq, no in sampled(c, 1000)]
     assert rows(found, "video_key", "seq", "frame_no") == sorted(expected, key=repr)
 
@@ -89,12 +89,12 @@ def test_stream_equals_the_batch(spark):
 def test_late_events_and_second_stream(spark):
     cut = [[("v", 1, 1000, 0), ("v", 0, 1001, 1), ("v", 1, 4000, 2)],
            [("v", 1, 1500, 3), ("v", 1, 4100, 4), ("v", 0, 9000, 5), ("v", 1, 4200, 6), ("w", 0, 7, 7)]]
-    found = run_stream(spark, arrivals(spark, cut), interval_us=1000, first_stream_only=True)
+    found = run_stream(spark, arrivals(spark, cut), interval_us=1000)
     # Deadlines of v: 1000, 2000, 3000, 4000; the event at 1500 comes late and lies before the open one.
     assert rows(found, "video_key", "seq") == [("v", 0), ("v", 2), ("v", 4), ("v", 6), ("w", 7)]
 
 
 def test_stream_may_start_with_another_streams_events(spark):
     cut = [[("v", 1, 50, 1)], [("v", 0, 60, 2), ("v", 1, 1100, 3)]]
-    found = run_stream(spark, arrivals(spark, cut), interval_us=1000, first_stream_only=True)
+    found = run_stream(spark, arrivals(spark, cut), interval_us=1000)
     assert rows(found, "seq", "frame_no") == [(1, 0), (3, 1)]

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tintflow.functions.colour import bucket_label, bucketize
 from tintflow.schemas import require
-from tintflow.session import is_small, join_on_group
+from tintflow.session import is_small, join_on_group, staged
 
 FRAME = ["video_key", "frame_index"]
 ROUNDINGS = ("truncate", "exact")
@@ -170,7 +170,7 @@ def requested_colors(pixels: DataFrame, requests: DataFrame, *, rounding: str =
 def attach_frames(pixels: DataFrame, frames: DataFrame) -> DataFrame:
     """Pixels of picture events (video_key, seq) that became frames, with their frame index."""
     event = ["video_key", "seq"]
-    places = frames.select(*event, "frame_index")
+    places = staged(frames.select(*event, "frame_index"))
     if is_small(places):
         return pixels.join(F.broadcast(places), event).drop("seq")
     return join_on_group(weigh(pixels, event), places, event, ["r", "g", "b"], salts=8, small=False).drop("seq")

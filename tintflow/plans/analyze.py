@@ -23,7 +23,7 @@ class Analysis(NamedTuple):
 
 
 def analyze(requests: DataFrame, videos: DataFrame, blocks: DataFrame, events: DataFrame, pixels: DataFrame,
-            stored: DataFrame, *, interval_us: int = DEFAULT_INTERVAL_US, first_stream_only: bool = False,
+            stored: DataFrame, *, interval_us: int = DEFAULT_INTERVAL_US, first_stream_only: bool = True,
             rounding: str = "truncate", force: bool = False) -> Analysis:
     """Route the requests, sample and colour what has no result yet, and draw the strips of all of them.
 

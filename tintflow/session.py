@@ -54,10 +54,14 @@ def join_on_group(rows: DataFrame, per_group: DataFrame, key: str | list[str], s
                   how: str = "inner", salts: int = 64, small: bool | None = None) -> DataFrame:
     """Join a large table with few rows per ``key`` value where one key may hold much of the large table.
 
-    The small side is broadcast after its rows were counted (here, or by a caller passing ``small``). Otherwise the large side of each key is dealt
-    over ``salts`` partitions and the other side repeated for each of them.
+    The small side is broadcast after its rows were counted (by a caller passing ``small``, or here, staged
+    first so that what it was computed from is read once). Otherwise the large side of each key is dealt over
+    ``salts`` partitions and the other side repeated for each of them.
     """
-    if is_small(per_group) if small is None else small:
+    if small is None:
+        per_group = staged(per_group)
+        small = is_small(per_group)
+    if small:
         return rows.join(F.broadcast(per_group), key, how)
     keys = [key] if isinstance(key, str) else key
     dealt = rows.withColumn("_salt", F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int"))

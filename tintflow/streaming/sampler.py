@@ -9,7 +9,7 @@ from tintflow.operators.sampling import DEFAULT_INTERVAL_US
 
 
 def sample_frames_stream(events: DataFrame, *, interval_us: int = DEFAULT_INTERVAL_US,
-                         first_stream_only: bool = False) -> DataFrame:
+                         first_stream_only: bool = True) -> DataFrame:
     """Written pictures of a stream of (video_key, stream_index, pts_us, seq), in append mode.
 
     State per video: the chosen stream, the first picture's time and the number of pictures written. Within a
