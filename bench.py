@@ -31,7 +31,8 @@ def main():
     cpus = os.environ.get("BENCH_CPUS", "8")
     spark = (SparkSession.builder.master(f"local[{cpus}]").appName("bench")
              .config("spark.sql.shuffle.partitions", cpus).config("spark.ui.enabled", "false")
-             .config("spark.driver.memory", "8g").config("spark.sql.session.timeZone", "UTC").getOrCreate())
+             .config("spark.driver.memory", "8g")
+             .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true").config("spark.sql.session.timeZone", "UTC").getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
 
     def run(query):

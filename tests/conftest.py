@@ -9,9 +9,10 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 @pytest.fixture(scope="session")
 def spark():
     from pyspark.sql import SparkSession
-    built = (SparkSession.builder.master("local[4]").config("spark.sql.shuffle.partitions", "4")
+    built = (SparkSession.builder.master("local[4]").config("spark.sql.shuffle.partitions", "3")
              .config("spark.ui.enabled", "false").config("spark.sql.session.timeZone", "UTC")
-             .config("spark.driver.memory", "4g").getOrCreate())
+             .config("spark.driver.memory", "4g")
+             .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true").getOrCreate())
     built.sparkContext.setLogLevel("ERROR")
     yield built
     built.stop()

@@ -12,7 +12,7 @@ from tintflow.operators.ordering import CHUNK, across_chunks, cut_into_chunks, f
 def lopsided(spark):
     """One group holds most rows, so that it lies in many chunks."""
     rng = random.Random(7)
-    data = [("hot", n) for n in range(900)] + [(f"g{n % 40}", n) for n in range(300)]
+    data = [("hot", n) for n in range(900)] + [(f"g{n % 40}", n) for n in range(300)] + [(None, n) for n in range(200)]
     rng.shuffle(data)
     return spark.createDataFrame(data, "g string, n long")
 

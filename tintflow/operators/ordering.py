@@ -32,6 +32,13 @@ def across_chunks(chunked: DataFrame, keys: list[str], *measures: Column) -> Dat
     )
 
 
+def with_carried(rows: DataFrame, carried: DataFrame, keys: list[str]) -> DataFrame:
+    """Give each row what its group carries into its chunk, if anything; rows without a group form one group."""
+    place = {name: f"_of_{name}" for name in [*keys, CHUNK]}
+    same = [F.col(name).eqNullSafe(F.col(other)) for name, other in place.items()]
+    return rows.join(F.broadcast(carried.withColumnsRenamed(place)), same, "left").drop(*place.values())
+
+
 def earlier_chunks(keys: list[str]):
     """Window over the rows of ``across_chunks`` that belong to earlier chunks of the same group."""
     return Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
@@ -51,12 +58,10 @@ def number_rows(df: DataFrame, keys: list[str], order: list, *, number: str = "r
         .withColumn("_all", F.sum("_rows").over(Window.partitionBy(*keys)))
         .drop("_rows")
     )
-    numbered = (
-        chunked.withColumn("_here", F.row_number().over(here.orderBy(*order)))
-        .withColumn("_size_here", F.count("*").over(here))
-        .join(F.broadcast(carried), [*keys, CHUNK], "left")
-        .withColumn(number, F.col("_here") + F.coalesce("_before", F.lit(0)))
-    )
+    counted = (chunked.withColumn("_here", F.row_number().over(here.orderBy(*order)))
+               .withColumn("_size_here", F.count("*").over(here)))
+    numbered = with_carried(counted, carried, keys).withColumn(
+        number, F.col("_here") + F.coalesce("_before", F.lit(0)))
     if total:
         numbered = numbered.withColumn(total, F.coalesce("_all", "_size_here"))
     return numbered.drop(CHUNK, "_here", "_size_here", "_before", "_all")

@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tintflow.operators.ordering import CHUNK, across_chunks, cut_into_chunks, earlier_chunks
+from tintflow.operators.ordering import CHUNK, across_chunks, cut_into_chunks, earlier_chunks, with_carried
 from tintflow.schemas import require
 from tintflow.session import join_on_group
 
@@ -40,10 +40,10 @@ def sample_frames(events: DataFrame, *, interval_us: int = DEFAULT_INTERVAL_US,
         .withColumn("_start", F.min("_from").over(Window.partitionBy("video_key")))
         .select("video_key", CHUNK, "_before", "_start")
     )
+    local = (chunked.withColumn("_here", F.row_number().over(here.orderBy(*order)))
+             .withColumn("_from", F.min("pts_us").over(here)))
     slack = (
-        chunked.withColumn("_here", F.row_number().over(here.orderBy(*order)))
-        .withColumn("_from", F.min("pts_us").over(here))
-        .join(F.broadcast(heads), ["video_key", CHUNK], "left")
+        with_carried(local, heads, keys)
         .withColumn("_i", F.col("_here") + F.coalesce("_before", F.lit(0)))
         .withColumn("_start", F.coalesce("_start", "_from"))
         .withColumn("_slack", F.expr(f"(pts_us - _start) div {int(interval_us)}L + 1 - _i"))
@@ -56,8 +56,7 @@ def sample_frames(events: DataFrame, *, interval_us: int = DEFAULT_INTERVAL_US,
     )
     before = here.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     return (
-        slack.withColumn("_floor_here", F.min("_slack").over(before))
-        .join(F.broadcast(floors), ["video_key", CHUNK], "left")
+        with_carried(slack.withColumn("_floor_here", F.min("_slack").over(before)), floors, keys)
         .withColumn("_lowest", F.least("_floor_here", "_floor"))
         .filter("_lowest is null or _slack >= _lowest")
         .withColumn("frame_no", F.col("_i") + F.coalesce("_lowest", F.lit(0)) - 1)
