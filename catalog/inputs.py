@@ -33,6 +33,19 @@ FRAME_12, FRAME_24 = "l_orderkey % 12 + 1", "l_orderkey % 24 + 1"
 PX, PX12, PX24 = pixels_sql(), pixels_sql("px12", FRAME_12), pixels_sql("px24", FRAME_24)
 
 
+SUPPLIER = "concat('supplier_', l_suppkey)"
+
+
+def supplier_pixels(spark, sf_dir):
+    """One video of up to 24 frames per supplier, so that the number of videos grows with the tables."""
+    return table(spark, sf_dir, "lineitem").selectExpr(
+        f"{SUPPLIER} as video_key", f"cast({FRAME_24} as bigint) as frame_index", *RGB)
+
+
+SUPPLIER_PX = (f"supplier_px AS (SELECT {SUPPLIER} AS video_key, CAST({FRAME_24} AS BIGINT) AS frame_index, "
+               f"{', '.join(RGB)} FROM lineitem)")
+
+
 def frame_dims(spark, sf_dir):
     return table(spark, sf_dir, "part").selectExpr(
         "p_partkey as frame_index", "p_size as width", "p_size % 7 + 1 as height")
@@ -86,17 +99,18 @@ def typed_requests(spark, sf_dir):
         "c_custkey", f"{TYPED_SIZE} as bucket_size")
 
 
-def color_requests(spark, sf_dir):
-    """Requests for the ``pixels`` videos: sizes 1, 16, 40 and one that is rejected, both kinds."""
+def color_requests(spark, sf_dir, video=VIDEO):
+    """Requests for the videos of line items: sizes 1, 16, 40 and one that is rejected, both kinds."""
     return table(spark, sf_dir, "lineitem").selectExpr(
-        f"{VIDEO} as video_key", "cast(element_at(array(1, 16, 40, 256), cast(l_suppkey % 4 + 1 as int)) as int) as bucket_size",
+        f"{video} as video_key", "element_at(array(1, 16, 40, 256), cast(l_partkey % 4 + 1 as int)) as bucket_size",
         "if(l_linenumber % 2 = 0, 'average', 'domiant') as kind").distinct()
 
 
-COLOR_REQUESTS = (f"color_requests AS (SELECT DISTINCT {VIDEO} AS video_key, "
-                  "CAST(list_extract([1, 16, 40, 256], l_suppkey % 4 + 1) AS INTEGER) AS bucket_size, "
-                  "CASE WHEN l_linenumber % 2 = 0 THEN 'average' ELSE 'dominant' END AS kind FROM lineitem), "
-                  "color_asked AS (SELECT * FROM color_requests WHERE bucket_size BETWEEN 1 AND 255)")
+def color_requests_sql(video=VIDEO):
+    return (f"color_requests AS (SELECT DISTINCT {video} AS video_key, "
+            "CAST(list_extract([1, 16, 40, 256], l_partkey % 4 + 1) AS INTEGER) AS bucket_size, "
+            "CASE WHEN l_linenumber % 2 = 0 THEN 'average' ELSE 'dominant' END AS kind FROM lineitem), "
+            "color_asked AS (SELECT * FROM color_requests WHERE bucket_size BETWEEN 1 AND 255)")
 
 
 def file_log(spark, sf_dir):

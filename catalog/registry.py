@@ -135,20 +135,23 @@ def prefix_scan_(spark, sf_dir):
     return prefix_scan(i.table(spark, sf_dir, "pages").select("page_id", "url"), "url", "http://", "page_id")
 
 
-def strip_of(spark, sf_dir, frame):
-    asked = i.pixels(spark, sf_dir, frame)
-    return strip.strip_scale(strip.color_strip(color.dominant_color(asked, 40)))
+def strip_of(pixels):
+    return strip.strip_scale(strip.color_strip(color.dominant_color(pixels, 40)))
 
 
-PIXEL_STRIP = [i.PX24, "asked AS (SELECT DISTINCT video_key, 40 AS bucket_size, 'dominant' AS kind FROM px24)",
-               i.asked_colors_sql("px24", "asked"), i.strip_sql("colors"), i.scaled_sql()]
+def strip_of_sql(relation, name):
+    return [relation, f"asked AS (SELECT DISTINCT video_key, 40 AS bucket_size, 'dominant' AS kind FROM {name})",
+            i.asked_colors_sql(name, "asked"), i.strip_sql("colors"), i.scaled_sql()]
+
+
+SUPPLIER_STRIP = strip_of_sql(i.SUPPLIER_PX, "supplier_px")
 STRIP_FILE = "^.*/([^/-]*)-[0-9A-F]+-[a-z]+-[0-9]+[.]png$"
 
 
 def exported(spark, sf_dir, *, tile=images.TILE):
-    """Strips of the 24-frame videos, written as PNG files by the executors."""
+    """Strips of the suppliers' videos, written as PNG files by the executors."""
     folder = new_folder(spark, "strips")
-    tiles = images.strip_png(strip_of(spark, sf_dir, i.FRAME_24), tile=tile)
+    tiles = images.strip_png(strip_of(i.supplier_pixels(spark, sf_dir)), tile=tile)
     return folder, images.write_png(tiles, folder)
 
 
@@ -158,14 +161,14 @@ def exported_images(spark, sf_dir):
     return images.read_images(spark, folder).withColumn("video_key", F.regexp_extract("path", STRIP_FILE, 1))
 
 
-@query(with_(*PIXEL_STRIP) + "SELECT DISTINCT video_key, bucket_size, kind, CAST(0 AS BIGINT) AS tile_x, "
+@query(with_(*SUPPLIER_STRIP) + "SELECT DISTINCT video_key, bucket_size, kind, CAST(0 AS BIGINT) AS tile_x, "
        "CAST(0 AS BIGINT) AS tile_y, CAST(width AS INTEGER) AS width, CAST(height AS INTEGER) AS height FROM scaled")
 def strip_png(spark, sf_dir):
     _, written = exported(spark, sf_dir)
     return written.drop("name", "path")
 
 
-@query(with_(*PIXEL_STRIP) + "SELECT video_key, CAST(width AS INTEGER) AS width, CAST(height AS INTEGER) AS height, "
+@query(with_(*SUPPLIER_STRIP) + "SELECT video_key, CAST(width AS INTEGER) AS width, CAST(height AS INTEGER) AS height, "
        "rgb >> 16 AS r, (rgb >> 8) & 255 AS g, rgb & 255 AS b, CAST(sum(height) AS BIGINT) AS weight "
        "FROM scaled GROUP BY ALL")
 def frame_image_scan(spark, sf_dir):
@@ -175,21 +178,21 @@ def frame_image_scan(spark, sf_dir):
             .select("video_key", "width", "height", "r", "g", "b", "weight"))
 
 
-@query(with_(*PIXEL_STRIP) + "SELECT video_key, x, unnest(range(height)) AS y, rgb >> 16 AS r, "
+@query(with_(*SUPPLIER_STRIP) + "SELECT video_key, x, unnest(range(height)) AS y, rgb >> 16 AS r, "
        "(rgb >> 8) & 255 AS g, rgb & 255 AS b FROM scaled")
 def image_pixels(spark, sf_dir):
     flat = images.image_pixels(exported_images(spark, sf_dir))
     return flat.select(F.regexp_extract("path", STRIP_FILE, 1).alias("video_key"), "x", "y", "r", "g", "b")
 
 
-@query(with_(*PIXEL_STRIP, "raster AS (SELECT video_key, CAST(1 AS BIGINT) AS frame_index, rgb >> 16 AS r, "
+@query(with_(*SUPPLIER_STRIP, "raster AS (SELECT video_key, CAST(1 AS BIGINT) AS frame_index, rgb >> 16 AS r, "
              "(rgb >> 8) & 255 AS g, rgb & 255 AS b FROM (SELECT *, unnest(range(height)) FROM scaled))",
-             i.COLOR_REQUESTS, i.asked_colors_sql("raster", "color_asked", "found")) + "SELECT * FROM found")
+             i.color_requests_sql(i.SUPPLIER), i.asked_colors_sql("raster", "color_asked", "found")) + "SELECT * FROM found")
 def image_colors(spark, sf_dir):
     """Colours of the exported strips, each taken as a one-frame video."""
     pictures = exported_images(spark, sf_dir)
     frames = pictures.select("video_key", F.lit(1).cast("long").alias("frame_index"), "path")
-    return image_frame_colors(frames, pictures.drop("video_key"), i.color_requests(spark, sf_dir))
+    return image_frame_colors(frames, pictures.drop("video_key"), i.color_requests(spark, sf_dir, i.SUPPLIER))
 
 
 # Scalar functions --------------------------------------------------------------------------------------------------
@@ -550,13 +553,9 @@ def color_strip(spark, sf_dir):
     return incomplete_strip(spark, sf_dir)
 
 
-PX12_STRIP = [i.PX12, "asked AS (SELECT DISTINCT video_key, 40 AS bucket_size, 'dominant' AS kind FROM px12)",
-              i.asked_colors_sql("px12", "asked"), i.strip_sql("colors"), i.scaled_sql()]
-
-
-@query(with_(*PX12_STRIP) + "SELECT * FROM scaled")
+@query(with_(*strip_of_sql(i.PX12, "px12")) + "SELECT * FROM scaled")
 def strip_scale(spark, sf_dir):
-    return strip_of(spark, sf_dir, i.FRAME_12)
+    return strip_of(i.pixels(spark, sf_dir, i.FRAME_12))
 
 
 @query(with_(*INCOMPLETE) + "SELECT *, unnest(range(height)) AS y FROM strip")
@@ -577,7 +576,7 @@ def gradient(spark, sf_dir):
 
 # Composites --------------------------------------------------------------------------------------------------------
 
-ASKED_COLORS = [i.PX, i.COLOR_REQUESTS, i.asked_colors_sql("px", "color_asked")]
+ASKED_COLORS = [i.PX, i.color_requests_sql(), i.asked_colors_sql("px", "color_asked")]
 
 
 @query(with_(*ASKED_COLORS) + "SELECT * FROM colors")
