@@ -193,9 +193,13 @@ def pack_containers(files: DataFrame, *, cap: int = CONTAINER_CAP, opened: DataF
     placed_columns = [*files.columns, "container_id", "byte_offset"]
 
     def place(rows):
-        rows = rows.sort_values("seq")
-        rows["container_id"], rows["byte_offset"] = _place(
-            rows["size"].to_numpy(), cap, int(rows["_container"].iloc[0]), int(rows["_fill"].iloc[0]))
+        """All files of a chunk; the small volumes in it are handled in one call."""
+        rows = rows.sort_values(["volume", "seq"], ignore_index=True)
+        volume = rows.groupby("volume", dropna=False).ngroup().to_numpy()
+        cuts = [0, *(np.flatnonzero(np.diff(volume)) + 1), len(rows)]
+        sizes, container, fill = (rows[c].to_numpy() for c in ("size", "_container", "_fill"))
+        found = [_place(sizes[a:b], cap, int(container[a]), int(fill[a])) for a, b in zip(cuts, cuts[1:])]
+        rows["container_id"], rows["byte_offset"] = (np.concatenate(part) for part in zip(*found))
         return rows[placed_columns]
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in sized.schema)
@@ -203,7 +207,7 @@ def pack_containers(files: DataFrame, *, cap: int = CONTAINER_CAP, opened: DataF
         chunked.join(F.broadcast(states), chunk_keys, "left")
         .withColumn("_container", F.coalesce("_carried", "_container"))
         .withColumn("_fill", F.coalesce("_carried_fill", "_fill"))
-        .groupBy(*chunk_keys).applyInPandas(place, f"{fields}, container_id long, byte_offset long")
+        .groupBy(CHUNK).applyInPandas(place, f"{fields}, container_id long, byte_offset long")
     )
     if compat:
         placed = placed.withColumn("byte_offset", F.expr("byte_offset + if(byte_offset > 0, 1, 0)"))
