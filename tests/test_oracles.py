@@ -3,21 +3,22 @@
 import pytest
 
 import check
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from catalog.registry import ORACLES, QUERIES
 
 SF = "/root/testdata/sf0.001"
 # Queries without SQL, and why.
 NO_SQL = {"video_ingest": "reads the table files themselves as opaque bytes"}
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_equals_sql(spark, name):
     text, good = check.compare(spark, name, SF)
     assert good, text
 
 
 def test_only_named_queries_lack_sql():
-    assert set(queries()) - set(oracle_sql()) == set(NO_SQL)
+    assert set(QUERIES) - set(ORACLES) == set(NO_SQL)
 
 
 def test_entry(spark):
