@@ -4,6 +4,7 @@ import public_tokenizers
 
 from tintflow.llm.byte_bpe import encode_table
 from tintflow.llm.common import table
+from tintflow.llm.language_id import identify
 
 QUERIES = {}
 ORACLES = {}
@@ -18,6 +19,11 @@ def query(sql=None):
     return register
 
 
+@query()
+def op2_language_id(spark, sf_dir):
+    return identify(table(spark, sf_dir, "documents"))
+
+
 @query()
 def op10_byte_bpe(spark, sf_dir):
     return encode_table(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),
