@@ -5,6 +5,7 @@ import public_tokenizers
 from tintflow.llm.byte_bpe import encode_table
 from tintflow.llm.common import table
 from tintflow.llm.language_id import identify
+from tintflow.llm.mixing import mix
 
 QUERIES = {}
 ORACLES = {}
@@ -24,6 +25,11 @@ def op2_language_id(spark, sf_dir):
     return identify(table(spark, sf_dir, "documents"))
 
 
+@query()
+def op6_mixing(spark, sf_dir):
+    return mix(table(spark, sf_dir, "documents")).drop("_row")
+
+
 @query()
 def op10_byte_bpe(spark, sf_dir):
     return encode_table(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),
