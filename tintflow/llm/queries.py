@@ -2,6 +2,7 @@
 
 import public_tokenizers
 
+from tintflow.llm import jaccard_join
 from tintflow.llm.byte_bpe import encode_table
 from tintflow.llm.common import table
 from tintflow.llm.language_id import identify
@@ -30,6 +31,11 @@ def op6_mixing(spark, sf_dir):
     return mix(table(spark, sf_dir, "documents")).drop("_row")
 
 
+@query()
+def op9_jaccard_join(spark, sf_dir):
+    return jaccard_join.join(table(spark, sf_dir, "documents"), width=4, percent=85).drop("_row")
+
+
 @query()
 def op10_byte_bpe(spark, sf_dir):
     return encode_table(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),
