@@ -75,8 +75,8 @@ def test_equals_all_pairs(spark, tmp_path, monkeypatch, seed, width, percent, li
     frame = spark.createDataFrame([(k, t, "x", 1) for k, t in rows], "doc_id long, text string, n_shingles string, hi int")
     frame.repartition(3).write.parquet(str(tmp_path / "docs"))
     found = jaccard_join.join(spark.read.parquet(str(tmp_path / "docs")), width=width, percent=percent)
-    assert found.columns == ["_row", "doc_id", "n_shingles", "component_id"]
-    assert sorted((tuple(r)[1:] for r in found.collect()), key=repr) == brute_force(rows, width, percent)
+    assert found.columns == ["_row", "_group", "doc_id", "n_shingles", "component_id"]
+    assert sorted((tuple(r)[2:] for r in found.collect()), key=repr) == brute_force(rows, width, percent)
 
 
 def test_empty_table(spark, tmp_path):

@@ -386,7 +386,7 @@ def sets_of(docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
 
 
 def join(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
-    """Per row: id, n_shingles, component_id, and ``_row``, the row's number in ``docs``.
+    """Per row: id, n_shingles, component_id, ``_row``, the row's number in ``docs``, and ``_group``, a row of its component.
 
     ``docs`` is read twice and must give the same rows in the same partitions, as files do.
     """
@@ -410,10 +410,12 @@ def join(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
     links = staged(linked(pairs, found, rule).unionByName(links_in_long_lists(members, found, rule)), "links")
 
     together = components(links)
-    labels = together.join(nodes, "node").groupBy("component").agg(F.min("least_id").alias("label"))
-    labels = together.join(labels, "component").select("node", "label")
+    labels = together.join(nodes, "node").groupBy("component").agg(
+        F.min("least_id").alias("label"), F.min("_row").alias("row"))
+    labels = together.join(labels, "component").select("node", "label", "row")
     named = nodes.join(labels, "node", "left").selectExpr(
-        "node.hi as hi", "node.lo as lo", "coalesce(label, least_id) as component_id")
+        "node.hi as hi", "node.lo as lo", "coalesce(label, least_id) as component_id",
+        "coalesce(row, _row) as _group")
     return sets.join(named, ["hi", "lo"], "left").select(
-        "_row", F.col("id").alias(id_column), F.col("n").cast("long").alias("n_shingles"),
+        "_row", F.when(F.col("n") > 0, F.col("_group")).otherwise(F.col("_row")).alias("_group"), F.col("id").alias(id_column), F.col("n").cast("long").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"))

@@ -165,3 +165,16 @@ def predict(docs: DataFrame, model: dict, id_column: str = "doc_id", text_column
 
 def identify(docs: DataFrame) -> DataFrame:
     return predict(docs, fit(docs))
+
+
+def keep_identified(docs: DataFrame, model: dict, text_column: str = "text") -> DataFrame:
+    """The rows, all columns, whose text has a word or n-gram of a learned language; nothing else is rejected."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches):
+        scorer = Scorer(shared.value)
+        for batch in batches:
+            kept = [scorer.predict(text.as_py())[2] > 0 for text in batch.column(batch.schema.get_field_index(text_column))]
+            yield batch.filter(pa.array(kept, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
