@@ -7,6 +7,7 @@ from tintflow.llm.byte_bpe import encode_table
 from tintflow.llm.common import table
 from tintflow.llm.language_id import identify
 from tintflow.llm.mixing import mix
+from tintflow.llm.token_counts import token_counts
 
 QUERIES = {}
 ORACLES = {}
@@ -26,6 +27,11 @@ def op2_language_id(spark, sf_dir):
     return identify(table(spark, sf_dir, "documents"))
 
 
+@query()
+def op5_token_counts(spark, sf_dir):
+    return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 @query()
 def op6_mixing(spark, sf_dir):
     return mix(table(spark, sf_dir, "documents")).drop("_row")
@@ -33,7 +39,7 @@ def op6_mixing(spark, sf_dir):
 
 @query()
 def op9_jaccard_join(spark, sf_dir):
-    return jaccard_join.join(table(spark, sf_dir, "documents"), width=4, percent=85).drop("_row")
+    return jaccard_join.join(table(spark, sf_dir, "documents"), width=4, percent=85).drop("_row", "_group")
 
 
 @query()
