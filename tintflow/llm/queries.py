@@ -7,7 +7,9 @@ from tintflow.llm.byte_bpe import encode_table
 from tintflow.llm.common import table
 from tintflow.llm.language_id import identify
 from tintflow.llm.mixing import mix
+from tintflow.llm.sharding import shard
 from tintflow.llm.token_counts import token_counts
+from tintflow.llm.top_k import search
 
 QUERIES = {}
 ORACLES = {}
@@ -22,11 +24,33 @@ def query(sql=None):
     return register
 
 
+@query()
+def op1_sharding(spark, sf_dir):
+    return shard(table(spark, sf_dir, "documents"))
+
+
 @query()
 def op2_language_id(spark, sf_dir):
     return identify(table(spark, sf_dir, "documents"))
 
 
+@query("""
+WITH usable AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE len(list_filter(embedding, lambda x: isfinite(x))) = len(embedding)),
+components AS (SELECT vec_id, generate_subscripts(v, 1) AS i, unnest(v) AS x, len(v) AS length FROM usable),
+scores AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(sum(q.x * c.x) AS BIGINT) AS score
+  FROM components q JOIN components c ON q.i = c.i AND q.length = c.length AND q.vec_id <> c.vec_id
+  WHERE q.vec_id % 100 = 0 GROUP BY ALL),
+ranked AS (
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+  FROM scores)
+SELECT * FROM ranked WHERE rank <= 10""")
+def op4_top_k(spark, sf_dir):
+    return search(table(spark, sf_dir, "embeddings"))
+
+
 @query()
 def op5_token_counts(spark, sf_dir):
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
