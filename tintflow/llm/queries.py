@@ -6,6 +6,7 @@ from tintflow.llm import jaccard_join
 from tintflow.llm.byte_bpe import encode_table
 from tintflow.llm.common import table
 from tintflow.llm.language_id import identify
+from tintflow.llm.license_scan import scan
 from tintflow.llm.mixing import mix
 from tintflow.llm.sharding import shard
 from tintflow.llm.token_counts import token_counts
@@ -34,6 +35,11 @@ def op2_language_id(spark, sf_dir):
     return identify(table(spark, sf_dir, "documents"))
 
 
+@query()
+def op3_license_scan(spark, sf_dir):
+    return scan(table(spark, sf_dir, "documents"))
+
+
 @query("""
 WITH usable AS (
   SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
