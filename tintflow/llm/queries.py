@@ -5,6 +5,7 @@ import public_tokenizers
 from tintflow.llm import jaccard_join
 from tintflow.llm.byte_bpe import encode_table
 from tintflow.llm.common import table
+from tintflow.llm.embedding_dedup import link
 from tintflow.llm.language_id import identify
 from tintflow.llm.license_scan import scan
 from tintflow.llm.mixing import mix
@@ -67,6 +68,20 @@ def op6_mixing(spark, sf_dir):
     return mix(table(spark, sf_dir, "documents")).drop("_row")
 
 
+@query("""
+WITH RECURSIVE usable AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings
+  WHERE len(list_filter(embedding, lambda x: isfinite(x))) = len(embedding) AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.95),
+reached(a, b) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT r.a, l.b FROM reached r JOIN links l ON r.b = l.a),
+least AS (SELECT a AS vec_id, min(b) AS component_id FROM reached GROUP BY a)
+SELECT vec_id, (SELECT count(*) FROM links WHERE a = vec_id) AS n_links, component_id, vec_id = component_id AS kept FROM least""")
+def op7_embedding_dedup(spark, sf_dir):
+    return link(table(spark, sf_dir, "embeddings"))
+
+
 @query()
 def op9_jaccard_join(spark, sf_dir):
     return jaccard_join.join(table(spark, sf_dir, "documents"), width=4, percent=85).drop("_row", "_group")
