@@ -6,6 +6,7 @@ from tintflow.llm import jaccard_join
 from tintflow.llm.byte_bpe import encode_table
 from tintflow.llm.common import table
 from tintflow.llm.embedding_dedup import link
+from tintflow.llm.html_text import extract
 from tintflow.llm.language_id import identify
 from tintflow.llm.license_scan import scan
 from tintflow.llm.mixing import mix
@@ -82,6 +83,11 @@ def op7_embedding_dedup(spark, sf_dir):
     return link(table(spark, sf_dir, "embeddings"))
 
 
+@query()
+def op8_html_text(spark, sf_dir):
+    return extract(table(spark, sf_dir, "pages"))
+
+
 @query()
 def op9_jaccard_join(spark, sf_dir):
     return jaccard_join.join(table(spark, sf_dir, "documents"), width=4, percent=85).drop("_row", "_group")
