@@ -43,7 +43,7 @@ def words(text: str) -> Counter:
 
 
 def grams(word: str, size: int) -> list[str]:
-    padded = f" {word} "
+    padded = f" {word} " if size > 1 else word
     return [padded[i:i + size] for i in range(len(padded) - size + 1)]
 
 

@@ -83,14 +83,14 @@ def tilts(classes: DataFrame, cap: float) -> DataFrame:
     return step.select("source", "tilt")
 
 
-def round_copies(classes: pd.DataFrame) -> pd.DataFrame:
-    """Copies of one source's classes; its rows are its distinct sizes."""
+def round_copies(classes: pd.DataFrame, cap: int) -> pd.DataFrame:
+    """Copies of one source's classes; its rows are its distinct sizes. What a large size could not round off falls to the
+    next smaller one, so that the source ends within half of its smallest size unless every document is at its cap."""
     classes = classes.sort_values("size", ascending=False, kind="stable")
     copies, owed = [], 0.0
     for size, n, rate in zip(classes["size"], classes["n"], classes["rate"]):
         due = n * rate
-        taken = due if not size else min(max(round(due + owed / size), n * math.floor(rate)), n * math.ceil(rate))
-        taken = int(round(taken))
+        taken = n if not size else min(max(round(due + owed / size), 0), cap * n)
         owed += (due - taken) * size
         copies.append(taken)
     return classes.assign(copies=np.array(copies, dtype="int64"))[["source", "size", "n", "start", "source_size", "target", "copies"]]
@@ -120,7 +120,7 @@ def mix(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", s
         classes["source"], "size", "n", "start", "source_size", "target", rate.alias("rate"))
     kind = dict(docs.dtypes)[source_column]
     rounded = rated.groupBy("source").applyInPandas(
-        round_copies, f"source {kind}, size long, n long, start long, source_size long, target double, copies long")
+        lambda rows: round_copies(rows, cap), f"source {kind}, size long, n long, start long, source_size long, target double, copies long")
     rounded = staged(rounded, "copies")
     index = F.col("place") - F.col("start")
     copies = F.floor(F.col("copies") / F.col("n")) + F.when(index < F.col("copies") % F.col("n"), 1).otherwise(0)
