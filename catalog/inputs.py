@@ -64,27 +64,36 @@ FRAME_EVENTS = ("frame_events AS (SELECT user_id AS video_key, CAST(event_id % 3
                 "epoch_us(ts) AS pts_us, event_id AS seq FROM events)")
 
 
+BLOCK_KIND = "CASE WHEN event_id % 2 = 0 THEN 'average' ELSE 'dominant' END"
+
+
 def video_blocks(spark, sf_dir):
     return table(spark, sf_dir, "events").selectExpr(
-        "user_id as video_key", "cast(event_id % 255 + 1 as int) as bucket_size",
+        "user_id as video_key", "cast(event_id % 255 + 1 as int) as bucket_size", f"{BLOCK_KIND} as kind",
         "unix_micros(cast(ts as timestamp)) as recorded_at", "event_id as seq")
 
 
-VIDEO_BLOCKS = ("video_blocks AS (SELECT user_id AS video_key, CAST(event_id % 255 + 1 AS INTEGER) AS bucket_size, "
-                "epoch_us(ts) AS recorded_at, event_id AS seq FROM events)")
+VIDEO_BLOCKS = (f"video_blocks AS (SELECT user_id AS video_key, CAST(event_id % 255 + 1 AS INTEGER) AS bucket_size, "
+                f"{BLOCK_KIND} AS kind, epoch_us(ts) AS recorded_at, event_id AS seq FROM events)")
 KEPT_BLOCKS = ("kept_blocks AS (SELECT * FROM video_blocks QUALIFY row_number() OVER "
                "(PARTITION BY video_key ORDER BY recorded_at DESC, seq DESC) <= 20)")
 
 KIND = "CASE c_custkey % 3 WHEN 0 THEN 'average' WHEN 1 THEN 'domiant' ELSE 'dominant' END"
+OTHER_KIND = "CASE WHEN event_id % 4 < 2 THEN 'average' ELSE 'domiant' END"
 
 
 def requests(spark, sf_dir):
-    return table(spark, sf_dir, "customer").selectExpr(
-        "c_custkey % 300 as video_key", "cast(c_custkey % 300 - 10 as int) as bucket_size", f"{KIND} as kind")
+    """Customers ask for a video each, and events for their user's: many sizes and both kinds of one video."""
+    own = table(spark, sf_dir, "customer").selectExpr(
+        "c_custkey as video_key", "cast(c_custkey % 300 - 10 as int) as bucket_size", f"{KIND} as kind")
+    again = table(spark, sf_dir, "events").filter("event_id % 5 = 0").selectExpr(
+        "user_id as video_key", "cast(event_id % 255 + 1 as int) as bucket_size", f"{OTHER_KIND} as kind")
+    return own.unionByName(again)
 
 
-REQUESTS = (f"requests AS (SELECT c_custkey % 300 AS video_key, CAST(c_custkey % 300 - 10 AS INTEGER) AS bucket_size, "
-            f"{KIND} AS kind FROM customer)")
+REQUESTS = (f"requests AS (SELECT c_custkey AS video_key, CAST(c_custkey % 300 - 10 AS INTEGER) AS bucket_size, "
+            f"{KIND} AS kind FROM customer UNION ALL SELECT user_id, CAST(event_id % 255 + 1 AS INTEGER), {OTHER_KIND} "
+            "FROM events WHERE event_id % 5 = 0)")
 ACCEPTED = ("accepted AS (SELECT DISTINCT video_key, bucket_size, CASE WHEN kind = 'average' THEN 'average' "
             "ELSE 'dominant' END AS kind FROM requests WHERE bucket_size BETWEEN 1 AND 255)")
 
@@ -229,7 +238,7 @@ EVENT_PIXELS = ("event_pixels AS (SELECT user_id AS video_key, l_orderkey AS seq
                 f"{', '.join(RGB)} FROM lineitem JOIN events ON l_orderkey = event_id)")
 
 CACHED_EXPR = ["user_id as video_key", "event_id as frame_index", "cast(event_id % 255 + 1 as int) as bucket_size",
-               "case when user_id % 3 = 0 then 'average' else 'dominant' end as kind",
+               f"{BLOCK_KIND} as kind",
                "cast(event_id % 256 as int) as r", "cast(event_id * 3 % 256 as int) as g",
                "cast(event_id * 7 % 256 as int) as b"]
 

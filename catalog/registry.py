@@ -79,10 +79,13 @@ def request_read(spark, sf_dir):
     return request_files.parse_requests(texts, "form")
 
 
-@query()
+@query("SELECT doc_id || '.ogg' AS name, CAST(strlen(text) AS BIGINT) AS size, sha256(text) AS digest FROM documents WHERE strlen(text) > 0")
 def video_ingest(spark, sf_dir):
-    apply_defaults(spark)
-    return files.read_videos(spark, sf_dir, with_content=False, glob="*.parquet").select("name", "size")
+    """Every text stored as a file and read back as opaque bytes; files without bytes are not listed."""
+    folder = new_folder(spark, "videos")
+    texts = i.table(spark, sf_dir, "documents").selectExpr("concat(doc_id, '.ogg') as name", "cast(text as binary) as content")
+    files.write_files(texts.filter("content is not null"), folder).write.format("noop").mode("overwrite").save()
+    return files.read_videos(spark, folder).select("name", "size", F.sha2("content", 256).alias("digest"))
 
 
 @query("SELECT event_type AS directory, CAST(event_id AS VARCHAR) AS path, epoch_us(date_trunc('hour', ts)) AS modified_us "
@@ -331,6 +334,8 @@ def complete_frames(spark, sf_dir):
 
 # Lookup ------------------------------------------------------------------------------------------------------------
 
+# Requests name a kind as typed.
+SAME_KIND = "CASE r.kind WHEN 'average' THEN 'average' ELSE 'dominant' END"
 KNOWN = with_(i.REQUESTS, i.VIDEO_BLOCKS, i.KEPT_BLOCKS)
 
 
@@ -349,14 +354,14 @@ def unknown_requests(spark, sf_dir):
 
 
 @query(KNOWN + "SELECT DISTINCT r.*, EXISTS (SELECT 1 FROM kept_blocks k WHERE k.video_key = r.video_key "
-       "AND k.bucket_size = r.bucket_size) AS analyzed FROM requests r")
+       f"AND k.bucket_size = r.bucket_size AND k.kind = {SAME_KIND}) AS analyzed FROM requests r")
 def analyzed_flag(spark, sf_dir):
     return lookup.analyzed_flag(i.requests(spark, sf_dir), kept_blocks(spark, sf_dir))
 
 
 ROUTE = ("CASE WHEN video_key NOT IN (SELECT video_key FROM video_blocks) THEN 'ingest' "
          "WHEN EXISTS (SELECT 1 FROM kept_blocks k WHERE k.video_key = r.video_key "
-         "AND k.bucket_size = r.bucket_size) THEN 'show' ELSE 'analyze' END AS action")
+         f"AND k.bucket_size = r.bucket_size AND k.kind = {SAME_KIND}) THEN 'show' ELSE 'analyze' END AS action")
 
 
 @query(KNOWN + f"SELECT DISTINCT r.*, {ROUTE} FROM requests r")

@@ -1,7 +1,9 @@
 import pytest
 
 from conftest import rows
-from tintflow.plans.analyze import analyze
+from tintflow.operators.history import read_frame_colors, read_video_metadata
+from tintflow.plans.analyze import analyze, save
+from tintflow.schemas import VIDEO_METADATA
 
 SECOND = 1_000_000
 
@@ -16,7 +18,7 @@ def tables(spark):
             [("seen", "40", "average"), ("known", "40", "dominant"), ("new", "10", "average"), ("new", "0", "average")],
             "video_key string, bucket_size string, kind string"),
         "videos": spark.createDataFrame([("seen",), ("known",)], "video_key string"),
-        "blocks": spark.sql("select 'seen' as video_key, 40 as bucket_size, timestamp'2020-01-01' as recorded_at, 1L as seq"),
+        "blocks": spark.sql("select 'seen' as video_key, 40 as bucket_size, 'average' as kind, timestamp'2020-01-01' as recorded_at, 1L as seq"),
         "events": spark.createDataFrame(events, "video_key string, stream_index int, pts_us long, seq long"),
         "pixels": spark.createDataFrame(
             [(k, n, n * 10 + p, 5, 250) for k, _, _, n in events for p in range(3)],
@@ -49,3 +51,52 @@ def test_all_streams(tables):
     done = analyze(**tables, first_stream_only=False)
     # Two pictures at each time: the first closes the open deadline, the second comes before the next one.
     assert done.fresh.filter("video_key = 'known'").count() == 4
+
+
+def test_the_other_kind_is_computed_and_shown(spark, tables):
+    asked = [("seen", "40", "dominant"), ("seen", "40", "average"), ("seen", "10", "average")]
+    tables["requests"] = spark.createDataFrame(asked, "video_key string, bucket_size string, kind string")
+    done = analyze(**tables)
+    # Colours at 10 are stored, but no block record says that they are complete.
+    assert rows(done.routed) == [("seen", 10, "average", "analyze"), ("seen", 40, "average", "show"), ("seen", 40, "dominant", "analyze")]
+    assert rows(done.strips.select("bucket_size", "kind").distinct()) == [(10, "average"), (40, "average"), (40, "dominant")]
+
+
+def test_blocks_without_colours_are_computed_again(spark, tables):
+    done = analyze(**{**tables, "stored": tables["stored"].filter("video_key = 'none'")})
+    assert rows(done.routed.filter("video_key = 'seen'"), "action") == [("analyze",)]
+    assert done.strips.filter("video_key = 'seen'").count() > 0
+
+
+def test_every_request_ends_in_a_strip_or_a_reason(spark, tables):
+    tables["requests"] = spark.createDataFrame(
+        [(k, s, "average") for k in ("seen", "known", "new", "no pictures") for s in ("40", "41")], "video_key string, bucket_size string, kind string")
+    done = analyze(**tables)
+    asked = {r[:3] for r in rows(done.routed)}
+    drawn = {r for r in rows(done.strips, "video_key", "bucket_size", "kind")}
+    without = {r for r in rows(done.unserved, "video_key", "bucket_size", "kind")}
+    assert drawn | without == asked and not drawn & without and {r[0] for r in without} == {"no pictures"}
+    assert {r[0] for r in rows(done.unserved, "reason")} == {"no usable picture"}
+
+
+def test_second_run_shows_all_and_a_shorter_rerun_leaves_no_stale_frame(spark, tables, tmp_path):
+    colors, blocks, metadata = (str(tmp_path / n) for n in ("colors", "blocks", "metadata"))
+    keys = [("seen",), ("known",), ("new",)]
+    arrivals = spark.createDataFrame([(k, k, 10, 1) for k, in keys * 2], "video_key string, name string, size long, at long").selectExpr(
+        "video_key", "name", "size", "timestamp_seconds(at) as recorded_at")
+    none = {"videos": spark.createDataFrame([], VIDEO_METADATA), "blocks": tables["blocks"].filter("false"), "stored": tables["stored"].filter("false")}
+    first = analyze(**{**tables, **none}, arrivals=arrivals)
+    assert rows(first.routed, "action") == [("ingest",)] * 3
+    save(first.fresh, colors, blocks, ingested=first.ingested, metadata_path=metadata)
+
+    def again(**more):
+        return analyze(**{**tables, "videos": read_video_metadata(spark, metadata), "blocks": spark.read.parquet(blocks),
+                          "stored": read_frame_colors(spark, colors).drop("recorded_at", "seq")} | more.pop("tables", {}), **more)
+
+    second = again(arrivals=arrivals)
+    assert rows(second.routed, "action") == [("show",)] * 3 and second.fresh.count() == 0 and second.ingested.count() == 0
+    assert rows(second.strips) == rows(first.strips)
+    shorter = again(force=True, tables={"events": tables["events"].filter("seq < 4")})
+    save(shorter.fresh, colors, blocks)
+    assert rows(again().strips) == rows(shorter.strips) != rows(first.strips)
+    assert rows(read_video_metadata(spark, metadata), "video_key") == sorted(keys)

@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tintflow.functions.colour import parse_triple
+from tintflow.session import join_on_group
 
 KEPT_VERSIONS = 20
 WRITTEN = ("recorded_at", "seq")
@@ -43,6 +44,7 @@ def replace_partitions(df: DataFrame, path: str, *, partition_by) -> None:
 VIDEO_CELLS = ["name", "hyperlink", "path", "byte_offset", "filesize"]
 FRAME_KEY = ["video_key", "bucket_size", "kind", "frame_index"]
 FRAME_PARTITIONS = ["kind", "bucket_size"]
+RUN_KEY = ["video_key", "bucket_size", "kind"]
 
 
 def upsert_video_metadata(ingested: DataFrame, path: str) -> None:
@@ -65,8 +67,19 @@ def upsert_frame_colors(colors: DataFrame, path: str) -> None:
     append_history(colors, path, partition_by=FRAME_PARTITIONS)
 
 
+def latest_runs(colors: DataFrame, *, written=WRITTEN) -> DataFrame:
+    """The frames of the newest run per (video, bucket size, kind); a run's rows carry one stamp.
+
+    A rerun with fewer frames thus leaves none of the frames before it. The newest stamps are partial maxima, and the
+    rows of a large key are dealt over partitions when they meet them.
+    """
+    newest = colors.groupBy(*RUN_KEY).agg(F.max(F.struct(*written)).alias("_newest"))
+    kept = join_on_group(colors, newest, RUN_KEY, ["frame_index"])
+    return kept.filter(F.struct(*written) == F.col("_newest")).drop("_newest")
+
+
 def read_frame_colors(spark: SparkSession, path: str) -> DataFrame:
-    return latest_record(spark.read.parquet(path), FRAME_KEY)
+    return latest_record(latest_runs(spark.read.parquet(path)), FRAME_KEY)
 
 
 def merge_frame_colors(*writes: DataFrame) -> DataFrame:

@@ -3,7 +3,9 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-KEYS = ["video_key", "bucket_size"]
+from tintflow.functions.requests import kind_choice
+
+ASKED = ["video_key", "bucket_size", "kind"]
 
 
 def known_requests(requests: DataFrame, videos: DataFrame) -> DataFrame:
@@ -15,10 +17,13 @@ def unknown_requests(requests: DataFrame, videos: DataFrame) -> DataFrame:
 
 
 def analyzed_flag(requests: DataFrame, blocks: DataFrame) -> DataFrame:
-    """Distinct requests, each with whether one of the video's kept versions has its bucket size."""
-    done = blocks.select(*KEYS).distinct().withColumn("_done", F.lit(True))
-    return (requests.distinct().join(done, KEYS, "left")
-            .withColumn("analyzed", F.col("_done").isNotNull()).drop("_done"))
+    """Distinct requests, each with whether one of the video's kept versions has its bucket size and kind.
+
+    A request's kind may be as typed; ``blocks`` name the kind that was computed.
+    """
+    done = blocks.select("video_key", "bucket_size", F.col("kind").alias("_kind")).distinct().withColumn("_done", F.lit(True))
+    return (requests.distinct().withColumn("_kind", kind_choice("kind")).join(done, ["video_key", "bucket_size", "_kind"], "left")
+            .withColumn("analyzed", F.col("_done").isNotNull()).drop("_done", "_kind"))
 
 
 def route_requests(requests: DataFrame, videos: DataFrame, blocks: DataFrame, *,

@@ -23,9 +23,11 @@ def ingest(videos: DataFrame, metadata: DataFrame, *, folder: str = "videos",
     """Metadata records of new videos, appended to the containers that ``metadata`` records, in arrival order.
 
     ``videos`` has video_key, name, size and recorded_at; no history is a normal case. Videos that are already
-    placed are left out.
+    placed are left out, and of a key that arrives more than once the earliest is placed.
     """
-    new = videos.join(metadata.select("video_key").distinct(), "video_key", "left_anti")
+    first = F.min_by(F.struct("name", "size", "recorded_at"), F.struct("recorded_at", "name", "size")).alias("first")
+    new = (videos.groupBy("video_key").agg(first).select("video_key", "first.*")
+           .join(metadata.select("video_key").distinct(), "video_key", "left_anti"))
     arrived = number_rows(
         new.select("video_key", "name", "size", "recorded_at").withColumn("volume", F.lit("videos")),
         ["volume"], ["recorded_at", "video_key"], number="seq")

@@ -16,7 +16,7 @@ VIDEO_METADATA = _layout(
     byte_offset=LongType(), filesize=LongType(), recorded_at=TimestampType(), seq=LongType(),
 )
 VIDEO_BLOCKS = _layout(
-    video_key=StringType(), bucket_size=IntegerType(), recorded_at=TimestampType(), seq=LongType(),
+    video_key=StringType(), bucket_size=IntegerType(), kind=StringType(), recorded_at=TimestampType(), seq=LongType(),
 )
 FRAME_EVENTS = _layout(
     video_key=StringType(), stream_index=IntegerType(), pts_us=LongType(), seq=LongType(),

@@ -41,9 +41,11 @@ def new_folder(spark: SparkSession, purpose: str) -> str:
 
 
 def staged(df: DataFrame) -> DataFrame:
-    """Materialise in the shared folder, so that lost executors never change what was staged."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint()
+    """Written once as Parquet in the shared folder and read back: lost executors never change what was staged, and
+    later reads take only the columns they need."""
+    path = new_folder(df.sparkSession, "staged")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def is_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
