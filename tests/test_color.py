@@ -93,13 +93,11 @@ def test_requests_choose_videos_sizes_and_kinds(asked):
     assert rows(found.filter("bucket_size = 16 and kind = 'average'")) == rows(one)
 
 
-@pytest.mark.parametrize("few", [8, 0])
-def test_many_requests_give_the_same(asked, monkeypatch, few):
-    """Neither choosing among the results nor shuffling counted pixels changes them."""
+def test_many_requests_give_the_same(asked, monkeypatch):
+    """Dealing pixels and counted rows to the requests changes nothing."""
     pixels, requests = asked
     expected = rows(frame_colors(pixels, requests))
     monkeypatch.setattr(color, "is_small", lambda *_: False)
-    monkeypatch.setattr(color, "FEW_COMBINATIONS", few)
     assert rows(frame_colors(pixels, requests), *color.FRAME, "bucket_size", "kind", "r", "g", "b") == expected
 
 
@@ -146,3 +144,22 @@ def test_accepted_are_distinct_and_typed(asked):
 def test_pixel_layout_is_checked(spark):
     with pytest.raises(ValueError, match="frame_index"):
         color.colors_of(spark.range(1).withColumnRenamed("id", "video_key"))
+
+
+def test_unusable_pixels_are_no_pixels(spark):
+    pixels = spark.createDataFrame([("v", 1, 10, 20, 30), ("v", 1, None, 20, 30), ("v", 1, 300, 20, 30), ("v", 1, 1, -1, 30), ("v", 2, None, None, None)],
+                                   "video_key string, frame_index long, r int, g int, b int")
+    asked = spark.createDataFrame([("v", 10, "average"), ("v", 10, "dominant"), ("v", 0, "average"), ("v", 300, "dominant")],
+                                  "video_key string, bucket_size int, kind string")
+    for rounding in color.ROUNDINGS:
+        found = rows(color.requested_colors(pixels, asked, rounding=rounding), "frame_index", "bucket_size", "kind", "r", "g", "b")
+        assert found == [(1, 10, "average", 10, 20, 30), (1, 10, "dominant", 10, 20, 30)]
+        assert rows(color.average_color(pixels, 10, rounding=rounding), "frame_index", "r", "g", "b") == [(1, 10, 20, 30)]
+
+
+@pytest.mark.parametrize("size", [0, -1, 256])
+def test_sizes_are_checked_when_called(spark, size):
+    pixels = spark.createDataFrame([("v", 1, 10, 20, 30)], "video_key string, frame_index long, r int, g int, b int")
+    for call in (color.average_color, color.dominant_color, color.channel_histogram):
+        with pytest.raises(ValueError, match="between 1 and 255"):
+            call(pixels, size)

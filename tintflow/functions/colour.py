@@ -4,12 +4,19 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 CHANNELS = ("R", "G", "B")
+SMALLEST_BUCKET, LARGEST_BUCKET = 1, 255
+
+
+def valid_size(bucket_size: int) -> Column:
+    if not SMALLEST_BUCKET <= bucket_size <= LARGEST_BUCKET:
+        raise ValueError(f"a bucket size lies between {SMALLEST_BUCKET} and {LARGEST_BUCKET}, not {bucket_size}")
+    return F.lit(bucket_size)
 
 
 def bucketize(channel, bucket_size) -> Column:
     """Lower bound of the interval of width ``bucket_size`` that holds the channel value."""
     value = F.col(channel) if isinstance(channel, str) else channel
-    size = F.col(bucket_size) if isinstance(bucket_size, str) else F.lit(bucket_size)
+    size = F.col(bucket_size) if isinstance(bucket_size, str) else valid_size(bucket_size)
     return value - value % size
 
 

@@ -7,7 +7,7 @@ before the shuffle: at most 256 rows per channel and frame leave a task, however
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tintflow.functions.colour import bucket_label, bucketize
+from tintflow.functions.colour import LARGEST_BUCKET, SMALLEST_BUCKET, bucket_label, bucketize, valid_size
 from tintflow.schemas import require
 from tintflow.session import is_small, join_on_group, staged
 
@@ -69,102 +69,111 @@ def weigh(pixels: DataFrame, keys: list[str]) -> DataFrame:
     return pixels.groupBy(*keys, "r", "g", "b").agg(pixel_weight(pixels).alias("weight"))
 
 
-# An observation is one integer: the slot it belongs to above 24 bits that hold a channel bucket or a joint bucket.
+# An observation is one integer: the slot it belongs to above 24 bits that hold a channel's value or all three.
 RED, GREEN, BLUE, JOINT = 0, 1, 2, 3
 SLOT_SHIFT = 24
 
 
-def _observations() -> Column:
-    """What one pixel contributes to its frame's colour: three channel buckets, or one joint bucket."""
-    red, green, blue = (bucketize(c, "bucket_size").cast("int") for c in "rgb")
+def usable_pixels(pixels: DataFrame) -> DataFrame:
+    """Pixels whose channels all lie in 0..255; others, null ones too, are no pixels of their frame."""
+    return pixels.filter(F.col("r").between(0, 255) & F.col("g").between(0, 255) & F.col("b").between(0, 255))
 
-    def seen(slot, value):
-        return value.bitwiseOR(F.lit(slot << SLOT_SHIFT))
 
-    joint = F.shiftleft(red, 16).bitwiseOR(F.shiftleft(green, 8)).bitwiseOR(blue)
-    return F.when(F.col("kind") == "average", F.array(seen(RED, red), seen(GREEN, green), seen(BLUE, blue))
-                  ).otherwise(F.array(seen(JOINT, joint)))
+def _observations(red: Column, green: Column, blue: Column, average: Column | None = None) -> Column:
+    """What one pixel contributes to its frame's colours: its channels for averages, their joint value for the dominant one.
 
+    Without ``average`` it contributes to both.
+    """
+    def seen(slot, value):
+        return value.cast("int").bitwiseOR(F.lit(slot << SLOT_SHIFT))
 
-def _average(slot: int, rounding: str) -> Column:
-    """Average of a channel from its counted buckets (``seen``), as an integer.
+    channels = [seen(RED, red), seen(GREEN, green), seen(BLUE, blue)]
+    joint = seen(JOINT, F.shiftleft(red.cast("int"), 16).bitwiseOR(F.shiftleft(green.cast("int"), 8)).bitwiseOR(blue.cast("int")))
+    if average is None:
+        return F.array(*channels, joint)
+    return F.when(average, F.array(*channels)).otherwise(F.array(joint))
 
-    ``truncate`` drops the fraction of every bucket's contribution, ``exact`` only that of the sum.
-    """
-    buckets = F.filter("seen", lambda s: s["slot"] == slot)
-    if rounding == "exact":
-        parts = F.transform(buckets, lambda s: s["cnt"] * s["value"])
-    else:
-        parts = F.transform(buckets, lambda s: F.call_function("div", s["cnt"] * s["value"], F.col("pixels")))
-    total = F.aggregate(parts, F.lit(0).cast("long"), lambda a, v: a + v)
-    return F.call_function("div", total, F.col("pixels")) if rounding == "exact" else total
 
+def _split(counted: DataFrame) -> DataFrame:
+    """``seen`` taken apart into slot and value."""
+    return (counted.withColumn("slot", F.shiftright("seen", SLOT_SHIFT))
+            .withColumn("value", F.col("seen").bitwiseAND(F.lit((1 << SLOT_SHIFT) - 1))).drop("seen"))
 
-def colors_of(pixels: DataFrame, *, rounding: str = "truncate") -> DataFrame:
-    """One colour per frame, bucket size and kind, from pixels that carry distinct ``bucket_size`` and ``kind``.
 
-    One pass serves both kinds. ``seen`` holds at most 3 x 256 counted buckets per frame. The dominant colour is the most
-    frequent joint bucket; of equally frequent ones the greatest label in byte order.
+def _colors(counted: DataFrame, rounding: str) -> DataFrame:
+    """One colour per frame, bucket size and kind from counted buckets (slot, value, cnt).
+
+    The dominant colour is the most frequent joint bucket; of equally frequent ones the greatest label in byte order.
+    ``truncate`` drops the fraction of every bucket's contribution to an average, ``exact`` only that of the sum.
     """
     if rounding not in ROUNDINGS:
         raise ValueError(f"rounding is one of {ROUNDINGS}")
-    require(pixels, *FRAME, "r", "g", "b", "bucket_size", "kind")
-    counted = (
-        pixels.withColumn("seen", F.explode(_observations()))
-        .groupBy(*FRAME, "bucket_size", "seen").agg(pixel_weight(pixels).alias("cnt"))
-        .select(*FRAME, "bucket_size", "cnt", F.shiftright("seen", SLOT_SHIFT).alias("slot"),
-                F.col("seen").bitwiseAND(F.lit((1 << SLOT_SHIFT) - 1)).alias("value"))
-        .withColumn("kind", F.when(F.col("slot") == JOINT, "dominant").otherwise("average"))
-    )
     frame = [*FRAME, "bucket_size", "kind"]
+    rows = counted.withColumn("kind", F.when(F.col("slot") == JOINT, "dominant").otherwise("average"))
+    of_red = F.when(F.col("slot") == RED, F.col("cnt"))
+    rows = rows.withColumn("pixels", F.sum(of_red).over(Window.partitionBy(*frame)))
+
+    def average(slot):
+        part = F.col("cnt") * F.col("value")
+        if rounding == "truncate":
+            return F.sum(F.when(F.col("slot") == slot, F.call_function("div", part, F.col("pixels"))))
+        return F.call_function("div", F.sum(F.when(F.col("slot") == slot, part)), F.max("pixels"))
+
     red, green, blue = (F.shiftright("value", s).bitwiseAND(F.lit(255)) for s in (16, 8, 0))
     most = F.struct("cnt", bucket_label(red, green, blue).alias("label"), "value")
-    per_frame = counted.groupBy(*frame).agg(
-        F.collect_list(F.when(F.col("slot") != JOINT, F.struct("slot", "value", "cnt"))).alias("seen"),
-        F.max(F.when(F.col("slot") == JOINT, most))["value"].alias("top"),
-    ).withColumn("pixels", F.aggregate(
-        F.filter("seen", lambda s: s["slot"] == RED), F.lit(0).cast("long"), lambda a, s: a + s["cnt"]))
-    return per_frame.select(
-        *frame,
-        *[F.when(F.col("kind") == "average", _average(slot, rounding))
-          .otherwise(F.shiftright("top", shift).bitwiseAND(F.lit(255))).cast("int").alias(name)
-          for name, slot, shift in (("r", RED, 16), ("g", GREEN, 8), ("b", BLUE, 0))])
+    per_frame = rows.groupBy(*frame).agg(
+        average(RED).alias("ar"), average(GREEN).alias("ag"), average(BLUE).alias("ab"),
+        F.max(F.when(F.col("slot") == JOINT, most))["value"].alias("top"))
+    return per_frame.select(*frame, *[
+        F.when(F.col("kind") == "average", F.col(f"a{name}")).otherwise(F.shiftright("top", shift).bitwiseAND(F.lit(255)))
+        .cast("int").alias(name) for name, shift in (("r", 16), ("g", 8), ("b", 0))])
+
+
+def colors_of(pixels: DataFrame, *, rounding: str = "truncate") -> DataFrame:
+    """One colour per frame, bucket size and kind, from pixels that carry distinct ``bucket_size`` and ``kind``.
+
+    One pass serves both kinds; at most 3 x 256 counted channel buckets of a frame leave a task.
+    """
+    require(pixels, *FRAME, "r", "g", "b", "bucket_size", "kind")
+    observed = _observations(*[bucketize(c, "bucket_size") for c in "rgb"], F.col("kind") == "average")
+    counted = (usable_pixels(pixels).withColumn("seen", F.explode(observed))
+               .groupBy(*FRAME, "bucket_size", "seen").agg(pixel_weight(pixels).alias("cnt")))
+    return _colors(_split(counted), rounding)
 
 
 def average_color(pixels: DataFrame, bucket_size: int, *, rounding: str = "truncate") -> DataFrame:
-    asked = pixels.withColumn("bucket_size", F.lit(bucket_size)).withColumn("kind", F.lit("average"))
+    asked = pixels.withColumn("bucket_size", valid_size(bucket_size)).withColumn("kind", F.lit("average"))
     return colors_of(asked, rounding=rounding)
 
 
 def dominant_color(pixels: DataFrame, bucket_size: int) -> DataFrame:
-    asked = pixels.withColumn("bucket_size", F.lit(bucket_size)).withColumn("kind", F.lit("dominant"))
+    asked = pixels.withColumn("bucket_size", valid_size(bucket_size)).withColumn("kind", F.lit("dominant"))
     return colors_of(asked)
 
 
-# Distinct (bucket size, kind) pairs up to which all of them are computed for every frame.
-FEW_COMBINATIONS = 8
-
-
 def requested_colors(pixels: DataFrame, requests: DataFrame, *, rounding: str = "truncate") -> DataFrame:
     """Colours of the requested videos' frames, for each (bucket size, kind) asked of their video.
 
-    Few requests are broadcast to the pixels. With many requests but few distinct pairs, each frame gets the
-    colour of every pair, and the requests choose among the results, which are far smaller than the pixels.
-    Otherwise equal pixels of a frame are counted, and the counted rows shuffled to the requests.
+    The pixels are counted once, before anything is known of sizes: levels per channel (at most 768 rows a frame, which
+    serve the averages of all sizes) and colours (which serve all dominant ones). The requests meet the counted rows
+    and cut them into their buckets. Sizes outside 1..255 get no colour.
     """
     asked = ["video_key", "bucket_size", "kind"]
-    wanted = requests.select(*asked).distinct()
-    if is_small(wanted):
-        return colors_of(pixels.join(F.broadcast(wanted), "video_key"), rounding=rounding)
-    # At most 510 rows: 255 bucket sizes of two kinds.
-    pairs = wanted.select("bucket_size", "kind").distinct().collect()
-    if len(pairs) <= FEW_COMBINATIONS:
-        each = F.explode(F.array(*[F.struct(F.lit(size).alias("bucket_size"), F.lit(kind).alias("kind"))
-                                   for size, kind in pairs]))
-        every = colors_of(pixels.withColumn("_pair", each).select("*", "_pair.*"), rounding=rounding)
-        return join_on_group(every, wanted, asked, ["frame_index"], "left_semi", small=False)
-    spread = join_on_group(weigh(pixels, FRAME), wanted, "video_key", [*FRAME, "r", "g", "b"], small=False)
-    return colors_of(spread, rounding=rounding)
+    wanted = staged(requests.filter(F.col("bucket_size").between(SMALLEST_BUCKET, LARGEST_BUCKET)).select(*asked).distinct())
+    small = is_small(wanted)
+    videos = wanted.groupBy("video_key").agg(F.max(F.col("kind") == "average").alias("_averages"),
+                                             F.max(F.col("kind") != "average").alias("_dominants"))
+    used = join_on_group(usable_pixels(pixels), videos, "video_key", [*FRAME, "r", "g", "b"], small=small)
+    observed = F.filter(_observations(F.col("r"), F.col("g"), F.col("b")), lambda seen: F.when(
+        F.shiftright(seen, SLOT_SHIFT) == JOINT, F.col("_dominants")).otherwise(F.col("_averages")))
+    counted = _split(used.withColumn("seen", F.explode(observed)).groupBy(*FRAME, "seen").agg(pixel_weight(pixels).alias("cnt")))
+    spread = join_on_group(counted, wanted, "video_key", ["frame_index", "slot", "value"], small=small)
+    spread = spread.filter((F.col("slot") == JOINT) == (F.col("kind") != "average"))
+    channels = [bucketize(F.shiftright("value", shift).bitwiseAND(F.lit(255)), "bucket_size") for shift in (16, 8, 0)]
+    joint = F.shiftleft(channels[0], 16).bitwiseOR(F.shiftleft(channels[1], 8)).bitwiseOR(channels[2])
+    value = F.when(F.col("slot") == JOINT, joint).otherwise(bucketize("value", "bucket_size"))
+    bucketed = (spread.withColumn("value", value).groupBy(*FRAME, "bucket_size", "slot", "value").agg(F.sum("cnt").alias("cnt")))
+    return _colors(bucketed, rounding)
 
 
 def attach_frames(pixels: DataFrame, frames: DataFrame) -> DataFrame:
