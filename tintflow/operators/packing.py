@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tintflow.operators.ordering import CHUNK, across_chunks, cut_into_chunks
-from tintflow.session import join_on_group
+from tintflow.session import join_on_group, staged
 
 # Container limit in bytes (fixed value).
 CONTAINER_CAP = 10_000_000_000
@@ -107,6 +107,20 @@ def _place(sizes: np.ndarray, cap: int, container: int, fill: int) -> tuple[np.n
         at, upto, container, fill = upto, following[upto], container + 1, 0
 
 
+def _within(passed: list, counts: dict, budget: int) -> set:
+    """Keys of each volume's chunks up to the first whose steps would exceed the budget; its first chunk always."""
+    kept, left, ended = set(), {}, set()
+    for piece in passed:
+        steps = counts.get((piece.volume, piece.number), 0)
+        rest = left.get(piece.volume, budget)
+        if piece.volume in ended or piece.volume in left and steps > rest:
+            ended.add(piece.volume)
+            continue
+        left[piece.volume] = rest - steps
+        kept.add((piece.volume, piece.number))
+    return kept
+
+
 def _entered(chunked: DataFrame, cap: int, budget: int) -> DataFrame:
     """Container and fill that each chunk meets, for volumes lying in more than one chunk."""
     keys = ["volume", CHUNK]
@@ -142,14 +156,22 @@ def _entered(chunked: DataFrame, cap: int, budget: int) -> DataFrame:
                 if cost:
                     asked.append((volume, int(piece.number), int(low), int(high)))
                 low, high = _fills_after(piece, low, high, cap)
-        window = spark.createDataFrame(asked, f"{head}, _low long, _high long")
-        found = (
-            chunked.select(*keys, "seq", "size").join(F.broadcast(window), keys).groupBy(*keys)
-            .applyInPandas(steps, f"{head}, above long, opened long, fill long, keeps boolean").toPandas()
-            .sort_values([*keys, "above"])
-        ) if asked else pd.DataFrame(columns=keys)
-        tables = {key: table for key, table in found.groupby(keys)}
+        tables, fetched = {}, {(piece.volume, piece.number) for piece in passed}
+        if asked:
+            window = spark.createDataFrame(asked, f"{head}, _low long, _high long")
+            made = staged(chunked.select(*keys, "seq", "size").join(F.broadcast(window), keys).groupBy(*keys)
+                          .applyInPandas(steps, f"{head}, above long, opened long, fill long, keeps boolean"))
+            # The steps were estimated; what is fetched is counted first. A chunk whose fill is known exactly, as that of
+            # each volume's first one is, has few steps, so every round gets on.
+            counts = {(r.volume, r.number): r.steps for r in made.groupBy(*keys).agg(
+                F.count("*").alias("steps")).withColumnRenamed(CHUNK, "number").toPandas().itertuples()}
+            fetched = _within(passed, counts, budget // len(ahead))
+            wanted = spark.createDataFrame([key for key in fetched if key in counts], head)
+            found = made.join(F.broadcast(wanted), keys).toPandas().sort_values([*keys, "above"])
+            tables = {key: table for key, table in found.groupby(keys)}
         for piece in passed:
+            if (piece.volume, piece.number) not in fetched:
+                continue
             container, fill = reached[piece.volume]
             states.append((piece.volume, int(piece.number), container, fill))
             ahead[piece.volume].pop(0)
