@@ -7,7 +7,7 @@ from conftest import rows
 from tintflow.operators import history
 from tintflow.plans.analyze import save
 from tintflow.session import new_folder
-from tintflow.sources import files, manifests
+from tintflow.sources import images, files, manifests
 from tintflow.sources import requests as request_files
 
 
@@ -33,9 +33,11 @@ def test_long_manifest_is_several_files(spark):
         manifests.write_manifests(frames(spark, {"hot": 3000}), folder)
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
-    parts = sorted(os.listdir(folder.removeprefix("file:") + "/video_key=hot"))
+    place = folder.removeprefix("file:")
+    place += "/" + next(name for name in os.listdir(place) if name.startswith("manifest="))
+    parts = sorted(os.listdir(place))
     assert len([p for p in parts if p.endswith(".txt")]) > 1
-    first = open(folder.removeprefix("file:") + "/video_key=hot/" + [p for p in parts if p.endswith(".txt")][0]).read()
+    first = open(place + "/" + [p for p in parts if p.endswith(".txt")][0]).read()
     assert first.split("\n")[:2] == ["hot", "Frames/hot/0.png"]
     found = manifests.read_manifests(spark, folder, per_directory=True, chunks=5)
     assert rows(found, "line_no", "path") == sorted(((k + 1, f"Frames/hot/{k}.png") for k in range(3000)), key=repr)
@@ -123,3 +125,18 @@ def test_kept_versions(spark):
     kept = history.last_versions(writes, ["video_key"])
     assert rows(kept.groupBy("video_key").count().filter("video_key = 'hot'"), "count") == [(20,)]
     assert kept.filter("video_key = 'hot'").agg(F.min("seq")).first()[0] == 880
+
+
+def test_writing_manifests_leaves_those_of_other_videos(spark):
+    folder, long = new_folder(spark, "manifests"), "http://v/" + "x" * 300
+    manifests.write_manifests(frames(spark, {"a": 3, long: 2}), folder)
+    manifests.write_manifests(frames(spark, {"b": 2}), folder)
+    manifests.write_manifests(frames(spark, {"a": 1}), folder)
+    found = rows(manifests.read_manifests(spark, folder, per_directory=True).groupBy("video_key").count())
+    assert found == sorted([("a", 1), ("b", 2), (long, 2)])
+
+
+@pytest.mark.parametrize("location", ["/u/Frames/a.png", "file:/u/Frames/a.png", "file:///u/Frames/a.png", "hdfs://nn:8020/u/Frames/a.png",
+                                      "s3a://bucket/u/Frames/a.png"])
+def test_locations_share_their_path(spark, location):
+    assert rows(spark.createDataFrame([(location,)], "path string").select(images.path_only("path"))) == [("/u/Frames/a.png",)]

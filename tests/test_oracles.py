@@ -7,8 +7,6 @@ from __spark_entry__ import entry
 from catalog.registry import ORACLES, QUERIES
 
 SF = "/root/testdata/sf0.001"
-# Queries without SQL, and why.
-NO_SQL = {"video_ingest": "reads the table files themselves as opaque bytes"}
 
 
 @pytest.mark.parametrize("name", list(QUERIES))
@@ -17,8 +15,8 @@ def test_query_equals_sql(spark, name):
     assert good, text
 
 
-def test_only_named_queries_lack_sql():
-    assert set(QUERIES) - set(ORACLES) == set(NO_SQL)
+def test_every_query_has_sql():
+    assert set(QUERIES) == set(ORACLES)
 
 
 def test_entry(spark):

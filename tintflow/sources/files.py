@@ -3,6 +3,8 @@
 Spark's file listing leaves out files without bytes and those whose names begin with a dot or an underscore.
 """
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,6 +21,26 @@ def read_videos(spark: SparkSession, path: str, *, with_content: bool = True, gl
     return files.select(*columns, *(["content"] if with_content else []))
 
 
+def write_files(files: DataFrame, folder: str, *, name: str = "name", content: str = "content") -> DataFrame:
+    """Write the bytes of each row as a file of its name, from the executor that has them; the rows without them, with ``path``.
+
+    A file appears under its name only when it is whole, and replaces an older one; a task that runs again does no harm.
+    """
+    def write(batches):
+        from pyarrow import fs
+        target, root = fs.FileSystem.from_uri(folder)
+        target.create_dir(root, recursive=True)
+        for batch in batches:
+            for part in batch[[name, content]].itertuples(index=False):
+                unfinished = f"{root}/_{uuid.uuid4().hex}"
+                with target.open_output_stream(unfinished) as out:
+                    out.write(part[1])
+                target.move(unfinished, f"{root}/{part[0]}")
+            yield batch.drop(columns=[content]).assign(path=[f"{folder.rstrip('/')}/{n}" for n in batch[name]])
+
+    return files.mapInPandas(write, files.drop(content).schema.add("path", "string"))
+
+
 def list_files(spark: SparkSession, path: str, *, recursive: bool = True) -> DataFrame:
     """Path and modification time of the files in a directory; no file is opened."""
     return (spark.read.format("binaryFile").option("recursiveFileLookup", recursive).load(path)
