@@ -2,13 +2,12 @@
 
 import public_tokenizers
 
-from tintflow.llm import jaccard_join
+from tintflow.llm import jaccard_join, license_scan
 from tintflow.llm.byte_bpe import encode_table
 from tintflow.llm.common import table
 from tintflow.llm.embedding_dedup import link
 from tintflow.llm.html_text import extract
 from tintflow.llm.language_id import identify
-from tintflow.llm.license_scan import scan
 from tintflow.llm.mixing import mix
 from tintflow.llm.sharding import shard
 from tintflow.llm.token_counts import token_counts
@@ -37,9 +36,41 @@ def op2_language_id(spark, sf_dir):
     return identify(table(spark, sf_dir, "documents"))
 
 
-@query()
+def sql_list(words):
+    return "[" + ", ".join(f"'{w}'" for w in words) + "]"
+
+
+LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+LICENSE_WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+PHRASE_STARTS = " UNION ALL ".join(
+    f"SELECT doc_id, '{label}' AS label, unnest(list_filter(range(1, len(words) + 1), "
+    f"lambda i: words[i:i + {len(phrase.split()) - 1}] = {sql_list(phrase.split())})) - 1 AS start FROM texts"
+    for phrase, label in license_scan.PHRASES.items())
+LICENSE_TEMPLATES = ", ".join(f"('{label}', '{template}')" for label, template in license_scan.TEMPLATES)
+
+
+@query(f"""
+WITH texts AS (SELECT doc_id, {LOWERED} AS lower, regexp_extract_all({LOWERED}, '{LICENSE_WORDS}') AS words FROM documents),
+starts AS ({PHRASE_STARTS}),
+base AS (SELECT doc_id, count(*) AS n_base, min(start) AS first_word, max(start) AS last_word, list(DISTINCT label) AS labels
+         FROM starts GROUP BY doc_id),
+lines AS (SELECT doc_id, generate_subscripts(string_split(lower, chr(10)), 1) AS n, unnest(string_split(lower, chr(10))) AS line FROM texts),
+held AS (SELECT doc_id, n, list_distinct(regexp_extract_all(line, '{LICENSE_WORDS}')) AS words FROM lines),
+blocks AS (SELECT doc_id, n, 1 AS width, words FROM held UNION ALL SELECT a.doc_id, a.n, 2, list_distinct(list_concat(a.words, b.words))
+           FROM held a JOIN held b ON a.doc_id = b.doc_id AND b.n = a.n + 1),
+templates AS (SELECT label, list_distinct(regexp_extract_all(lower(template), '{LICENSE_WORDS}')) AS words
+              FROM (VALUES {LICENSE_TEMPLATES}) t(label, template)),
+shared AS (SELECT doc_id, n, width, label, len(t.words) AS size, len(list_intersect(b.words, t.words)) AS common FROM blocks b, templates t),
+matches AS (SELECT *, common / size AS share FROM shared WHERE common >= ceil(0.9 * size - 1e-9)
+            QUALIFY row(share, common) = max(row(share, common)) OVER (PARTITION BY doc_id, n, width)),
+found AS (SELECT doc_id, list(DISTINCT label) AS labels, max(share) AS share FROM matches GROUP BY doc_id)
+SELECT t.doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+  coalesce(array_to_string(list_sort(b.labels), ','), '') AS base_labels,
+  coalesce(array_to_string(list_sort(list_distinct(list_concat(coalesce(b.labels, []), coalesce(f.labels, [])))), ','), '') AS labels,
+  CAST(CASE WHEN n_base > 0 THEN 1.0 ELSE coalesce(share, 0.0) END AS DOUBLE) AS score
+FROM texts t LEFT JOIN base b ON t.doc_id = b.doc_id LEFT JOIN found f ON t.doc_id = f.doc_id""")
 def op3_license_scan(spark, sf_dir):
-    return scan(table(spark, sf_dir, "documents"))
+    return license_scan.scan(table(spark, sf_dir, "documents"))
 
 
 @query("""
@@ -88,7 +119,17 @@ def op8_html_text(spark, sf_dir):
     return extract(table(spark, sf_dir, "pages"))
 
 
-@query()
+@query(rf"""
+WITH RECURSIVE texts AS (SELECT doc_id, regexp_extract_all({LOWERED}, '[^\x20\x09-\x0D]+') AS words FROM documents),
+shingles AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 4 THEN [array_to_string(words, ' ')]
+  ELSE list_transform(range(1, len(words) - 2), lambda i: array_to_string(words[i:i + 3], ' ')) END) AS shingle FROM texts),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM shingles a JOIN shingles b
+  ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+reached(a, b) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.a, l.b FROM reached r JOIN links l ON r.b = l.a),
+least AS (SELECT a AS doc_id, min(b) AS component_id FROM reached GROUP BY a)
+SELECT l.doc_id, coalesce(n, 0) AS n_shingles, component_id FROM least l LEFT JOIN sizes s ON l.doc_id = s.doc_id""")
 def op9_jaccard_join(spark, sf_dir):
     return jaccard_join.join(table(spark, sf_dir, "documents"), width=4, percent=85).drop("_row", "_group")
 
