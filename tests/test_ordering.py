@@ -5,6 +5,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from conftest import rows
+from tintflow import session
 from tintflow.operators.ordering import CHUNK, across_chunks, cut_into_chunks, frame_ordinals, number_rows
 
 
@@ -47,3 +48,12 @@ def test_frame_ordinals_start(lopsided):
 
 def test_empty_input(spark):
     assert number_rows(spark.createDataFrame([], "g string, n long"), ["g"], ["n"]).count() == 0
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi"])
+def test_only_hot_keys_are_dealt(spark, how):
+    data = [("hot", n) for n in range(300)] + [(f"k{n}", n) for n in range(600)] + [(None, n) for n in range(50)]
+    rows_, groups = spark.createDataFrame(data, "k string, n int"), spark.createDataFrame([("hot", 1), ("k3", 2), (None, 3), ("x", 4)], "k string, g int")
+    dealt = session.join_on_group(rows_, groups, "k", ["n"], how, salts=8, small=False)
+    assert rows(dealt) == rows(rows_.join(groups, "k", how))
+    assert rows(session.hot_keys(rows_, ["k"], 8)) == [("hot", True)]

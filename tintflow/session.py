@@ -57,15 +57,34 @@ def join_on_group(rows: DataFrame, per_group: DataFrame, key: str | list[str], s
     """Join a large table with few rows per ``key`` value where one key may hold much of the large table.
 
     The small side is broadcast after its rows were counted (by a caller passing ``small``, or here, staged
-    first so that what it was computed from is read once). Otherwise the large side of each key is dealt over
-    ``salts`` partitions and the other side repeated for each of them.
+    first so that what it was computed from is read once). A semi join needs no more than the engine's own splitting of
+    large partitions. Otherwise the keys that hold more than one in ``salts`` of the rows, at most ``salts`` of them, are
+    found by a count over the key columns; only their rows are dealt over partitions, and only their rows of the other
+    side repeated.
     """
     if small is None:
         per_group = staged(per_group)
         small = is_small(per_group)
     if small:
         return rows.join(F.broadcast(per_group), key, how)
+    if how == "left_semi":
+        return rows.join(per_group, key, how)
     keys = [key] if isinstance(key, str) else key
-    dealt = rows.withColumn("_salt", F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int"))
-    repeated = per_group.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    hot = hot_keys(rows, keys, salts)
+    any_null = F.greatest(*[F.col(k).isNull() for k in keys], F.lit(False))
+    spread = F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int")
+    # Rows without a key meet nothing, so they may lie anywhere.
+    dealt = (rows.join(F.broadcast(hot), keys, "left")
+             .withColumn("_salt", F.when(F.col("_hot") | any_null, spread).otherwise(0)).drop("_hot"))
+    every = F.sequence(F.lit(0), F.lit(salts - 1))
+    repeated = (per_group.join(F.broadcast(hot), keys, "left")
+                .withColumn("_salt", F.explode(F.when(F.col("_hot"), every).otherwise(F.array(F.lit(0))))).drop("_hot"))
     return dealt.join(repeated, [*keys, "_salt"], how).drop("_salt")
+
+
+def hot_keys(rows: DataFrame, keys: list[str], share: int) -> DataFrame:
+    """The keys that hold more than one in ``share`` of the rows, so fewer than ``share``, marked ``_hot``."""
+    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_count"))
+    total = rows.select(*keys).count()
+    found = counts.filter(F.col("_count") > total / share).select(*keys).collect()
+    return rows.sparkSession.createDataFrame(found, rows.select(*keys).schema).withColumn("_hot", F.lit(True))
