@@ -8,11 +8,11 @@ Candidates. Small sets, up to a boundary, write a key for each subset of the siz
 link between sets of a and b shingles is at least need(a, b)). Large sets scan inverted lists, to which a set belongs
 by its first shingles in a global order, as many as a link may miss plus one. The order puts frequent shingles last: the
 counts of all documents decide for the shingles low in hash order, from which nearly all these firsts come, and the
-bound that makes a shingle frequent leaves at most a million of them. The boundary is the size up to which keys of
+bound that makes a shingle frequent leaves at most four million of them. The boundary is the size up to which keys of
 subsets cost no more than the scans would.
 
-Lists of up to ``LIST`` sets are written as pairs, which are cut down exactly: by size, then by a lower bound of the
-symmetric difference from small parity bitmaps, then by the sets themselves. Longer lists, which remain where many
+Lists of up to ``LIST`` sets are written as pairs, which are cut down exactly: by size and
+by what is left after a shared shingle in the order, then by a lower bound of the symmetric difference from small parity bitmaps, then by the sets themselves. Longer lists, which remain where many
 documents consist of the same frequent shingles, are not written as pairs: sets that share such a list form a block, the
 block is ordered by size and cut into chunks, and every two chunks whose sizes allow a link are compared in one task,
 which returns no more links than connect its sets.
@@ -38,9 +38,9 @@ from pyspark.sql import functions as F
 from tintflow.llm.common import components, numbered, shuffle_partitions, staged
 from tintflow.session import is_small
 
-LIST = 48  # sets of an inverted list that is written as pairs
-FREQUENT = 64  # documents from which on a shingle may count as frequent
-MOST_FREQUENT = 1_000_000  # shingles that may count as frequent
+LIST = 48  # sets of an inverted list that is written as pairs; more where shingles must be in more documents to be frequent
+FREQUENT = 8  # documents beyond which a shingle may count as frequent
+MOST_FREQUENT = 4_000_000  # shingles that may count as frequent
 CHUNK = 256  # sets on either side of a task that compares long lists
 SMALL = 24  # the boundary is at most this size: beyond it, subsets are never cheaper
 SCAN_COST = 3.0  # reading a list and looking at its pairs, in units of writing one key
@@ -121,8 +121,8 @@ class Rule:
         return n - self.least(n) + 1
 
     def zone(self) -> int:
-        """Hashes below this bound are counted; they are 1.6 times as many as the firsts."""
-        return LOWEST + int(1.6 * (1 - self.percent / 100) * 2 ** 64)
+        """Hashes below this bound are counted; they are twice as many as the firsts."""
+        return LOWEST + int(2 * (1 - self.percent / 100) * 2 ** 64)
 
     def subset_sizes(self, n: int, boundary: int) -> list[int]:
         return sorted({self.need(m, n) for m in range(self.least(n), min(boundary, n * 100 // self.percent) + 1)})
@@ -153,13 +153,14 @@ def set_rows(docs: DataFrame, width: int, rule: Rule) -> DataFrame:
 
 # Keys --------------------------------------------------------------------------------------------------------------
 
-def frequent_shingles(sets: DataFrame, zone: int) -> np.ndarray:
-    """Ascending. Each counts more than 1 / MOST_FREQUENT of all counted shingles, so there are no more than that."""
+def frequent_shingles(sets: DataFrame) -> tuple[np.ndarray, int]:
+    """Ascending, and the number of documents beyond which they are frequent. Each counts more than 1 / MOST_FREQUENT of all
+    counted shingles, so there are no more than that."""
     total = sets.agg(F.sum(F.col("zoned").cast("long"))).first()[0] or 0
     bound = max(FREQUENT, total // MOST_FREQUENT)
     counted = sets.select(F.explode(F.expr("slice(low, 1, zoned)")).alias("shingle")).groupBy("shingle").count()
     found = counted.where(F.col("count") > bound).select("shingle").toPandas()["shingle"]
-    return np.sort(found.to_numpy(np.int64))
+    return np.sort(found.to_numpy(np.int64)), bound
 
 
 def size_boundary(sets: DataFrame, rule: Rule) -> int:
@@ -176,27 +177,28 @@ def size_boundary(sets: DataFrame, rule: Rule) -> int:
 
 
 def key_rows(sets: DataFrame, rule: Rule, frequent: np.ndarray, boundary: int) -> DataFrame:
-    """key, hi, lo, n: what a set is listed under. A task writes the keys of a set once."""
+    """key, hi, lo, n, at: what a set is listed under, and how many of its shingles come before in the global order (0 for
+    subsets). A task writes the keys of a set once."""
     shared = sets.sparkSession.sparkContext.broadcast(frequent)  # at most MOST_FREQUENT numbers
 
-    def keys_of(n: int, zoned: int, low: np.ndarray, frequent: np.ndarray) -> list[np.ndarray]:
+    def keys_of(n: int, zoned: int, low: np.ndarray, frequent: np.ndarray) -> list[tuple[np.ndarray, bool]]:
         found = []
         if n <= boundary:
             for k in rule.subset_sizes(n, boundary):
                 chosen = np.array(list(itertools.combinations(low.view(np.uint64), k)), np.uint64).reshape(-1, k)
-                found.append(mixed(chosen.sum(axis=1, dtype=np.uint64) * FACTORS[2] + np.uint64(k)).view(np.int64))
+                found.append((mixed(chosen.sum(axis=1, dtype=np.uint64) * FACTORS[2] + np.uint64(k)).view(np.int64), False))
         if n * 100 // rule.percent > boundary:
             inside = low[:zoned]
             if len(frequent):
                 often = frequent[np.minimum(np.searchsorted(frequent, inside), len(frequent) - 1)] == inside
                 low = np.concatenate([inside[~often], low[zoned:], inside[often]])
-            found.append(low[:rule.first(n)])
+            found.append((low[:rule.first(n)], True))
         return found
 
     def run(batches):
         frequent, written = shared.value, set()
         for batch in batches:
-            keys, high, low, sizes = [], [], [], []
+            keys, high, low, sizes, places = [], [], [], [], []
             flat = batch.column(4).flatten().to_numpy(zero_copy_only=False)
             ends = np.cumsum([len(x) for x in batch.column(4)])
             for h, lo, n, zoned, end, size in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(),
@@ -206,8 +208,9 @@ def key_rows(sets: DataFrame, rule: Rule, frequent: np.ndarray, boundary: int) -
                     continue
                 if len(written) < 1 << 18:
                     written.add((h, lo))
-                for found in keys_of(n, zoned, flat[end - size:end], frequent):
+                for found, ordered in keys_of(n, zoned, flat[end - size:end], frequent):
                     keys.append(found)
+                    places.append(np.arange(len(found)) if ordered else np.zeros(len(found), np.int64))
                     high.append(h)
                     low.append(lo)
                     sizes.append(n)
@@ -215,25 +218,32 @@ def key_rows(sets: DataFrame, rule: Rule, frequent: np.ndarray, boundary: int) -
                 times = [len(k) for k in keys]
                 yield pa.RecordBatch.from_pydict({
                     "key": np.concatenate(keys), "hi": np.repeat(np.array(high, np.int64), times),
-                    "lo": np.repeat(np.array(low, np.int64), times), "n": np.repeat(np.array(sizes, np.int32), times)})
+                    "lo": np.repeat(np.array(low, np.int64), times), "n": np.repeat(np.array(sizes, np.int32), times),
+                    "at": np.concatenate(places).astype(np.int32)})
 
-    return sets.where("n > 0").select("hi", "lo", "n", "zoned", "low").mapInArrow(run, "key long, hi long, lo long, n int")
+    return sets.where("n > 0").select("hi", "lo", "n", "zoned", "low").mapInArrow(
+        run, "key long, hi long, lo long, n int, at int")
 
 
-def pair_rows(keys: DataFrame, rule: Rule) -> DataFrame:
-    """From all lists: pairs of nodes (key null) of short ones, members (b null) of long ones."""
+def pair_rows(keys: DataFrame, rule: Rule, longest: int) -> DataFrame:
+    """From all lists: pairs of nodes (key null) of lists up to ``longest``, members (b null) of longer ones.
+
+    Of a pair, enough shingles must be left from here on: at the first one that both hold, all others that they share follow.
+    """
     def pairs_of(rows: np.ndarray):
-        """rows: key, hi, lo, n, sorted, without repeats, in whole lists."""
+        """rows: key, hi, lo, n, at, sorted, without repeats, in whole lists."""
         starts = np.flatnonzero(np.r_[True, rows["key"][1:] != rows["key"][:-1]])
         sizes = np.diff(np.r_[starts, len(rows)])
-        for k in np.unique(sizes[(sizes > 1) & (sizes <= LIST)]):
+        for k in np.unique(sizes[(sizes > 1) & (sizes <= longest)]):
             at = starts[sizes == k][:, None]
             i, j = np.triu_indices(k, 1)
             a, b = rows[(at + i).ravel()], rows[(at + j).ravel()]
-            near = rule.percent * np.maximum(a["n"], b["n"]).astype(np.int64) <= 100 * np.minimum(a["n"], b["n"])
+            n, m = a["n"].astype(np.int64), b["n"].astype(np.int64)
+            need = -(-rule.percent * (n + m) // (100 + rule.percent))
+            near = (rule.percent * np.maximum(n, m) <= 100 * np.minimum(n, m)) & (np.minimum(n - a["at"], m - b["at"]) >= need)
             if near.any():
                 yield a[near], b[near], False
-        for at, k in zip(starts[sizes > LIST], sizes[sizes > LIST]):
+        for at, k in zip(starts[sizes > longest], sizes[sizes > longest]):
             yield rows[at:at + k], None, True
 
     def batch_of(a, b, long):
@@ -244,7 +254,7 @@ def pair_rows(keys: DataFrame, rule: Rule) -> DataFrame:
             ["key", "a_hi", "a_lo", "a_n", "b_hi", "b_lo", "b_n"])
 
     def run(batches):
-        kind = np.dtype([("key", np.int64), ("hi", np.int64), ("lo", np.int64), ("n", np.int32)])
+        kind = np.dtype([("key", np.int64), ("hi", np.int64), ("lo", np.int64), ("n", np.int32), ("at", np.int32)])
         held, long = np.empty(0, kind), None  # the unfinished last list; the key of a long one already being written
         for batch in batches:
             rows = np.empty(batch.num_rows, kind)
@@ -269,7 +279,7 @@ def pair_rows(keys: DataFrame, rule: Rule) -> DataFrame:
             for found in pairs_of(rows[:last]) if last else ():
                 yield batch_of(*found)
             held = rows[last:]
-            if len(held) > LIST:
+            if len(held) > longest:
                 yield batch_of(held, None, True)
                 long, held = int(held["key"][-1]), held[-1:]
         if long is None and len(held):
@@ -394,8 +404,8 @@ def join(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
     docs = docs.select(F.monotonically_increasing_id().alias("_row"), F.col(id_column).alias("id"),
                        F.col(text_column).alias("text"))
     sets = staged(set_rows(docs, width, rule), "sets")
-    frequent, boundary = frequent_shingles(sets, rule.zone()), size_boundary(sets, rule)
-    candidates = staged(pair_rows(key_rows(sets, rule, frequent, boundary), rule), "candidates")
+    (frequent, bound), boundary = frequent_shingles(sets), size_boundary(sets, rule)
+    candidates = staged(pair_rows(key_rows(sets, rule, frequent, boundary), rule, max(LIST, bound)), "candidates")
     node = "struct(hi, lo) as node"
     nodes = staged(sets.where("n > 0").groupBy("hi", "lo").agg(
         F.min("_row").alias("_row"), F.min("id").alias("least_id"), F.first("n").alias("n"), F.first("bitmap").alias("bitmap"))
