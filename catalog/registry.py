@@ -148,7 +148,7 @@ def strip_of_sql(relation, name):
 
 
 SUPPLIER_STRIP = strip_of_sql(i.SUPPLIER_PX, "supplier_px")
-STRIP_FILE = "^.*/([^/-]*)-[0-9A-F]+-[a-z]+-[0-9]+[.]png$"
+STRIP_FILE = "^.*/([^/-]*)-[0-9A-F]+-[a-z]+-[0-9]+-[0-9]+-[0-9]+[.]png$"
 
 
 def exported(spark, sf_dir, *, tile=images.TILE):
@@ -175,10 +175,8 @@ def strip_png(spark, sf_dir):
        "rgb >> 16 AS r, (rgb >> 8) & 255 AS g, rgb & 255 AS b, CAST(sum(height) AS BIGINT) AS weight "
        "FROM scaled GROUP BY ALL")
 def frame_image_scan(spark, sf_dir):
-    found = exported_images(spark, sf_dir)
-    sizes = found.select("video_key", "path", "width", "height")
-    return (images.image_color_counts(found).join(sizes, "path")
-            .select("video_key", "width", "height", "r", "g", "b", "weight"))
+    counted = images.image_color_counts(exported_images(spark, sf_dir))
+    return counted.select(F.regexp_extract("path", STRIP_FILE, 1).alias("video_key"), "width", "height", "r", "g", "b", "weight")
 
 
 @query(with_(*SUPPLIER_STRIP) + "SELECT video_key, x, unnest(range(height)) AS y, rgb >> 16 AS r, "
