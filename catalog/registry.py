@@ -11,7 +11,7 @@ from tintflow.plans.colors import frame_colors, image_frame_colors
 from tintflow.plans.ingest import ingest
 from tintflow.plans.strips import prefix_scan, video_strip
 from tintflow.schemas import VIDEO_METADATA
-from tintflow.session import apply_defaults, new_folder
+from tintflow.session import new_folder
 from tintflow.sources import files, images, manifests
 from tintflow.sources import requests as request_files
 from tintflow.streaming import sampler
@@ -445,14 +445,13 @@ def sample_frames(spark, sf_dir):
 
 @query(SAMPLED)
 def sample_frames_stream(spark, sf_dir):
-    apply_defaults(spark)
-    out, state = new_folder(spark, "sampled"), new_folder(spark, "sampled-state")
-    layout = spark.read.parquet(f"{sf_dir}/events.parquet").schema
-    arriving = (spark.readStream.schema(layout).option("pathGlobFilter", "events.parquet")
-                .option("maxFilesPerTrigger", 1).parquet(sf_dir))
-    events = arriving.selectExpr(
-        "user_id as video_key", "cast(event_id % 3 as int) as stream_index",
-        "unix_micros(cast(ts as timestamp)) as pts_us", "event_id as seq")
+    """The events arrive in three micro-batches, one after the other in time, so that state is carried."""
+    arrived, out, state = (new_folder(spark, name) for name in ("arrived", "sampled", "sampled-state"))
+    events = i.frame_events(spark, sf_dir)
+    first, second = events.approxQuantile("pts_us", [1 / 3, 2 / 3], 0.01) or [0, 0]
+    for part in (F.col("pts_us") <= first, (F.col("pts_us") > first) & (F.col("pts_us") <= second), F.col("pts_us") > second):
+        events.filter(part).coalesce(1).write.mode("append").parquet(arrived)
+    events = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(arrived)
     written = (sampler.sample_frames_stream(events, interval_us=i.HOURS_6, first_stream_only=False).writeStream
                .outputMode("append").option("checkpointLocation", state).trigger(availableNow=True)
                .format("parquet").start(out))

@@ -9,18 +9,24 @@ from tintflow.operators.sampling import DEFAULT_INTERVAL_US
 
 
 def sample_frames_stream(events: DataFrame, *, interval_us: int = DEFAULT_INTERVAL_US,
-                         first_stream_only: bool = True) -> DataFrame:
+                         first_stream_only: bool = True, forget_after_ms: int | None = None) -> DataFrame:
     """Written pictures of a stream of (video_key, stream_index, pts_us, seq), in append mode.
 
     State per video: the chosen stream, the first picture's time and the number of pictures written. Within a
     micro-batch a video's events are taken in (pts_us, seq) order; a later batch's event that lies
     before the next deadline is not written. A task holds one video's events of one micro-batch, four numbers each:
     set the source's ``maxFilesPerTrigger`` or ``maxBytesPerTrigger`` so that a whole micro-batch would fit.
+
+    With ``forget_after_ms`` the state of a video without events for that long is dropped; should it go on
+    later, it starts anew. Without it a video is never forgotten. For many videos, name the RocksDB state store provider.
     """
     columns = ["video_key", "stream_index", "pts_us", "seq"]
     key_type = events.schema["video_key"].dataType.simpleString()
 
     def sample(key, batches, state):
+        if state.hasTimedOut:
+            state.remove()
+            return
         rows = pd.concat(list(batches), ignore_index=True)
         if state.exists:
             stream, start, written = state.get
@@ -43,9 +49,11 @@ def sample_frames_stream(events: DataFrame, *, interval_us: int = DEFAULT_INTERV
             written += int(keep.sum())
             yield out
         state.update((stream, start, written))
+        if forget_after_ms is not None:
+            state.setTimeoutDuration(forget_after_ms)
 
     return events.select(*columns).groupBy("video_key").applyInPandasWithState(
         sample,
         f"video_key {key_type}, stream_index int, pts_us long, seq long, frame_no long",
         "stream_index int, start long, written long",
-        "append", GroupStateTimeout.NoTimeout)
+        "append", GroupStateTimeout.NoTimeout if forget_after_ms is None else GroupStateTimeout.ProcessingTimeTimeout)
