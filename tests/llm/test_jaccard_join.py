@@ -66,11 +66,21 @@ def near_copies(seed):
     return rows + rows[:3] + [(None, texts[-1]), (None, "alone here for once")]
 
 
-@pytest.mark.parametrize("seed,width,percent,limits", [
-    (1, 4, 85, {}), (2, 5, 80, {"LIST": 4, "FREQUENT": 3, "CHUNK": 16}), (3, 4, 85, {"LIST": 2, "FREQUENT": 2, "SCAN_COST": 1e9, "SMALL": 13})])
-def test_equals_all_pairs(spark, tmp_path, monkeypatch, seed, width, percent, limits):
+@pytest.fixture
+def batches_of(spark):
+    """Rows of a batch that Python gets at once, so that lists reach over batches."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    yield lambda rows: spark.conf.set(key, rows)
+    spark.conf.unset(key)
+
+
+@pytest.mark.parametrize("seed,width,percent,rows_at_once,limits", [
+    (1, 4, 85, 10_000, {}), (2, 5, 80, 7, {"LIST": 4, "FREQUENT": 3, "CHUNK": 16}),
+    (3, 4, 85, 10_000, {"LIST": 2, "FREQUENT": 2, "SCAN_COST": 1e9, "SMALL": 13}), (4, 4, 85, 2, {"LIST": 3, "FREQUENT": 2, "CHUNK": 8})])
+def test_equals_all_pairs(spark, tmp_path, monkeypatch, batches_of, seed, width, percent, rows_at_once, limits):
     for name, value in limits.items():
         monkeypatch.setattr(jaccard_join, name, value)
+    batches_of(rows_at_once)
     rows = near_copies(seed)
     frame = spark.createDataFrame([(k, t, "x", 1) for k, t in rows], "doc_id long, text string, n_shingles string, hi int")
     frame.repartition(3).write.parquet(str(tmp_path / "docs"))
