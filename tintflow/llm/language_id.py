@@ -6,7 +6,7 @@ which at least one is known, by their mean; if none is, by the next smaller size
 the smallest mean over its words, equal ones resolved by code point.
 
 The model is fitted on a bounded sample of the labelled rows: about ``sample_docs`` of them, taken by a hash of the id,
-and at most ``max_features`` grams in all, the most frequent of each language and size. Predictions read whole texts
+at most ``max_features`` grams in all, the most frequent of each language and size, and the ``max_langs`` most frequent languages. Predictions read whole texts
 and nothing but the text.
 
 Defined results: a null text, a text without a letter, and any text when nothing was learned get ``und`` with score 0;
@@ -68,11 +68,11 @@ def count_grams(batches):
 
 
 def fit(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", lang_column: str = "lang",
-        sample_docs: int = 20_000, max_features: int = 400_000) -> dict:
+        sample_docs: int = 20_000, max_features: int = 400_000, max_langs: int = 1000) -> dict:
     """The model: languages in code point order, and per gram size a map from gram to the values of each language."""
     labelled = docs.select(F.col(id_column).alias("id"), F.col(lang_column).alias("lang"), F.col(text_column).alias("text"))
     labelled = labelled.where(F.col("lang").isNotNull() & ~held_out("id"))
-    per_lang = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(1000).collect()
+    per_lang = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_langs).collect()
     total = sum(r["count"] for r in per_lang)
     langs = sorted(r["lang"] for r in per_lang)
     if not langs:
