@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from tintflow import session
-from tintflow.operators.ordering import CHUNK, across_chunks, cut_into_chunks, frame_ordinals, number_rows
+from tintflow.operators.ordering import CHUNK, across_chunks, cut_into_chunks, frame_ordinals, number_rows, ordered_frames
+from tintflow.plans.strips import prefix_scan
 
 
 @pytest.fixture(scope="module")
@@ -57,3 +58,11 @@ def test_only_hot_keys_are_dealt(spark, how):
     dealt = session.join_on_group(rows_, groups, "k", ["n"], how, salts=8, small=False)
     assert rows(dealt) == rows(rows_.join(groups, "k", how))
     assert rows(session.hot_keys(rows_, ["k"], 8)) == [("hot", True)]
+
+
+def test_ordered_scans_come_in_order(spark):
+    stored = spark.createDataFrame([(f"v{n % 7}", n * 37 % 100) for n in range(300)], "video_key string, frame_index long").repartition(5)
+    found = [tuple(r) for r in ordered_frames(stored).collect()]
+    assert found == sorted(found) and len(found) == 300
+    scanned = [tuple(r) for r in prefix_scan(stored, "video_key", "v1", "frame_index").collect()]
+    assert scanned == [r for r in found if r[0] == "v1"]
