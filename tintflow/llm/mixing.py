@@ -105,7 +105,7 @@ def mix(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", s
     rows = docs.select(
         F.monotonically_increasing_id().alias("_row"), F.col(id_column).alias("id"), F.col(source_column).alias("source"),
         F.coalesce(F.regexp_count(text_column, F.lit(WORD)), F.lit(0)).cast("long").alias("size"))
-    rows = numbered(rows, [F.asc_nulls_last("source"), F.desc("size"), F.xxhash64("id"), F.col("id")], "place", "sizes")
+    rows = numbered(staged(rows, "word-counts"), [F.asc_nulls_last("source"), F.desc("size"), F.xxhash64("id"), F.col("id")], "place", "sizes")
     classes = staged(rows.groupBy("source", "size").agg(F.count(F.lit(1)).alias("n"), F.min("place").alias("start")), "classes")
     targets = source_targets(classes, weights, float(cap))
     counts = classes.groupBy("source").agg(F.sum("n").alias("docs"))
