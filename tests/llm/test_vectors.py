@@ -62,6 +62,16 @@ def test_search(spark, tmp_path, monkeypatch, limits):
     assert sorted(map(tuple, df.collect()), key=repr) == best_by_force(rows, 10, 100)
 
 
+@pytest.mark.parametrize("seed", [3, 4])
+def test_dense_near_copies_fill_every_place(spark, tmp_path, seed):
+    rng = random.Random(seed)
+    base = [rng.gauss(0, 1) for _ in range(8)]
+    rows = [(i, single([x + rng.gauss(0, 0.004) for x in base])) for i in range(300)] + [(i, single([rng.gauss(0, 1) for _ in base])) for i in range(300, 400)]
+    found = top_k.search(write(spark, tmp_path, rows), k=10, every=2).collect()
+    assert Counter(r["query_id"] for r in found) == {i: 10 for i in range(0, 400, 2)}
+    assert sorted(map(tuple, found), key=repr) == best_by_force(rows, 10, 2)
+
+
 def test_ties_at_the_last_place_go_to_smaller_ids(spark, tmp_path):
     rows = [(i, [1.0, 0.0]) for i in range(200)] + [(200, [2.0, 0.0])]
     found = top_k.search(write(spark, tmp_path, rows), k=3, every=100).collect()

@@ -57,9 +57,9 @@ class Scores:
         return np.clip(np.array(exact, object), -LONG - 1, LONG).astype(np.int64)
 
 
-def first_bins(ends: pd.DataFrame, k: int) -> dict[int, tuple[int, int, int]]:
-    """Per query with more than k candidates: the lowest score, the width of a bin, and how many to find. Python integers."""
-    return {q: (low, -(-(high - low + 1) // BINS), k)
+def first_bins(ends: pd.DataFrame, k: int) -> dict[int, tuple[int, int, int, int]]:
+    """Per query with more than k candidates: the lowest and highest score, the width of a bin, and how many to find. Python integers."""
+    return {q: (low, high, -(-(high - low + 1) // BINS), k)
             for q, low, high, n in ends[["q", "low", "high", "n"]].itertuples(index=False) if n > k}
 
 
@@ -98,26 +98,28 @@ def search_block(vectors: DataFrame, queries: pd.DataFrame, length: int, k: int)
             counts = np.zeros((len(wanted), BINS), np.int64)
             for _, _, found, other in scored(batches, wanted):
                 for i, q_ in enumerate(wanted.tolist()):
-                    start, step, _ = state.value[q_]
-                    above = found[i][other[i] & (found[i] >= start)]
-                    place = (above - start).view(np.uint64) // np.uint64(step)
-                    counts[i] += np.bincount(place[place < BINS].astype(np.int64), minlength=BINS)
+                    start, last, step, _ = state.value[q_]
+                    # Scores past the chosen bin are counted as above already; the new bins may reach over its end.
+                    inside = found[i][other[i] & (found[i] >= start) & (found[i] <= last)]
+                    place = (inside - start).view(np.uint64) // np.uint64(step)
+                    counts[i] += np.bincount(place.astype(np.int64), minlength=BINS)
             at, bin_ = np.nonzero(counts)
             yield pa.RecordBatch.from_pydict({"q": wanted[at], "bin": bin_, "n": counts[at, bin_]})
 
         counted = vectors.mapInArrow(histograms, "q long, bin long, n long").groupBy("q", "bin").agg(F.sum("n").alias("n"))
-        need = spark.createDataFrame([(q_, left) for q_, (_, _, left) in bins.items()], "q long, need long")
+        need = spark.createDataFrame([(q_, left) for q_, (*_, left) in bins.items()], "q long, need long")
         upward = Window.partitionBy("q").orderBy(F.desc("bin"))
         chosen = (counted.withColumn("upto", F.sum("n").over(upward)).join(F.broadcast(need), "q").where("upto >= need")
                   .groupBy("q").agg(F.max(F.struct("bin", F.expr("upto - n as above"))).alias("best")))
         following = {}
         for q_, bin_, above in chosen.select("q", "best.bin", "best.above").collect():  # a row per query of the block
-            low, width, left = bins[q_]
+            low, last, width, left = bins[q_]
             low += bin_ * width
-            if width == 1:
+            last = min(last, low + width - 1)
+            if low == last:
                 kth[q_] = low
             else:
-                following[q_] = low, -(-width // BINS), left - above
+                following[q_] = low, last, -(-(last - low + 1) // BINS), left - above
         bins = following
     limit = spark.sparkContext.broadcast(kth)
 
