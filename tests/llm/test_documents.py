@@ -160,6 +160,25 @@ def test_licences(spark, tmp_path):
     assert found(df, *columns) == sorted(((i, *licence_row(t)) for i, t, _ in rows), key=repr)
 
 
+MIT = ("Permission is hereby granted, free of charge, to any person obtaining a copy", 'of this software and associated documentation files (the "Software"), to deal',
+       "in the Software without restriction, including without limitation the rights")
+
+
+def test_wrapped_notices(spark):
+    cases = [
+        ("\n".join(MIT), "mit"), ("x\n" + "\n".join(" ".join(MIT).split()), "mit"),
+        ("Redistribution and use in source and binary forms, with\nor without modification, are permitted provided that the\nfollowing conditions are met:", "bsd"),
+        ("This\nwork is\nlicensed under CC\nBY-NC 4.0", "cc-by-nc")]
+    cases += [(notice.replace(" ", gap), label) for label, notice in license_scan.TEMPLATES for gap in (" ", "\n")]
+    same_labels(spark, cases)
+
+
+def same_labels(spark, cases):
+    found = {r["doc_id"]: r for r in license_scan.scan(spark.createDataFrame([(i, t) for i, (t, _) in enumerate(cases)], "doc_id long, text string")).collect()}
+    assert [(text, found[i]["labels"]) for i, (text, _) in enumerate(cases)] == cases
+    assert all(r["score"] >= 0.9 for r in found.values())
+
+
 def test_licence_scan_uses_no_python(spark, tmp_path):
     write(spark, tmp_path, ["Released under the MIT License."])
     plan = queries.QUERIES["op3_license_scan"](spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
