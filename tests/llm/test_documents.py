@@ -179,6 +179,13 @@ def same_labels(spark, cases):
     assert all(r["score"] >= 0.9 for r in found.values())
 
 
+def test_several_notices_on_a_line(spark):
+    same_labels(spark, [
+        ("Released under the MIT License. Licensed under the Apache License, Version 2.0", "apache-2,mit"),
+        ("licensed under the GNU General Public License. Text: licensed under CC BY 4.0", "cc-by,gpl"),
+        ("Licensed under CC BY-NC 4.0. Licensed under CC BY 4.0", "cc-by,cc-by-nc")])
+
+
 def test_licence_scan_uses_no_python(spark, tmp_path):
     write(spark, tmp_path, ["Released under the MIT License."])
     plan = queries.QUERIES["op3_license_scan"](spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
