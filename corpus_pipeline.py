@@ -2,7 +2,7 @@
 
 Each stage works on all that the one before it kept, and its decisions take effect; all but the last return the columns
 of ``documents``. A stage's result is written as Parquet in the shared folder and reread as the next one's input, which
-also is what lets the stages read their input twice.
+also is what lets the stages read their input twice. Stages that join row numbers back store them with the rows first.
 """
 
 import public_tokenizers
@@ -11,15 +11,11 @@ from pyspark.sql import functions as F
 
 from tintflow.llm import jaccard_join, language_id, mixing
 from tintflow.llm.byte_bpe import encode_table
-from tintflow.llm.common import staged, table
+from tintflow.llm.common import staged, table, with_row
 
 ROW = "_row"
 
 
-def with_row(docs: DataFrame) -> DataFrame:
-    return docs.withColumn(ROW, F.monotonically_increasing_id())
-
-
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects documents without a letter, and those of which no word and no n-gram belongs to a learned language."""
     return language_id.keep_identified(docs, language_id.fit(docs))
@@ -27,16 +23,18 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents linked at five words and a similarity of 0.8, the one with the smallest id stays, one row of it."""
+    docs = with_row(docs)
     rows = jaccard_join.join(docs).withColumnRenamed("doc_id", "_id")
     first = rows.groupBy("_group").agg(F.min(F.struct(F.col("_id").isNull(), "_id", ROW)).alias("first"))
     first = first.select(F.col(f"first.{ROW}").alias(ROW))
-    return with_row(docs).join(first, ROW, "left_semi").drop(ROW)
+    return docs.join(first, ROW, "left_semi").drop(ROW)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as the mix takes it."""
-    copies = mixing.mix(docs).where("copies > 0").select(ROW, "copies")
-    repeated = with_row(docs).join(copies, ROW).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+    rows = with_row(docs)
+    copies = mixing.mix(rows).where("copies > 0").select(ROW, "copies")
+    repeated = rows.join(copies, ROW).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
     return repeated.select(*docs.columns)
 
 

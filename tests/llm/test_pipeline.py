@@ -7,6 +7,7 @@ from collections import Counter
 import pytest
 
 import corpus_pipeline
+from tintflow.llm import jaccard_join, mixing
 
 from .test_documents import tiktoken_rows, water_levels
 from .test_jaccard_join import brute_force
@@ -75,6 +76,42 @@ def test_tokens(stages):
     assert sorted((r[:4] for r in after), key=repr) == sorted(tiktoken_rows([r[:2] for r in before]), key=repr)
 
 
+@pytest.fixture
+def split_anew(spark):
+    """Wraps a function so that scans planned after its call split their files in another way."""
+    key = "spark.sql.files.maxPartitionBytes"
+
+    def wrap(run):
+        def changed(*args, **named):
+            out = run(*args, **named)
+            spark.conf.set(key, 100_000)
+            return out
+        return changed
+    yield wrap
+    spark.conf.unset(key)
+
+
+def test_rows_stay_the_same_where_later_scans_split_anew(spark, tmp_path, monkeypatch, split_anew):
+    texts = [" ".join(f"w{i}_{j}" for j in range(30)) for i in range(40)]
+    rows = [(i, text + end, "en", "ab"[i % 2], 1) for i, (text, end) in enumerate((t, e) for t in texts for e in ("", " more"))]
+    spark.createDataFrame(rows, SCHEMA).repartition(9).write.parquet(f"{tmp_path}/docs")
+    docs = spark.read.parquet(f"{tmp_path}/docs")
+    with monkeypatch.context() as patch:
+        patch.setattr(jaccard_join, "frequent_shingles", split_anew(jaccard_join.frequent_shingles))
+        found = {r["doc_id"]: r["component_id"] for r in jaccard_join.join(docs).collect()}
+    assert found == {i: i - i % 2 for i in range(80)}
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    with monkeypatch.context() as patch:
+        patch.setattr(jaccard_join, "join", split_anew(jaccard_join.join))
+        kept = corpus_pipeline.one_of_each_group(spark, docs, "")
+        assert sorted(r["doc_id"] for r in kept.collect()) == list(range(0, 80, 2))
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    wanted = Counter({r["doc_id"]: r["copies"] for r in mixing.mix(docs).collect()})
+    with monkeypatch.context() as patch:
+        patch.setattr(mixing, "mix", split_anew(mixing.mix))
+        assert Counter(r["doc_id"] for r in corpus_pipeline.mixed(spark, docs, "").collect()) == +wanted
+
+
 def test_run(spark, stages):
     folder, out = stages
     assert sorted(map(repr, map(tuple, corpus_pipeline.run(spark, folder).collect()))) == sorted(map(repr, out[-1]))

@@ -13,15 +13,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def staged(df: DataFrame, purpose: str) -> DataFrame:
+def staged(df: DataFrame, purpose: str, compression: str | None = None) -> DataFrame:
     """Written once as Parquet in the shared folder and read back, so that later reads prune columns and a lost
     executor never changes what was staged."""
     spark = df.sparkSession
     path = new_folder(spark, purpose)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def with_row(docs: DataFrame) -> DataFrame:
+    """``docs`` with a long ``_row`` that tells its rows apart, staged once: a later scan of the same files may be split in
+    another way, as executors come and go, and would give other numbers. Rows that have a stored ``_row`` are taken as they are."""
+    if "_row" in docs.columns:
+        return docs
+    return staged(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered-rows", "zstd")
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

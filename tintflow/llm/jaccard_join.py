@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tintflow.llm.common import components, numbered, shuffle_partitions, staged
+from tintflow.llm.common import components, numbered, shuffle_partitions, staged, with_row
 from tintflow.session import is_small
 
 LIST = 48  # sets of an inverted list that is written as pairs; more where shingles must be in more documents to be frequent
@@ -398,11 +398,11 @@ def sets_of(docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
 def join(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
     """Per row: id, n_shingles, component_id, ``_row``, the row's number in ``docs``, and ``_group``, a row of its component.
 
-    ``docs`` is read twice and must give the same rows in the same partitions, as files do.
+    The texts are read twice, so they are staged with their number; a ``_row`` of ``docs`` must be stored, see ``with_row``.
     """
     rule = Rule(percent)
-    docs = docs.select(F.monotonically_increasing_id().alias("_row"), F.col(id_column).alias("id"),
-                       F.col(text_column).alias("text"))
+    own = ["_row"] if "_row" in docs.columns else []
+    docs = with_row(docs.select(*own, F.col(id_column).alias("id"), F.col(text_column).alias("text")))
     sets = staged(set_rows(docs, width, rule), "sets")
     (frequent, bound), boundary = frequent_shingles(sets), size_boundary(sets, rule)
     candidates = staged(pair_rows(key_rows(sets, rule, frequent, boundary), rule, max(LIST, bound)), "candidates")
