@@ -2,9 +2,10 @@
 
 import public_tokenizers
 
-from tintflow.llm import jaccard_join, license_scan
+from tintflow.llm import jaccard_join, lexical_search, license_scan
 from tintflow.llm.byte_bpe import encode_table
 from tintflow.llm.common import table
+from tintflow.llm.decontamination import contaminated
 from tintflow.llm.embedding_dedup import link
 from tintflow.llm.html_text import extract
 from tintflow.llm.language_id import identify
@@ -138,3 +139,46 @@ def op9_jaccard_join(spark, sf_dir):
 def op10_byte_bpe(spark, sf_dir):
     return encode_table(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),
                         public_tokenizers.PATTERN, with_ids=False)
+
+
+# Words of op11 and op12 are the same: letters, digits and all characters above ASCII, A-Z lower-cased.
+def text_words(name, table, id_column):
+    return f"{name} AS (SELECT {id_column}, regexp_extract_all({LOWERED}, '{LICENSE_WORDS}') AS words FROM {table})"
+
+
+@query(f"""
+WITH {text_words("docs", "documents", "doc_id")}, {text_words("items", "benchmark", "item_id")},
+totals AS (SELECT CAST(count(*) FILTER (WHERE len(words) > 0) AS BIGINT) AS docs, CAST(sum(len(words)) AS BIGINT) AS terms FROM docs),
+wanted AS (SELECT DISTINCT item_id, unnest(words) AS term FROM items),
+counts AS (SELECT doc_id, term, count(*) AS tf, any_value(n) AS n
+           FROM (SELECT doc_id, unnest(words) AS term, CAST(len(words) AS BIGINT) AS n FROM docs)
+           WHERE term IN (SELECT term FROM wanted) GROUP BY ALL),
+weights AS (SELECT term, CAST(floor(1000 * ln((2 * any_value(docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+            FROM counts, totals GROUP BY term),
+impacts AS (SELECT doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // terms))) AS impact
+            FROM counts JOIN weights USING (term), totals),
+scores AS (SELECT item_id, doc_id, CAST(sum(impact) AS BIGINT) AS score FROM wanted JOIN impacts USING (term) GROUP BY ALL),
+ranked AS (SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+           FROM scores WHERE score > 0)
+SELECT * FROM ranked WHERE rank <= 10""")
+def op11_lexical_search(spark, sf_dir):
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query(f"""
+WITH {text_words("docs", "documents", "doc_id")}, {text_words("items", "benchmark", "item_id")},
+windows AS (SELECT DISTINCT item_id, size, array_to_string(words[i:i + size - 1], ' ') AS window FROM (
+  SELECT item_id, words, size, unnest(range(1, len(words) - size + 2)) AS i
+  FROM (SELECT *, least(len(words), 10) AS size FROM items WHERE len(words) > 0))),
+runs AS (SELECT doc_id, i, size, array_to_string(words[i:i + size - 1], ' ') AS window FROM (
+  SELECT doc_id, words, size, unnest(range(1, len(words) - size + 2)) AS i
+  FROM docs, (SELECT DISTINCT size FROM windows) WHERE len(words) >= size)),
+found AS (SELECT doc_id, item_id, i, r.size AS size FROM runs r JOIN windows w ON r.window = w.window AND r.size = w.size),
+hits AS (SELECT doc_id, count(DISTINCT word) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + size)) AS word FROM found) GROUP BY doc_id),
+of_items AS (SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS id FROM found) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM docs d LEFT JOIN hits h ON d.doc_id = h.doc_id LEFT JOIN of_items o ON d.doc_id = o.doc_id""")
+def op12_decontamination(spark, sf_dir):
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
