@@ -5,6 +5,7 @@ import public_tokenizers
 from tintflow.llm import jaccard_join, lexical_search, license_scan
 from tintflow.llm.byte_bpe import encode_table
 from tintflow.llm.common import table
+from tintflow.llm.conversation_trie import trie
 from tintflow.llm.decontamination import contaminated
 from tintflow.llm.embedding_dedup import link
 from tintflow.llm.html_text import extract
@@ -182,3 +183,35 @@ SELECT d.doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_
 FROM docs d LEFT JOIN hits h ON d.doc_id = h.doc_id LEFT JOIN of_items o ON d.doc_id = o.doc_id""")
 def op12_decontamination(spark, sf_dir):
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+# CRC-32 (the polynomial is a fixed value) of a number's decimal digits, bit by bit.
+CRC32 = ("xor(list_reduce(list_transform(string_split(CAST({0} AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT)), "
+         "lambda crc, byte: list_reduce(CAST(range(8) AS BIGINT[]), lambda v, bit: xor(v >> 1, 3988292384 * (v & 1)), xor(crc, byte)), "
+         "CAST(4294967295 AS BIGINT)), 4294967295)")
+
+
+@query(f"""
+WITH given AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+turns AS (SELECT conv_id, md5(role) || md5(text) AS turn, CAST(length(text) AS BIGINT) AS size,
+  row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text)) AS place FROM given),
+convs AS (SELECT conv_id, count(*) AS n, conv_id - conv_id % 100 AS base, {CRC32.format("conv_id")} % 6 AS h FROM turns GROUP BY conv_id),
+rebuilt AS (
+  SELECT c.conv_id, place AS depth, turn, size FROM convs c JOIN turns b ON b.conv_id = c.base WHERE place <= h
+  UNION ALL SELECT t.conv_id, place - c.h + least(c.h, coalesce(b.n, 0)), turn, size
+  FROM turns t JOIN convs c ON t.conv_id = c.conv_id LEFT JOIN convs b ON b.conv_id = c.base WHERE place > c.h),
+starts AS (SELECT conv_id, depth, size, string_agg(turn, '') OVER (PARTITION BY conv_id ORDER BY depth) AS node FROM rebuilt
+  UNION ALL SELECT conv_id, 0, 0, '' FROM convs),
+marked AS (SELECT *, depth = max(depth) OVER (PARTITION BY conv_id) AS ends FROM starts),
+nodes AS (SELECT node, any_value(depth) AS depth, any_value(size) AS size, min(conv_id) AS conv_id, count(*) AS n_convs,
+  string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE ends) AS ids FROM marked GROUP BY node),
+children AS (SELECT left(node, length(node) - 64) AS node, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY ALL),
+wide AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM nodes n LEFT JOIN children c ON n.node = c.node),
+above AS (SELECT left(node, 64 * unnest(range(0, depth + 1))) AS node, CAST(n_children = 0 AS INTEGER) AS leaf,
+  (n_convs - 1) * size AS saved FROM wide),
+sums AS (SELECT node, CAST(sum(leaf) AS BIGINT) AS n_leaves, CAST(sum(saved) AS BIGINT) AS saved_tokens FROM above GROUP BY node)
+SELECT b.conv_id, b.depth, p.conv_id AS parent_conv_id, b.n_convs, b.n_children, n_leaves, saved_tokens,
+  sha256(coalesce(b.ids, '')) AS ends_sha256
+FROM wide b JOIN sums s ON b.node = s.node LEFT JOIN nodes p ON b.depth > 0 AND p.node = left(b.node, length(b.node) - 64)""")
+def op13_conversation_trie(spark, sf_dir):
+    return trie(table(spark, sf_dir, "conversations"))
