@@ -1,0 +1,216 @@
+"""The inverted index, phrase and proximity matches and ranked search against brute force."""
+
+import hashlib
+import math
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from tintflow.llm import decontamination, inverted_index, lexical_search, queries
+
+DOCS = "doc_id long, text string, item_id string, block int, term string, score string, first int"
+ITEMS = "item_id long, text string, doc_id string, slice int, words string"
+ODD = [None, "", " \n!?", "one", "ONE two", "İΣς 漢字 é漢 ½x", "a" * 3000, "x-y_z\x00x\x85y", "the the the the the the the the the the the the"]
+
+
+def words(text):
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+
+
+def stock(rng, most=14):
+    return [rng.choice(["the", "of", "an", "item", "phrase", "Word", "zürich", "x1", "rare%d" % rng.randrange(40)]) for _ in range(rng.randrange(most))]
+
+
+def tables(seed):
+    rng = random.Random(seed)
+    items = [(i, rng.choice([" ", ", ", "-"]).join(stock(rng, 30))) for i in range(25)]
+    items += [(100, None), (101, ""), (102, "one"), (103, "the the the the the the the the the the the"), (104, items[3][1]), (None, items[4][1]), (3, items[5][1])]
+    docs = [(i, t) for i, t in enumerate(ODD)]
+    for i in range(len(ODD), 90):
+        parts = [" ".join(stock(rng)) for _ in range(rng.randrange(4))]
+        given = words(rng.choice(items)[1])
+        cut = rng.randrange(max(len(given), 1))
+        parts.insert(rng.randrange(len(parts) + 1), " ".join(given[cut:] if rng.random() < .5 else given).upper())
+        docs.append((i, rng.choice([" ", "\n", " . "]).join(parts)))
+    docs += docs[20:30] + [(None, docs[40][1])]
+    docs.append((500, " ".join(docs[41][1] or "" for _ in range(300)) + " " + items[0][1]))
+    return docs, items
+
+
+@pytest.fixture(scope="module")
+def given(spark, tmp_path_factory):
+    folder = str(tmp_path_factory.mktemp("lexical"))
+    docs, items = tables(5)
+    spark.createDataFrame([(*d, "q", 1, "t", "s", 4) for d in docs], DOCS).repartition(3).write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame([(*i, "q", 1, "w") for i in items], ITEMS).write.parquet(f"{folder}/benchmark.parquet")
+    return folder, docs, items, spark.read.parquet(f"{folder}/documents.parquet"), spark.read.parquet(f"{folder}/benchmark.parquet")
+
+
+def brute_hits(text, items):
+    """Covered words and the items found, by comparing every place with every window."""
+    held, hit, found = words(text), set(), set()
+    for id_, item in items:
+        of = words(item)
+        size = min(10, len(of))
+        for w in range(len(of) - size + 1 if size else 0):
+            for at in range(len(held) - size + 1):
+                if held[at:at + size] == of[w:w + size]:
+                    hit.update(range(at, at + size))
+                    found.add("" if id_ is None else str(id_))
+    return hit, sorted(found)
+
+
+def found_rows(df, *columns):
+    return sorted((tuple(r) for r in df.select(*columns).collect()), key=repr)
+
+
+def expected_hits(docs, items):
+    out = []
+    for id_, text in docs:
+        hit, found = brute_hits(text, items)
+        sha = hashlib.sha256(",".join(found).encode()).hexdigest()
+        out.append((id_, len(words(text)), len(hit), len(found), sha, bool(hit)))
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("block_words", [1, 60, inverted_index.BLOCK_WORDS])
+def test_contaminated(given, monkeypatch, block_words):
+    _, docs, items, df, benchmark = given
+    monkeypatch.setattr(decontamination, "SLICE_WORDS", 10 ** 6 if block_words == 1 else 200)
+    got = decontamination.contaminated(df, benchmark, block_words=block_words)
+    assert found_rows(got, "doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated") == expected_hits(docs, items)
+
+
+def test_contaminated_query(spark, given):
+    folder, docs, items, *_ = given
+    got = queries.QUERIES["op12_decontamination"](spark, folder)
+    assert found_rows(got, "doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated") == expected_hits(docs, items)
+
+
+def test_phrases(given):
+    _, docs, items, df, benchmark = given
+    expected = set()
+    for id_, text in docs:
+        for item in items:
+            hit = sorted(brute_hits(text, [item])[0])
+            cuts = [i for i in range(len(hit)) if i == 0 or hit[i] != hit[i - 1] + 1]
+            expected |= {(id_, item[0], hit[a], hit[b - 1]) for a, b in zip(cuts, cuts[1:] + [len(hit)])}
+    # Two items have the id 3: each has stretches of its own.
+    assert set(map(tuple, decontamination.phrases(df, benchmark, block_words=50).select("doc_id", "item_id", "first", "last").collect())) == expected
+
+
+def brute_near(docs, items, width, within):
+    occurrences = Counter(w for _, text in docs for w in words(text))
+    expected = set()
+    for id_, text in docs:
+        held = words(text)
+        places = {}
+        for i, w in enumerate(held):
+            places.setdefault(w, []).append(i)
+        for item_id, item in items:
+            of = words(item)
+            size = min(width, len(of))
+            for w in {tuple(of[i:i + size]) for i in range(len(of) - size + 1)} if size else ():
+                rarest = min(w, key=lambda t: (occurrences[t], t.encode()))
+                for anchor in places.get(rarest, []):
+                    spot = [min((p for p in places.get(t, []) if abs(p - anchor) <= within), key=lambda p: (abs(p - anchor), -p), default=None) for t in w]
+                    if None not in spot:
+                        expected.add((id_, item_id, min(spot), max(spot)))
+    return expected
+
+
+@pytest.mark.parametrize("block_words", [1, 200])
+def test_proximity(given, block_words):
+    _, docs, items, df, benchmark = given
+    got = decontamination.proximity(df, benchmark, width=4, within=6, block_words=block_words)
+    assert set(map(tuple, got.select("doc_id", "item_id", "first", "last").collect())) == brute_near(docs, items, 4, 6)
+
+
+def test_few_candidates_at_once(monkeypatch):
+    rng = random.Random(2)
+    text = [rng.choice(["a", "b", "c"]) for _ in range(400)]
+    places = {w: [i for i, x in enumerate(text) if x == w] for w in "abc"}
+    windows = decontamination.windows_of([(i, [c.encode() for c in w]) for i, w in enumerate(["ab", "abc", "ccc", "a", "cabca"])],
+                                         {w.encode(): (1, len(p)) for w, p in places.items()}, 3)
+    lists = decontamination.Lists.__new__(decontamination.Lists)
+    order = sorted(windows.number, key=windows.number.get)
+    lists.keys = np.concatenate([(i << 32) | np.array(places[w.decode()]) for i, w in enumerate(order)])
+    lists.count = np.array([len(places[w.decode()]) for w in order])
+    lists.start = np.cumsum(lists.count) - lists.count
+    whole = sorted((int(w), int(s)) for part in decontamination.phrase_starts(lists, windows) for w, s in zip(*part))
+    monkeypatch.setattr(decontamination, "CANDIDATES", 7)
+    assert sorted((int(w), int(s)) for part in decontamination.phrase_starts(lists, windows) for w, s in zip(*part)) == whole
+    assert len(whole) == sum(text[s:s + 3] == list(w) for w in ("abc", "ccc", "cab", "abc", "bca") for s in range(398)) + sum(
+        text[s:s + 2] == ["a", "b"] for s in range(399)) + len(places["a"])
+
+
+def brute_search(docs, items, k=10):
+    texts = [(id_, Counter(words(t))) for id_, t in docs]
+    n_docs, total = sum(bool(t) for _, t in texts), sum(sum(t.values()) for _, t in texts)
+    df = Counter(w for _, t in texts for w in t)
+    out = []
+    for item_id, item in items:
+        scores = []
+        for id_, t in texts:
+            m = 10 + 90 * sum(t.values()) * n_docs // max(total, 1)
+            score = sum(math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[w] + 1))) * (1_000_000_000 * t[w] // (1000 * t[w] + 8 * m))
+                        for w in set(words(item)) if t[w])
+            if score > 0:
+                scores.append((-score, id_ is None, id_ or 0, id_))
+        out += [(item_id, rank + 1, s[3], -s[0]) for rank, s in enumerate(sorted(scores, key=lambda s: s[:3])[:k])]
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("block_words", [1, 80, inverted_index.BLOCK_WORDS])
+def test_search(given, monkeypatch, block_words):
+    _, docs, items, df, benchmark = given
+    monkeypatch.setattr(lexical_search, "SLICE_WORDS", 10 ** 6 if block_words == 1 else 150)
+    monkeypatch.setattr(lexical_search, "MINED", 3 if block_words == 80 else 300)
+    got = lexical_search.search(df, benchmark, block_words=block_words)
+    assert found_rows(got, "item_id", "rank", "doc_id", "score") == brute_search(docs, items)
+
+
+def test_search_query(spark, given):
+    folder, docs, items, *_ = given
+    assert found_rows(queries.QUERIES["op11_lexical_search"](spark, folder), "item_id", "rank", "doc_id", "score") == brute_search(docs, items)
+
+
+@pytest.mark.parametrize("seed", range(8))
+def test_sharing_graph(seed):
+    """Every item's score is the sum of its terms, each accumulator is made once, and shared sets are made once for all."""
+    rng = random.Random(seed)
+    common = [rng.sample(range(60), 8) for _ in range(3)]
+    items = [sorted(set(rng.sample(range(60), rng.randrange(12)) + (rng.choice(common) if rng.random() < .7 else []))) for _ in range(40)]
+    used = sorted({t for i in items for t in i})
+    items = [[used.index(t) for t in i] for i in items]
+    graph = lexical_search.sharing_graph(items, len(used))
+    values, made = np.array([[rng.randrange(1000) for _ in range(5)] for _ in used]), Counter()
+
+    def leaves(node):
+        made[node] += 1
+        return values[graph.node == node].sum(axis=0)
+
+    got = dict(lexical_search.evaluate(graph, leaves, 5))
+    assert all((got[i] == values[held].sum(axis=0)).all() for i, held in enumerate(items))
+    assert set(made.values()) <= {1}
+    assert len(graph.pairs) + sum(map(len, graph.items)) < sum(len({int(graph.node[t]) for t in held}) for held in items)
+
+
+@pytest.mark.parametrize("name", ["op11_lexical_search", "op12_decontamination"])
+def test_empty_tables(spark, tmp_path, name):
+    spark.createDataFrame([], DOCS).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, "one", "", 1, "")], ITEMS).write.parquet(f"{tmp_path}/benchmark.parquet")
+    assert queries.QUERIES[name](spark, str(tmp_path)).collect() == []
+    spark.createDataFrame([(1, "one", "", 1, "", "", 1)], DOCS).write.parquet(f"{tmp_path}/other/documents.parquet")
+    spark.createDataFrame([], ITEMS).write.parquet(f"{tmp_path}/other/benchmark.parquet")
+    assert [r["n_hit"] for r in queries.QUERIES[name](spark, f"{tmp_path}/other").collect()] == ([0] if "op12" in name else [])
+
+
+def test_long_text_in_pieces():
+    text = ("ab " * 1_000_000 + "C" * 1_500_000 + " d").encode()
+    pieces = list(inverted_index.word_lists(text))
+    assert len(pieces) > 2 and sum(map(len, pieces)) == 1_000_002 and pieces[-1][-1] == b"d"
+    assert sum(w == b"c" * 1_500_000 for p in pieces for w in p) == 1

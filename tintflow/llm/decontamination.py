@@ -19,11 +19,10 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tintflow.llm.inverted_index import Index, build, item_slices, positions, term_counts
+from tintflow.llm.inverted_index import BLOCK_WORDS, Index, build, item_slices, positions, term_counts
 
 SLICE_WORDS = 500_000
 CANDIDATES = 2_000_000  # starts that are looked at together; one window has no more than a block has words
@@ -210,29 +209,30 @@ def with_id(found: DataFrame, index: Index, id_column: str) -> DataFrame:
 
 
 def phrases(docs: DataFrame, items: DataFrame, id_column: str = "doc_id", text_column: str = "text", item_column: str = "item_id",
-            item_text: str = "text", width: int = 10) -> DataFrame:
+            item_text: str = "text", width: int = 10, *, block_words: int = BLOCK_WORDS) -> DataFrame:
     """Per document and item the stretches (first and last word, from 0) that windows of the item cover."""
-    index = build(docs, id_column, text_column)
+    index = build(docs, id_column, text_column, block_words=block_words)
     return with_id(stretches(index, items, item_column, item_text, width), index, id_column).select(
         id_column, F.col("item_id").alias(item_column), "first", "last")
 
 
 def proximity(docs: DataFrame, items: DataFrame, id_column: str = "doc_id", text_column: str = "text", item_column: str = "item_id",
-              item_text: str = "text", width: int = 10, within: int = 20) -> DataFrame:
+              item_text: str = "text", width: int = 10, within: int = 20, *, block_words: int = BLOCK_WORDS) -> DataFrame:
     """Per document and item the distinct stretches (first and last word) around an occurrence of a window's rarest word, all of whose
     other words have an occurrence at most ``within`` words from it; of several the nearest counts, of equally near ones the later.
 
     Rarest is the word with the fewest occurrences in all documents, of equally rare ones the first in byte order.
     """
-    index = build(docs, id_column, text_column)
+    index = build(docs, id_column, text_column, block_words=block_words)
     return with_id(stretches(index, items, item_column, item_text, width, within), index, id_column).select(
         id_column, F.col("item_id").alias(item_column), "first", "last")
 
 
 def contaminated(docs: DataFrame, items: DataFrame, id_column: str = "doc_id", text_column: str = "text",
-                 item_column: str = "item_id", item_text: str = "text", width: int = 10) -> DataFrame:
+                 item_column: str = "item_id", item_text: str = "text", width: int = 10, *,
+                 block_words: int = BLOCK_WORDS) -> DataFrame:
     """Per document: n_words, n_hit (words that any window covers), n_items, items_sha256 and contaminated."""
-    index = build(docs, id_column, text_column)
+    index = build(docs, id_column, text_column, block_words=block_words)
     found = stretches(index, items, item_column, item_text, width)
     # Words covered by several stretches count once; the window runs over one document's stretches, fewer than its words.
     before = Window.partitionBy("block", "at").orderBy("first", "last").rowsBetween(Window.unboundedPreceding, -1)

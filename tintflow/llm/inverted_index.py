@@ -55,8 +55,8 @@ class Numbers(dict):
 
 
 class Block:
-    def __init__(self, number: int):
-        self.number, self.words, self.found, self.next = number, Numbers(), [], 0
+    def __init__(self, number: int, most_words: int):
+        self.number, self.most_words, self.words, self.found, self.next = number, most_words, Numbers(), [], 0
         self.firsts, self.sizes = [], []
 
     def add(self, text: bytes | None) -> None:
@@ -69,7 +69,7 @@ class Block:
         self.next += size + 1
 
     def is_full(self) -> bool:
-        return self.next >= BLOCK_WORDS or len(self.firsts) >= BLOCK_DOCS
+        return self.next >= self.most_words or len(self.firsts) >= BLOCK_DOCS
 
     def rows(self, ids: pa.Array) -> Iterator[pa.RecordBatch]:
         firsts, sizes = np.array(self.firsts, np.int32), np.array(self.sizes, np.int32)
@@ -105,11 +105,11 @@ def batch(block: int, rows: int, *columns: pa.Array) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(np.full(rows, block, np.int64)), *columns], NAMES)
 
 
-def build(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> Index:
+def build(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", *, block_words: int = BLOCK_WORDS) -> Index:
     """The index, written once to the shared folder; documents are read once."""
     def run(batches):
         part, blocks = TaskContext.get().partitionId() << 32, 0
-        block, held = Block(part), []
+        block, held = Block(part, block_words), []
         for rows in batches:
             ids, start = rows.column(0), 0
             for i, text in enumerate(rows.column(1).cast(pa.binary()).to_pylist()):
@@ -117,7 +117,7 @@ def build(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text")
                 if block.is_full():
                     yield from block.rows(pa.concat_arrays([*held, ids.slice(start, i + 1 - start)]))
                     blocks += 1
-                    block, held, start = Block(part + blocks), [], i + 1
+                    block, held, start = Block(part + blocks, block_words), [], i + 1
             if start < rows.num_rows:
                 held.append(ids.slice(start))
         if held:

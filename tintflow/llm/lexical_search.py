@@ -27,7 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tintflow.llm.inverted_index import build, item_slices, positions, term_counts
+from tintflow.llm.inverted_index import BLOCK_WORDS, build, item_slices, positions, term_counts
 
 SLICE_WORDS = 100_000
 MINED = 300  # items of more shared nodes than this take them one by one: pairs grow with the square
@@ -204,9 +204,9 @@ def ranking(items: Slice, documents: int, terms_in_all: int, k: int):
 
 
 def search(docs: DataFrame, items: DataFrame, k: int = 10, id_column: str = "doc_id", text_column: str = "text",
-           item_column: str = "item_id", item_text: str = "text") -> DataFrame:
+           item_column: str = "item_id", item_text: str = "text", *, block_words: int = BLOCK_WORDS) -> DataFrame:
     """item id, rank (from 1), document id and score of the ``k`` best documents of each item with a score above 0."""
-    index = build(docs, id_column, text_column)
+    index = build(docs, id_column, text_column, block_words=block_words)
     documents, terms_in_all = index.docs.agg(F.count(F.when(F.col("n") > 0, 1)), F.sum(F.col("n").cast("long"))).first()
     kind = {c: d.select(c).schema[0].dataType.simpleString() for d, c in ((docs, id_column), (items, item_column))}
     schema = f"item long, item_id {kind[item_column]}, id {kind[id_column]}, score long"
