@@ -5,6 +5,7 @@ import re
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tintflow.llm import jaccard_join, mixing
@@ -115,3 +116,36 @@ def test_rows_stay_the_same_where_later_scans_split_anew(spark, tmp_path, monkey
 def test_run(spark, stages):
     folder, out = stages
     assert sorted(map(repr, map(tuple, corpus_pipeline.run(spark, folder).collect()))) == sorted(map(repr, out[-1]))
+
+
+CLASHING = ["row", "_row", "times", "copies", "copy", "_copy", "_metadata", "_group", "component_id", "n_tokens", "ids", "taken", "a b"]
+
+
+def test_columns_with_clashing_names(spark, stages, tmp_path):
+    """Other columns change nothing and are kept, however they are called."""
+    folder, out = stages
+    extra = spark.createDataFrame(corpus(), SCHEMA)
+    for i, name in enumerate(CLASHING):
+        extra = extra.withColumn(name, F.lit(i))
+    extra.repartition(3).write.parquet(f"{tmp_path}/documents")
+    docs = spark.read.parquet(f"{tmp_path}/documents")
+    for (name, stage), expected in zip(corpus_pipeline.STAGES[:3], out):
+        stage(spark, docs, folder).write.parquet(f"{tmp_path}/{name}")
+        docs = spark.read.parquet(f"{tmp_path}/{name}")
+        assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars", *CLASHING]
+        assert docs.select(*[f"`{c}`" for c in CLASHING]).distinct().collect() in ([tuple(range(len(CLASHING)))], [])
+        assert Counter(r[0] for r in docs.collect()) == Counter(r[0] for r in expected)
+
+
+def test_rows_that_are_no_table(spark):
+    """Rows that do not lie in files are numbered and stored first."""
+    docs = spark.createDataFrame([(i, "all of these texts are the same here", "en", "a", 1) for i in range(4)], SCHEMA)
+    assert [r["doc_id"] for r in corpus_pipeline.one_of_each_group(spark, docs, "").collect()] == [0]
+    assert corpus_pipeline.mixed(spark, docs, "").count() == sum(r["copies"] for r in mixing.mix(docs).collect())
+
+
+@pytest.mark.parametrize("name", [name for name, _ in corpus_pipeline.STAGES])
+def test_empty_table(spark, tmp_path, name):
+    spark.createDataFrame([], SCHEMA).write.parquet(f"{tmp_path}/docs")
+    out = dict(corpus_pipeline.STAGES)[name](spark, spark.read.parquet(f"{tmp_path}/docs"), "")
+    assert out.collect() == [] and (name == "byte_bpe" or out.columns == ["doc_id", "text", "lang", "source", "n_chars"])

@@ -146,9 +146,9 @@ def set_rows(docs: DataFrame, width: int, rule: Rule) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), *map(pa.array, out.values(), kinds)], ["_row", "id", *out])
 
-    id_type = docs.schema["id"].dataType.simpleString()
+    row_type, id_type = (docs.schema[c].dataType.simpleString() for c in ("_row", "id"))
     return docs.select("_row", "id", "text").mapInArrow(
-        run, f"_row long, id {id_type}, n int, hi long, lo long, zoned int, low array<long>, bitmap binary")
+        run, f"_row {row_type}, id {id_type}, n int, hi long, lo long, zoned int, low array<long>, bitmap binary")
 
 
 # Keys --------------------------------------------------------------------------------------------------------------
@@ -395,14 +395,17 @@ def sets_of(docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
     return staged(found.selectExpr("struct(hi, lo) as node", "set"), "shingles")
 
 
-def join(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
-    """Per row: id, n_shingles, component_id, ``_row``, the row's number in ``docs``, and ``_group``, a row of its component.
+def join(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", width: int = 5, percent: int = 80, *,
+         row: str | None = None) -> DataFrame:
+    """Per row: id, n_shingles, component_id, ``_row``, what tells the row apart, and ``_group``, the ``_row`` of one of its component.
 
-    The texts are read twice, so they are staged with their number; a ``_row`` of ``docs`` must be stored, see ``with_row``.
+    The texts are read twice, and ``_row`` must be the same each time: it is the column ``row`` if a caller has taken
+    one from ``with_row``, or else made here.
     """
     rule = Rule(percent)
-    own = ["_row"] if "_row" in docs.columns else []
-    docs = with_row(docs.select(*own, F.col(id_column).alias("id"), F.col(text_column).alias("text")))
+    if row is None:
+        docs, row = with_row(docs)
+    docs = docs.select(F.col(row).alias("_row"), F.col(id_column).alias("id"), F.col(text_column).alias("text"))
     sets = staged(set_rows(docs, width, rule), "sets")
     (frequent, bound), boundary = frequent_shingles(sets), size_boundary(sets, rule)
     candidates = staged(pair_rows(key_rows(sets, rule, frequent, boundary), rule, max(LIST, bound)), "candidates")

@@ -97,14 +97,13 @@ def round_copies(classes: pd.DataFrame, cap: int) -> pd.DataFrame:
 
 
 def mix(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", source_column: str = "source",
-        weights: tuple = (5, 2, 1), cap: int = 3) -> DataFrame:
-    """Per row: id, size, source_size, target, copies, taken and ``_row``, the row's number in ``docs``.
+        weights: tuple = (5, 2, 1), cap: int = 3, *, row: str | None = None) -> DataFrame:
+    """Per row: id, size, source_size, target, copies, taken and ``_row``, which is the column ``row`` of ``docs``, or a number.
 
-    ``_row`` is taken from ``docs`` if it has one; a caller that joins it back must have it stored, see ``with_row``.
+    A caller that joins it back names the column of ``with_row``.
     """
-    row = F.col("_row") if "_row" in docs.columns else F.monotonically_increasing_id()
     rows = docs.select(
-        row.alias("_row"), F.col(id_column).alias("id"), F.col(source_column).alias("source"),
+        (F.col(row) if row else F.monotonically_increasing_id()).alias("_row"), F.col(id_column).alias("id"), F.col(source_column).alias("source"),
         F.coalesce(F.regexp_count(text_column, F.lit(WORD)), F.lit(0)).cast("long").alias("size"))
     rows = numbered(staged(rows, "word-counts"), [F.asc_nulls_last("source"), F.desc("size"), F.xxhash64("id"), F.col("id")], "place", "sizes")
     classes = staged(rows.groupBy("source", "size").agg(F.count(F.lit(1)).alias("n"), F.min("place").alias("start")), "classes")
