@@ -12,7 +12,7 @@ from tintflow.plans.ingest import ingest
 from tintflow.plans.strips import prefix_scan, video_strip
 from tintflow.schemas import VIDEO_METADATA
 from tintflow.session import new_folder
-from tintflow.sources import files, images, manifests
+from tintflow.sources import files, images, manifests, ranges
 from tintflow.sources import requests as request_files
 from tintflow.streaming import sampler
 
@@ -88,6 +88,50 @@ def video_ingest(spark, sf_dir):
     return files.read_videos(spark, folder).select("name", "size", F.sha2("content", 256).alias("digest"))
 
 
+CONTAINER_BYTES, RANGE = 400_000, 30_000
+
+STORED_SQL = f"""WITH RECURSIVE d AS (SELECT source AS volume, doc_id AS seq, CAST(strlen(text) AS BIGINT) AS size, text,
+    row_number() OVER (PARTITION BY source ORDER BY doc_id) AS n FROM documents),
+  p AS (SELECT volume, seq, size, text, n, CAST(0 AS BIGINT) AS container_id, CAST(0 AS BIGINT) AS byte_offset FROM d WHERE n = 1
+    UNION ALL SELECT d.volume, d.seq, d.size, d.text, d.n,
+      CASE WHEN byte_offset + p.size > 0 AND byte_offset + p.size + d.size > {CONTAINER_BYTES} THEN container_id + 1 ELSE container_id END,
+      CASE WHEN byte_offset + p.size > 0 AND byte_offset + p.size + d.size > {CONTAINER_BYTES} THEN 0 ELSE byte_offset + p.size END
+    FROM p JOIN d ON d.volume = p.volume AND d.n = p.n + 1)"""
+
+
+def stored_documents(spark, sf_dir):
+    """The documents written one after the other into few large files, as containers hold videos; and where each lies."""
+    folder = new_folder(spark, "containers")
+    documents = i.table(spark, sf_dir, "documents").selectExpr(
+        "source as volume", "doc_id as seq", "octet_length(text) as size", "cast(text as binary) as content")
+    placed = packing.pack_containers(documents, cap=CONTAINER_BYTES).withColumn(
+        "name", F.format_string("%s_%d.mp4", "volume", "container_id"))
+    ranges.write_joined(placed.select("name", "byte_offset", "seq", "content"), folder, order=["byte_offset", "seq"]).write.format(
+        "noop").mode("overwrite").save()
+    return folder, placed.drop("content")
+
+
+@query(STORED_SQL + f""", files AS (SELECT volume || '_' || container_id || '.mp4' AS name, encode(string_agg(text, '' ORDER BY seq)) AS content
+    FROM p GROUP BY ALL),
+  parts AS (SELECT name, content, unnest(range(greatest(1, (octet_length(content) + {RANGE - 1}) // {RANGE}))) AS part FROM files)
+  SELECT name, CAST(any_value(octet_length(content)) AS BIGINT) AS bytes, count(*) AS ranges,
+    sha256(string_agg(sha256(array_slice(content, part * {RANGE} + 1, (part + 1) * {RANGE})), '' ORDER BY part)) AS digest
+  FROM parts GROUP BY name""")
+def container_ingest(spark, sf_dir):
+    """Large files read back in ranges by many tasks."""
+    folder, _ = stored_documents(spark, sf_dir)
+    return ranges.read_files(spark, folder, range_bytes=RANGE).drop("path")
+
+
+@query(STORED_SQL + """ SELECT volume, seq, container_id, byte_offset, size AS bytes, sha256(sha256(text)) AS digest FROM p""")
+def container_read(spark, sf_dir):
+    """Every stored document read back from its place in its container."""
+    folder, placed = stored_documents(spark, sf_dir)
+    files = placed.withColumn("path", F.concat(F.lit(folder + "/"), "name"))
+    found = ranges.fold_ranges(ranges.range_digests(ranges.split_ranges(files)), ["volume", "seq", "container_id", "byte_offset"])
+    return found.drop("ranges")
+
+
 @query("SELECT event_type AS directory, CAST(event_id AS VARCHAR) AS path, epoch_us(date_trunc('hour', ts)) AS modified_us "
        "FROM events QUALIFY row_number() OVER (PARTITION BY event_type ORDER BY date_trunc('hour', ts) DESC, "
        "CAST(event_id AS VARCHAR)) = 1")

@@ -10,7 +10,7 @@ from tintflow.plans.strips import prefix_scan, video_strip
 SF = "/root/testdata/sf0.001"
 PYTHON = ("MapInPandas", "FlatMapGroupsInPandas", "ArrowEvalPython", "BatchEvalPython")
 USES_PYTHON = {"strip_png", "frame_image_scan", "image_pixels", "image_colors",
-               "video_ingest", "pack_containers", "append_containers", "ingest_videos", "sample_frames_stream"}
+               "video_ingest", "container_read", "pack_containers", "append_containers", "ingest_videos", "sample_frames_stream"}
 
 
 @pytest.mark.parametrize("name", sorted(set(registry.QUERIES) - USES_PYTHON))
