@@ -3,13 +3,14 @@
 Files of a volume are appended in arrival order; one that would lift a non-empty container above the cap opens the next. Each
 placement depends on all earlier ones, but only through the bytes in the open container. A chunk of consecutive
 files is therefore a step function of that fill: how many containers it opens and how full the last one is
-afterwards. The steps of many chunks are computed in parallel, the chunks of a volume are chained through them, and then
-all chunks are placed in parallel.
+afterwards. Step functions can be composed, and composing them is associative. So the steps of all chunks are computed in parallel,
+composed in groups of neighbours, group by group of these, up to one group per volume, and what a volume meets is carried down again;
+then all chunks are placed in parallel. The driver sees two rows per chunk and no steps.
 
-The chain holds a bounded number of steps. Only a file within the first ``cap`` bytes of a chunk can be the first to open a
+Tables are small. Only a file within the first ``cap`` bytes of a chunk can be the first to open a
 container. Where chunks are smaller than the cap, the possible fills are narrow: their bounds follow from the
-bytes of the chunks passed, and widen by one file's size per container. Only steps within the bounds are asked for,
-for as many chunks as the budget allows, and the next round starts from the exact fill reached.
+bytes of the chunks passed, and widen by one file's size per container. Only steps within the bounds are computed, and different
+fills soon lead to the same. As many tables are composed in one task as the budget allows.
 """
 
 import numpy as np
@@ -17,12 +18,12 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tintflow.operators.ordering import CHUNK, across_chunks, cut_into_chunks
+from tintflow.operators.ordering import CHUNK, across_chunks, cut_into_chunks, with_carried
 from tintflow.session import join_on_group, staged
 
 # Container limit in bytes (fixed value).
 CONTAINER_CAP = 10_000_000_000
-# Steps chained at once, over all volumes.
+# Steps that one task holds.
 STEP_BUDGET = 4_000_000
 
 
@@ -84,13 +85,6 @@ def _fills_after(chunk, low: int, high: int, cap: int) -> tuple[int, int]:
     return 0, max(cap, chunk.largest)
 
 
-def _expected_steps(chunk, low: int, high: int, cap: int) -> int:
-    if high + chunk.bytes <= cap:
-        return 0
-    share = (min(high, cap) - low + chunk.largest + 1) / max(chunk.bytes, 1)
-    return int(chunk.files * min(share, 1)) + 1
-
-
 def _place(sizes: np.ndarray, cap: int, container: int, fill: int) -> tuple[np.ndarray, np.ndarray]:
     """Container number and byte offset of every file of a chunk, given the open container and its fill."""
     files = len(sizes)
@@ -107,83 +101,127 @@ def _place(sizes: np.ndarray, cap: int, container: int, fill: int) -> tuple[np.n
         at, upto, container, fill = upto, following[upto], container + 1, 0
 
 
-def _within(passed: list, counts: dict, budget: int) -> set:
-    """Keys of each volume's chunks up to the first whose steps would exceed the budget; its first chunk always."""
-    kept, left, ended = set(), {}, set()
-    for piece in passed:
-        steps = counts.get((piece.volume, piece.number), 0)
-        rest = left.get(piece.volume, budget)
-        if piece.volume in ended or piece.volume in left and steps > rest:
-            ended.add(piece.volume)
-            continue
-        left[piece.volume] = rest - steps
-        kept.add((piece.volume, piece.number))
-    return kept
+def _at(table: dict, fill):
+    """The step that a fill meets, or the first for one below them all."""
+    return np.maximum(np.searchsorted(table["above"], fill, side="left") - 1, 0)
+
+
+def _compose(first: dict, second: dict) -> dict:
+    """The steps of two runs of files, one after the other.
+
+    A step that leaves a fixed fill meets one step of the second run. The step that opens nothing leaves what it met and something
+    more, so it is cut where the second run's steps are.
+    """
+    met = _at(second, first["fill"])
+    out = {"above": first["above"], "opened": first["opened"] + second["opened"][met],
+           "fill": second["fill"][met] + np.where(second["keeps"][met], first["fill"], 0), "keeps": np.zeros(len(met), bool)}
+    if first["keeps"].any():
+        k = int(np.argmax(first["keeps"]))
+        added, low = first["fill"][k], first["above"][k]
+        begin = int(_at(second, low + added + 1))
+        end = len(second["above"])
+        if k + 1 < len(met):
+            end = int(np.searchsorted(second["above"], first["above"][k + 1] + added, side="left"))
+        cut = slice(begin, max(end, begin + 1))
+        pieces = {"above": np.maximum(second["above"][cut] - added, low), "opened": first["opened"][k] + second["opened"][cut],
+                  "fill": second["fill"][cut] + np.where(second["keeps"][cut], added, 0), "keeps": second["keeps"][cut]}
+        out = {name: np.concatenate([out[name][:k], pieces[name], out[name][k + 1:]]) for name in out}
+    # Neighbours that lead to the same are one step; the one of an empty container stays.
+    same = np.r_[False, np.logical_and.reduce([out[name][1:] == out[name][:-1] for name in ("opened", "fill", "keeps")])
+                 & (out["above"][:-1] >= 0)]
+    return {name: values[~same] for name, values in out.items()}
+
+
+STEP = ["above", "opened", "fill", "keeps"]
+
+
+def _tables(rows: pd.DataFrame) -> dict:
+    """The step tables of consecutive runs, by their place."""
+    rows = rows.sort_values(["place", "above"])
+    return {int(place): {c: table[c].to_numpy() for c in STEP} for place, table in rows.groupby("place")}
+
+
+def _compose_group(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+    """The runs of a group as one run."""
+    tables = list(_tables(rows).values())
+    whole = tables[0]
+    for table in tables[1:]:
+        whole = _compose(whole, table)
+    return pd.DataFrame({"volume_no": key[0], "place": key[1], **whole})
+
+
+def _enter_group(key: tuple, met: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
+    """Container and fill that each run of a group meets, given what the group meets."""
+    container, fill = int(met["container"].iloc[0]), int(met["fill"].iloc[0])
+    found = []
+    for place, table in _tables(rows).items():
+        found.append((key[0], place, container, fill))
+        step = int(_at(table, fill))
+        container += int(table["opened"][step])
+        fill = int(table["fill"][step]) + (fill if table["keeps"][step] else 0)
+    return pd.DataFrame(found, columns=["volume_no", "place", "container", "fill"])
+
+
+MOST_TOGETHER = 64  # runs that one task composes
+TABLE = "volume_no int, place long, above long, opened long, fill long, keeps boolean"
+MET = "volume_no int, place long, container long, fill long"
 
 
 def _entered(chunked: DataFrame, cap: int, budget: int) -> DataFrame:
-    """Container and fill that each chunk meets, for volumes lying in more than one chunk."""
-    keys = ["volume", CHUNK]
-    spark, fields = chunked.sparkSession, [chunked.schema[k] for k in keys]
+    """Container and fill that each chunk meets, for volumes lying in more than one chunk.
+
+    A tree over the chunks of each volume: up, groups of neighbouring step tables are composed into one until a group is left; down,
+    what a group meets is carried through its members. Both take as many rounds as the tree has levels.
+    """
+    spark, fields = chunked.sparkSession, [chunked.schema[k] for k in ("volume", CHUNK)]
+    head = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in fields)
     # At most two rows per chunk, see ``across_chunks``.
     pieces = across_chunks(
         chunked, ["volume"], F.count("*").alias("files"), F.sum("size").alias("bytes"),
         F.max("size").alias("largest"), F.first("_container").alias("container"), F.first("_fill").alias("fill"),
     ).withColumnRenamed(CHUNK, "number").toPandas().sort_values(["volume", "number"])
-    ahead = {volume: list(group.itertuples()) for volume, group in pieces.groupby("volume")}
-    reached = {volume: (int(queue[0].container), int(queue[0].fill)) for volume, queue in ahead.items()}
-    head = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in fields)
-
-    def steps(key, rows):
+    if not len(pieces):
+        return spark.createDataFrame([], f"{head}, _carried long, _carried_fill long")
+    starts, windows, certain, chunks = [], [], [], []
+    for volume_no, (_, queue) in enumerate(pieces.groupby("volume", dropna=False)):
+        low = high = int(queue["fill"].iloc[0])
+        starts.append((volume_no, 0, int(queue["container"].iloc[0]), low))
+        for place, piece in enumerate(queue.itertuples()):
+            volume, number = None if pd.isna(piece.volume) else piece.volume, int(piece.number)
+            chunks.append((volume, number, volume_no, place))
+            if high + piece.bytes <= cap:  # opens nothing, whatever it meets
+                certain += [(volume_no, place, -1, 0, int(piece.bytes), False), (volume_no, place, 0, 0, int(piece.bytes), True)]
+            else:
+                windows.append((volume, number, volume_no, place, int(low), int(high)))
+            low, high = _fills_after(piece, low, high, cap)
+
+    def steps(rows):
         low, high = int(rows["_low"].iloc[0]), int(rows["_high"].iloc[0])
         found = _steps(rows.sort_values("seq")["size"].to_numpy(), cap, low, high)
-        found.insert(0, "volume", key[0])
-        found.insert(1, CHUNK, key[1])
-        return found
-
-    states = []
-    while ahead:
-        passed, asked = [], []
-        for volume, queue in ahead.items():
-            low = high = reached[volume][1]
-            left = budget // len(ahead)
-            for piece in queue:
-                cost = _expected_steps(piece, low, high, cap)
-                if cost > left and piece is not queue[0]:
-                    break
-                left -= cost
-                passed.append(piece)
-                if cost:
-                    asked.append((volume, int(piece.number), int(low), int(high)))
-                low, high = _fills_after(piece, low, high, cap)
-        tables, fetched = {}, {(piece.volume, piece.number) for piece in passed}
-        if asked:
-            window = spark.createDataFrame(asked, f"{head}, _low long, _high long")
-            made = staged(chunked.select(*keys, "seq", "size").join(F.broadcast(window), keys).groupBy(*keys)
-                          .applyInPandas(steps, f"{head}, above long, opened long, fill long, keeps boolean"))
-            # The steps were estimated; what is fetched is counted first. A chunk whose fill is known exactly, as that of
-            # each volume's first one is, has few steps, so every round gets on.
-            counts = {(r.volume, r.number): r.steps for r in made.groupBy(*keys).agg(
-                F.count("*").alias("steps")).withColumnRenamed(CHUNK, "number").toPandas().itertuples()}
-            fetched = _within(passed, counts, budget // len(ahead))
-            wanted = spark.createDataFrame([key for key in fetched if key in counts], head)
-            found = made.join(F.broadcast(wanted), keys).toPandas().sort_values([*keys, "above"])
-            tables = {key: table for key, table in found.groupby(keys)}
-        for piece in passed:
-            if (piece.volume, piece.number) not in fetched:
-                continue
-            container, fill = reached[piece.volume]
-            states.append((piece.volume, int(piece.number), container, fill))
-            ahead[piece.volume].pop(0)
-            table = tables.get((piece.volume, piece.number))
-            if table is None:
-                reached[piece.volume] = container, fill + int(piece.bytes)
-                continue
-            step = table.iloc[max(int(np.searchsorted(table["above"].to_numpy(), fill, side="left")) - 1, 0)]
-            reached[piece.volume] = (container + int(step["opened"]),
-                                     int(step["fill"]) + (fill if step["keeps"] else 0))
-        ahead = {volume: queue for volume, queue in ahead.items() if queue}
-    return spark.createDataFrame(states, f"{head}, _carried long, _carried_fill long")
+        return found.assign(volume_no=rows["_volume_no"].iloc[0], place=rows["_place"].iloc[0])[["volume_no", "place", *STEP]]
+
+    asked = spark.createDataFrame(windows, f"{head}, _volume_no int, _place long, _low long, _high long")
+    sized = with_carried(chunked.select("volume", CHUNK, "seq", "size"), asked, ["volume"]).filter("_place is not null")
+    tables = staged(sized.groupBy("_volume_no", "_place").applyInPandas(steps, TABLE)
+                    .unionByName(spark.createDataFrame(certain, TABLE)))
+    largest = tables.groupBy("volume_no", "place").agg(F.count("*").alias("steps")).agg(F.max("steps")).first()[0] or 1
+    together = max(2, min(MOST_TOGETHER, budget // largest))
+
+    def grouped(runs):
+        return runs.withColumn("group", F.expr(f"place div {together}"))
+
+    levels, longest = [tables], max((place + 1 for *_, place in chunks), default=0)
+    while longest > together:
+        levels.append(staged(grouped(levels[-1]).groupBy("volume_no", "group").applyInPandas(_compose_group, TABLE)))
+        longest = -(-longest // together)
+    met = spark.createDataFrame(starts, MET)
+    for runs in reversed(levels):
+        group = met.withColumnRenamed("place", "group").groupBy("volume_no", "group")
+        met = staged(group.cogroup(grouped(runs).groupBy("volume_no", "group")).applyInPandas(_enter_group, MET))
+    # As many rows as ``pieces``.
+    places = spark.createDataFrame(chunks, f"{head}, volume_no int, place long")
+    return met.join(F.broadcast(places), ["volume_no", "place"]).select(
+        "volume", CHUNK, F.col("container").alias("_carried"), F.col("fill").alias("_carried_fill"))
 
 
 def open_containers(placed: DataFrame) -> DataFrame:
@@ -199,7 +237,7 @@ def pack_containers(files: DataFrame, *, cap: int = CONTAINER_CAP, opened: DataF
 
     Appending starts at the ``opened`` containers (volume, container_id, fill); a volume without one starts at
     container 0. ``compat`` reports the offset of an appended file one byte higher. ``budget`` is about how many steps
-    are chained at once.
+    one task holds.
     """
     keys = ["volume"]
     sized = files.withColumn("size", F.col("size").cast("long"))
@@ -210,7 +248,6 @@ def pack_containers(files: DataFrame, *, cap: int = CONTAINER_CAP, opened: DataF
             sized, opened.select("volume", F.col("container_id").alias("_container"), F.col("fill").alias("_fill")),
             "volume", ["seq"], "left").na.fill(0, ["_container", "_fill"])
     chunked = cut_into_chunks(started, keys, ["seq"], chunks)
-    chunk_keys = ["volume", CHUNK]
     states = _entered(chunked, cap, budget)
     placed_columns = [*files.columns, "container_id", "byte_offset"]
 
@@ -226,7 +263,7 @@ def pack_containers(files: DataFrame, *, cap: int = CONTAINER_CAP, opened: DataF
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in sized.schema)
     placed = (
-        chunked.join(F.broadcast(states), chunk_keys, "left")
+        with_carried(chunked, states, keys)
         .withColumn("_container", F.coalesce("_carried", "_container"))
         .withColumn("_fill", F.coalesce("_carried_fill", "_fill"))
         .groupBy(CHUNK).applyInPandas(place, f"{fields}, container_id long, byte_offset long")
