@@ -3,9 +3,9 @@
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tintflow.operators.ordering import CHUNK, across_chunks, cut_into_chunks, earlier_chunks, with_carried
+from tintflow.operators.ordering import CHUNK, HOT, across_chunks, cut_hot_groups, earlier_chunks, read_again, with_carried
 from tintflow.schemas import require
-from tintflow.session import join_on_group
+from tintflow.session import join_on_group, staged
 
 # Time between two sampled pictures: 5.5 seconds in microseconds (fixed value).
 DEFAULT_INTERVAL_US = 5_500_000
@@ -27,38 +27,46 @@ def sample_frames(events: DataFrame, *, interval_us: int = DEFAULT_INTERVAL_US,
     caught up. With ``c`` the number of deadlines reached at the i-th picture, ``e(i) = min(e(i-1) + 1, c(i))``
     pictures are written so far. Hence ``e(i) - i`` is the running minimum of the slack ``c - i``, and
     the i-th picture is written exactly when its slack is not below the smallest slack before it.
+
+    Along the video only ``v = pts - i * interval`` is compared: with the video's start taken away and divided by the interval it is
+    the slack less one, whatever the start and the count of pictures before a chunk add to it. So a chunk keeps the running
+    minimum of its own ``v``, and the chunks before it add theirs.
     """
     require(events, "video_key", "pts_us", "seq")
-    keys, order = ["video_key"], ["pts_us", "seq"]
-    chunked = cut_into_chunks(events, keys, order, chunks)
-    here = Window.partitionBy("video_key", CHUNK)
-    earlier = earlier_chunks(keys)
-
-    heads = (
-        across_chunks(chunked, keys, F.count("*").alias("_rows"), F.min("pts_us").alias("_from"))
-        .withColumn("_before", F.sum("_rows").over(earlier))
-        .withColumn("_start", F.min("_from").over(Window.partitionBy("video_key")))
-        .select("video_key", CHUNK, "_before", "_start")
-    )
-    local = (chunked.withColumn("_here", F.row_number().over(here.orderBy(*order)))
-             .withColumn("_from", F.min("pts_us").over(here)))
-    slack = (
-        with_carried(local, heads, keys)
-        .withColumn("_i", F.col("_here") + F.coalesce("_before", F.lit(0)))
-        .withColumn("_start", F.coalesce("_start", "_from"))
-        .withColumn("_slack", F.expr(f"(pts_us - _start) div {int(interval_us)}L + 1 - _i"))
-        .drop("_here", "_from", "_before", "_start")
+    keys, order, interval = ["video_key"], ["pts_us", "seq"], F.lit(int(interval_us)).cast("long")
+    chunked, cut = cut_hot_groups(read_again(events), keys, "pts_us", chunks)
+    here = Window.partitionBy("video_key", CHUNK).orderBy(*order)
+    local = (
+        chunked.withColumn("_i", F.row_number().over(here).cast("long"))
+        .withColumn("_start", F.min("pts_us").over(here))
+        .withColumn("_v", F.col("pts_us") - F.col("_i") * interval)
+        .withColumn("_low", F.min("_v").over(here.rowsBetween(Window.unboundedPreceding, -1)))
     )
-    floors = (
-        across_chunks(slack, keys, F.min("_slack").alias("_lowest"))
-        .withColumn("_floor", F.min("_lowest").over(earlier))
-        .select("video_key", CHUNK, "_floor")
-    )
-    before = here.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    if cut:
+        local = staged(local)
+        earlier = earlier_chunks(keys)
+        carried = (
+            across_chunks(local.filter(HOT), keys, F.count("*").alias("_rows"), F.min("pts_us").alias("_from"), F.min("_v").alias("_least"))
+            .withColumn("_before", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)))
+            .withColumn("_floor", F.min(F.col("_least") - F.col("_before") * interval).over(earlier))
+            .withColumn("_first", F.min("_from").over(Window.partitionBy("video_key")))
+            .select("video_key", CHUNK, "_before", "_floor", "_first")
+        )
+        moved = F.coalesce("_before", F.lit(0))
+        local = (
+            with_carried(local, carried, keys)
+            .withColumn("_low", F.least(F.col("_low") - moved * interval, "_floor"))
+            .withColumn("_v", F.col("_v") - moved * interval)
+            .withColumn("_i", F.col("_i") + moved)
+            .withColumn("_start", F.coalesce("_first", "_start"))
+        )
+
+    def slack(value):
+        above = F.col(value) - F.col("_start")
+        return F.call_function("div", above - F.pmod(above, interval), interval) + 1
+
     return (
-        with_carried(slack.withColumn("_floor_here", F.min("_slack").over(before)), floors, keys)
-        .withColumn("_lowest", F.least("_floor_here", "_floor"))
-        .filter("_lowest is null or _slack >= _lowest")
+        local.withColumn("_lowest", slack("_low")).filter(F.col("_low").isNull() | (slack("_v") >= F.col("_lowest")))
         .withColumn("frame_no", F.col("_i") + F.coalesce("_lowest", F.lit(0)) - 1)
-        .drop(CHUNK, "_i", "_slack", "_floor", "_floor_here", "_lowest")
+        .select(*events.columns, "frame_no")
     )

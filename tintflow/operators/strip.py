@@ -14,7 +14,8 @@ def color_strip(frames: DataFrame, keys=tuple(STRIP), *, chunks: int | None = No
     """Columns of each strip: complete frames in frame order, then a black one per incomplete frame."""
     keys = list(keys)
     marked = frames.withColumn("_blank", ~has_all_channels())
-    numbered = number_rows(marked, keys, ["_blank", "frame_index"], number="_n", total="width", chunks=chunks)
+    after = F.col("frame_index").cast("long") + F.when(F.col("_blank"), F.lit(1 << 61)).otherwise(0)
+    numbered = number_rows(marked, keys, ["_blank", "frame_index"], number="_n", total="width", along=after, chunks=chunks)
     return numbered.select(
         *keys,
         (F.col("_n") - 1).alias("x"),
