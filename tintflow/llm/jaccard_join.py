@@ -46,6 +46,8 @@ SMALL = 24  # the boundary is at most this size: beyond it, subsets are never ch
 SCAN_COST = 3.0  # reading a list and looking at its pairs, in units of writing one key
 FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5], np.uint64)
 LOWEST = -(1 << 63)
+REMEMBERED = 1 << 17  # words whose hashes a task remembers
+ROWS = 1000  # texts whose sets a task holds at once
 
 
 # Sets --------------------------------------------------------------------------------------------------------------
@@ -64,11 +66,17 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
+def in_pieces(batches):
+    for batch in batches:
+        for at in range(0, batch.num_rows, ROWS):
+            yield batch.slice(at, ROWS)
+
+
 def shingles(text: str | None, width: int, known: Words) -> np.ndarray:
     """Distinct shingle hashes, ascending as signed 64-bit integers."""
     # bytes.lower() and bytes.split() touch exactly A-Z and the ASCII white space.
     words = (text or "").encode().lower().split()
-    if len(known) > 1 << 19:
+    if len(known) > REMEMBERED:
         known.clear()
     if len(words) < width:
         return np.array([xxhash.xxh64_intdigest(b" ".join(words), seed=1)] if words else [], np.uint64).view(np.int64)
@@ -132,7 +140,7 @@ def set_rows(docs: DataFrame, width: int, rule: Rule) -> DataFrame:
     """_row, id, n, hi, lo, zoned (shingles in the counted zone), low (these and the next firsts; all of a small set), bitmap."""
     def run(batches):
         known, zone = Words(), rule.zone()
-        for batch in batches:
+        for batch in in_pieces(batches):
             out = {name: [] for name in ("n", "hi", "lo", "zoned", "low", "bitmap")}
             for text in batch.column(2):
                 found = shingles(text.as_py(), width, known)
@@ -382,7 +390,7 @@ def sets_of(docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
     """(node, set) of the nodes, made again from the text of one document each."""
     def run(batches):
         known = Words()
-        for batch in batches:
+        for batch in in_pieces(batches):
             found = [shingles(text.as_py(), width, known) for text in batch.column(0)]
             high, low = zip(*map(identity, found)) if found else ((), ())
             yield pa.RecordBatch.from_pydict({"hi": pa.array(high, pa.int64()), "lo": pa.array(low, pa.int64()),
