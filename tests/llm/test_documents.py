@@ -143,8 +143,9 @@ def licence_row(text, threshold=0.9):
         for label, template in license_scan.TEMPLATES:
             held = set(licence_words(template))
             if len(held & block) >= threshold * len(held) - 1e-9:
-                fits.append((len(held & block) / len(held), len(held & block), label))
-        labels |= {label for share, common, label in fits if (share, common) == max(f[:2] for f in fits)}
+                fits.append((len(held & block) / len(held), held & block, label))
+        labels |= {label for share, common, label in fits
+                   if not any(common <= other and (len(other) > len(common) or better > share) for better, other, _ in fits)}
         score = max([score, *(f[0] for f in fits)])
     return (len(words), len(starts), min(starts, default=None), max(starts, default=None), ",".join(sorted(base)), ",".join(sorted(labels)), score)
 
@@ -186,6 +187,15 @@ def test_several_notices_on_a_line(spark):
         ("Licensed under CC BY-NC 4.0. Licensed under CC BY 4.0", "cc-by,cc-by-nc")])
 
 
+def test_matches_whose_words_lie_scattered(spark):
+    """Every verified match of a line keeps its label, whatever stands between its words."""
+    same_labels(spark, [
+        ("... licensed under the very permissive Apache License, as published by ASF, Version 2.0; docs licensed under the well-known CC BY 4.0",
+         "apache-2,cc-by"),
+        ("Released by us under the well known MIT open License. Licensed by us under the Apache public License in Version 2.0", "apache-2,mit"),
+        ("this work, all of it, is licensed to you under the GNU General Public License, version 3", "gpl-3")])
+
+
 def test_licence_scan_uses_no_python(spark, tmp_path):
     write(spark, tmp_path, ["Released under the MIT License."])
     plan = queries.QUERIES["op3_license_scan"](spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()

@@ -6,9 +6,9 @@ The method: a block is a line, a line and the next, or, wherever lines break, a
 as many more as it may miss. Its set holds its words that occur in any template; other words can't match. A block matches a template that it contains to at least ``threshold``. Template words are ordered by how many
 documents hold them, the rarest first. A match must share one of the template's first words, as many as it may miss plus one
 (prefix); the block must hold enough template words at all (length); and from the first word that both share, enough words
-must be left on either side (position). What passes is verified by the intersection. Of several templates that a line or two
-match, those that they contain best, and of these the longest, give their labels. Every template that its window matches gives
-its label, unless a window of another around it holds the same words and more, or the same words of a template that it
+must be left on either side (position). What passes is verified by the intersection. Every template that a line or two match gives
+its label, unless all the words that it shares with them are shared by another match that shares more, or that they contain better. Every
+template that its window matches gives its label, unless a window of another around it holds the same words and more, or the same words of a template that it
 contains better (gpl within gpl-3, cc-by-nc where only cc-by stands). So each notice on a line is found, and every wrapped one.
 
 The templates are the only data sent to every executor; their number is fixed by the caller. Counts cover all documents.
@@ -180,11 +180,18 @@ def scan(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
                   .where(F.size("held") >= F.col("need"))
                   .where(1 + F.least(size - t - 1, F.size("held") - b - 1) >= F.col("need"))
                   .where(~F.arrays_overlap(F.slice("template", F.lit(1), t), F.slice("held", F.lit(1), b))))
-    common = F.size(F.array_intersect("held", "template"))
-    matches = candidates.withColumn("common", common).where(F.col("common") >= F.col("need"))
-    matches = matches.select("_row", "block", "label", F.struct((F.col("common") / size).alias("share"), "common").alias("fit"))
-    best = matches.groupBy("_row", "block").agg(F.max("fit").alias("fit"))
-    found = (matches.join(best, ["_row", "block", "fit"]).select("_row", "label", "fit.share")
+    matches = candidates.withColumn("shared", F.array_intersect("template", "held")).where(F.size("shared") >= F.col("need"))
+    # A block's matches, as many as there are templates at most.
+    matches = matches.groupBy("_row", "block").agg(F.collect_list(F.struct(
+        "label", (F.size("shared") / size).alias("share"), "shared")).alias("matches"))
+
+    def inside(match, other):
+        return ((F.size(F.array_except(match["shared"], other["shared"])) == 0)
+                & ((F.size(other["shared"]) > F.size(match["shared"])) | (other["share"] > match["share"])))
+
+    kept = F.filter("matches", lambda match: ~F.exists("matches", lambda other: inside(match, other)))
+    best = F.array_max(F.transform("matches", lambda match: match["share"]))
+    found = (matches.select("_row", best.alias("share"), F.explode(kept).alias("kept")).select("_row", "kept.label", "share")
              .unionByName(window_matches(rows, prefix, reach)).groupBy("_row")
              .agg(F.collect_set("label").alias("found"), F.max("share").alias("share")))
     labels = F.array_sort(F.array_union("base", F.coalesce("found", literal([]))))

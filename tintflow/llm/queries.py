@@ -62,10 +62,11 @@ blocks AS (SELECT doc_id, n, 1 AS width, words FROM held UNION ALL SELECT a.doc_
            FROM held a JOIN held b ON a.doc_id = b.doc_id AND b.n = a.n + 1),
 templates AS (SELECT label, list_distinct(regexp_extract_all(lower(template), '{LICENSE_WORDS}')) AS words
               FROM (VALUES {LICENSE_TEMPLATES}) t(label, template)),
-shared AS (SELECT doc_id, n, width, label, len(t.words) AS size, len(list_intersect(b.words, t.words)) AS common FROM blocks b, templates t),
-matches AS (SELECT *, common / size AS share FROM shared WHERE common >= ceil(0.9 * size - 1e-9)
-            QUALIFY row(share, common) = max(row(share, common)) OVER (PARTITION BY doc_id, n, width)),
-found AS (SELECT doc_id, list(DISTINCT label) AS labels, max(share) AS share FROM matches GROUP BY doc_id)
+shared AS (SELECT doc_id, n, width, label, len(t.words) AS size, list_intersect(b.words, t.words) AS common FROM blocks b, templates t),
+matches AS (SELECT *, len(common) / size AS share FROM shared WHERE len(common) >= ceil(0.9 * size - 1e-9)),
+kept AS (SELECT * FROM matches m WHERE NOT EXISTS (SELECT 1 FROM matches o WHERE o.doc_id = m.doc_id AND o.n = m.n AND o.width = m.width
+            AND list_has_all(o.common, m.common) AND (len(o.common) > len(m.common) OR o.share > m.share))),
+found AS (SELECT k.doc_id, list(DISTINCT k.label) AS labels, max(m.share) AS share FROM kept k JOIN matches m ON k.doc_id = m.doc_id GROUP BY k.doc_id)
 SELECT t.doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
   coalesce(array_to_string(list_sort(b.labels), ','), '') AS base_labels,
   coalesce(array_to_string(list_sort(list_distinct(list_concat(coalesce(b.labels, []), coalesce(f.labels, [])))), ','), '') AS labels,
