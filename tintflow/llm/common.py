@@ -10,6 +10,17 @@ from tintflow.session import new_folder
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+# Rows that go to a Python task at once. Texts may be long: ten thousand of them, Spark's own bound, may not fit a task.
+BATCH_ROWS = 1000
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Lets the session send no more than ``BATCH_ROWS`` rows to a Python task at once; a smaller number stays."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -53,6 +64,7 @@ def with_row(docs: DataFrame) -> tuple[DataFrame, str]:
     It must be the same in every scan, and files may be split in another way as executors come and go. Rows of a Parquet table are
     known by their place in its files, so that nothing is copied; others are numbered and stored once.
     """
+    bound_batches(docs.sparkSession)
     name, place = unused(docs, "row"), place_in_files(docs)
     if place is not None:
         return docs.select("*", place.alias(name)), name

@@ -23,6 +23,8 @@ import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tintflow.llm.common import bound_batches
+
 SIZES = (5, 4, 3, 2, 1)  # n-grams, tried in this order
 WORD = 0  # the size that stands for whole words
 PENALTY = 7.0  # negative decimal logarithm given to a language that lacks a gram
@@ -97,7 +99,7 @@ def fit(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", l
 class Scorer:
     """Scores of distinct words, remembered; nothing depends on what is remembered."""
 
-    ROWS = 1 << 18
+    ROWS = 1 << 16
 
     def __init__(self, model: dict):
         self.langs, self.values = model["langs"], model["values"]
@@ -169,6 +171,7 @@ def identify(docs: DataFrame) -> DataFrame:
 
 def keep_identified(docs: DataFrame, model: dict, text_column: str = "text") -> DataFrame:
     """The rows, all columns, whose text has a word or n-gram of a learned language; nothing else is rejected."""
+    bound_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
