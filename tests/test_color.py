@@ -101,6 +101,34 @@ def test_many_requests_give_the_same(asked, monkeypatch):
     assert rows(frame_colors(pixels, requests), *color.FRAME, "bucket_size", "kind", "r", "g", "b") == expected
 
 
+def test_sizes_follow_from_their_largest_divisor(spark):
+    wanted = spark.createDataFrame([("a", s, "dominant") for s in (6, 12, 24, 4, 30, 255)] + [("b", s, "dominant") for s in (2, 3, 5, 7, 11, 44)]
+                                   + [("b", 9, "average")], "video_key string, bucket_size int, kind string")
+    assert rows(color.derived_sizes(wanted)) == sorted([
+        ("a", 4, None, 0, True), ("a", 6, None, 0, True), ("a", 12, 6, 1, True), ("a", 24, 12, 2, True), ("a", 30, 6, 1, True),
+        ("a", 255, None, 0, True), ("b", 1, None, 0, False), *[("b", s, 1, 1, True) for s in (2, 3, 5, 7, 11)], ("b", 44, 11, 2, True)], key=repr)
+
+
+@pytest.mark.parametrize("sizes,small", [((1, 40), True), ((16, 40), True), ((1, 2, 8, 64), True), ((6, 12, 24, 255), False), (range(2, 256, 21), True)])
+def test_chains_of_sizes_equal_each_size_alone(spark, monkeypatch, sizes, small):
+    """Colours that are nearly all distinct, ties, and a frame of one colour, in two videos that ask for other sizes."""
+    rng = random.Random(21)
+    frames = {(v, n): [tuple(rng.randrange(256) if n else 77 for _ in range(3)) for _ in range(40 + 60 * n)] for v in "ab" for n in range(3)}
+    pixels = spark.createDataFrame([(*k, *p) for k, ps in frames.items() for p in ps], PIXEL)
+    wanted = [(v, s, kind) for v in "ab" for s in sizes for kind in ("average", "dominant") if v == "a" or s % 2 == 0]
+    if not small:
+        monkeypatch.setattr(color, "is_small", lambda *_: False)
+    found = color.requested_colors(pixels, spark.createDataFrame(wanted, "video_key string, bucket_size int, kind string"))
+    expected = [(v, n, s, kind, *(average(ps, s, "truncate") if kind == "average" else dominant(ps, s)))
+                for (v, n), ps in frames.items() for w, s, kind in wanted if v == w]
+    assert rows(found, *color.FRAME, "bucket_size", "kind", "r", "g", "b") == sorted(expected, key=repr)
+
+
+def test_no_requests_no_colors(spark):
+    none = spark.createDataFrame([], "video_key string, bucket_size int, kind string")
+    assert rows(color.requested_colors(frame(spark, [(1, 2, 3)]), none)) == []
+
+
 def test_pixels_of_frames_broadcast_or_dealt(spark, monkeypatch):
     rng = random.Random(9)
     pixels = spark.createDataFrame(

@@ -4,6 +4,7 @@ import pytest
 
 from catalog import inputs, registry
 from conftest import plan
+from tintflow.functions.requests import accepted
 from tintflow.operators import color, history, lookup, ordering, sampling
 from tintflow.plans.strips import prefix_scan, video_strip
 
@@ -21,15 +22,22 @@ def test_no_python_in_the_plan(spark, name):
 
 
 def test_buckets_are_counted_before_the_shuffle(spark):
-    text = plan(color.requested_colors(inputs.pixels(spark, SF), inputs.color_requests(spark, SF)))
+    wanted = accepted(inputs.color_requests(spark, SF))
+    text = plan(color.count_observations(inputs.pixels(spark, SF), wanted, color.derived_sizes(wanted), True))
     lines = [line.strip(" +-:") for line in text.split("\n")]
-    # The deepest shuffle carries counted levels; neither sizes nor kinds of requests have multiplied the pixels below it.
-    shuffle = max(k for k, line in enumerate(lines) if line.startswith("Exchange hashpartitioning") and "seen" in line)
-    assert "partial_count" in lines[shuffle + 1]
-    assert "bucket_size" not in " ".join(line for line in lines[shuffle:] if "HashAggregate" in line or "Generate" in line)
+    # The pixels' only shuffle carries counted levels and buckets.
+    shuffles = [k for k, line in enumerate(lines) if line.startswith("Exchange hashpartitioning") and "seen" in line]
+    assert len(shuffles) == 1 and ("partial_count" in lines[shuffles[0] + 1])
     assert "BroadcastHashJoin" in text
 
 
+def test_averages_of_all_sizes_come_from_one_shuffle_of_levels(spark):
+    found = color.requested_colors(inputs.pixels(spark, SF), inputs.color_requests(spark, SF).filter("kind = 'average'"))
+    exchanged = [line for line in plan(found).split("\n") if "Exchange hashpartitioning" in line]
+    assert sum("pixels" in line or "slot" in line for line in exchanged) == 0  # the buckets lie where the levels do
+    assert "SortAggregate" not in plan(found)
+
+
 def test_versions_are_cut_before_the_shuffle(spark):
     text = plan(history.last_versions(inputs.video_blocks(spark, SF), ["video_key"]))
     assert "WindowGroupLimit" in text and "Partial" in text

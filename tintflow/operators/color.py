@@ -69,9 +69,20 @@ def weigh(pixels: DataFrame, keys: list[str]) -> DataFrame:
     return pixels.groupBy(*keys, "r", "g", "b").agg(pixel_weight(pixels).alias("weight"))
 
 
-# An observation is one integer: the slot it belongs to above 24 bits that hold a channel's value or all three.
+# An observation is one number: the bucket size its value was cut to (0 for a channel's own level), the slot it belongs to, and
+# 24 bits that hold a channel's value or all three.
 RED, GREEN, BLUE, JOINT = 0, 1, 2, 3
-SLOT_SHIFT = 24
+SLOT_SHIFT, SIZE_SHIFT = 24, 32
+VALUES = (1 << SLOT_SHIFT) - 1
+
+# A video with more sizes than this that no other asked size divides gets all its sizes from its colours.
+FIRST_SIZES = 4
+# A size is at least twice its divisor, so chains up to 255 have fewer steps.
+CHAIN = 8
+
+# Levels in the byte order of their decimal text: the order of the labels of equally frequent colours.
+BY_TEXT = sorted(range(LARGEST_BUCKET + 1), key=str)
+PLACE_BY_TEXT = [BY_TEXT.index(level) for level in range(LARGEST_BUCKET + 1)]
 
 
 def usable_pixels(pixels: DataFrame) -> DataFrame:
@@ -79,66 +90,87 @@ def usable_pixels(pixels: DataFrame) -> DataFrame:
     return pixels.filter(F.col("r").between(0, 255) & F.col("g").between(0, 255) & F.col("b").between(0, 255))
 
 
-def _observations(red: Column, green: Column, blue: Column, average: Column | None = None) -> Column:
-    """What one pixel contributes to its frame's colours: its channels for averages, their joint value for the dominant one.
+def _channels(value: Column) -> list[Column]:
+    return [F.shiftright(value, shift).bitwiseAND(F.lit(255)).cast("int") for shift in (16, 8, 0)]
 
-    Without ``average`` it contributes to both.
-    """
-    def seen(slot, value):
-        return value.cast("int").bitwiseOR(F.lit(slot << SLOT_SHIFT))
 
-    channels = [seen(RED, red), seen(GREEN, green), seen(BLUE, blue)]
-    joint = seen(JOINT, F.shiftleft(red.cast("int"), 16).bitwiseOR(F.shiftleft(green.cast("int"), 8)).bitwiseOR(blue.cast("int")))
-    if average is None:
-        return F.array(*channels, joint)
-    return F.when(average, F.array(*channels)).otherwise(F.array(joint))
+def _pack(red: Column, green: Column, blue: Column) -> Column:
+    return F.shiftleft(red.cast("int"), 16).bitwiseOR(F.shiftleft(green.cast("int"), 8)).bitwiseOR(blue.cast("int"))
 
 
-def _split(counted: DataFrame) -> DataFrame:
-    """``seen`` taken apart into slot and value."""
-    return (counted.withColumn("slot", F.shiftright("seen", SLOT_SHIFT))
-            .withColumn("value", F.col("seen").bitwiseAND(F.lit((1 << SLOT_SHIFT) - 1))).drop("seen"))
+def _cut(channels: list[Column], size: Column) -> Column:
+    """A packed colour, each channel at the lower bound of its bucket."""
+    return _pack(*[channel - channel % size for channel in channels])
 
 
-def _colors(counted: DataFrame, rounding: str) -> DataFrame:
-    """One colour per frame, bucket size and kind from counted buckets (slot, value, cnt).
+def _seen(size: Column, slot: int, value: Column) -> Column:
+    return (F.shiftleft(size.cast("long"), SIZE_SHIFT).bitwiseOR(F.lit(slot << SLOT_SHIFT).cast("long"))
+            .bitwiseOR(value.cast("long")))
 
-    The dominant colour is the most frequent joint bucket; of equally frequent ones the greatest label in byte order.
-    ``truncate`` drops the fraction of every bucket's contribution to an average, ``exact`` only that of the sum.
-    """
-    if rounding not in ROUNDINGS:
-        raise ValueError(f"rounding is one of {ROUNDINGS}")
-    frame = [*FRAME, "bucket_size", "kind"]
-    rows = counted.withColumn("kind", F.when(F.col("slot") == JOINT, "dominant").otherwise("average"))
+
+def _counted(observed: DataFrame, pixels: Column) -> DataFrame:
+    """Equal observations (an array ``seen`` per row, null for none) of a frame counted, taken apart into bucket_size, slot and value."""
+    seen = F.col("seen")
+    return (observed.withColumn("seen", F.explode("seen")).filter(seen.isNotNull()).groupBy(*FRAME, "seen").agg(pixels.alias("cnt"))
+            .select(*FRAME, F.shiftright(seen, SIZE_SHIFT).cast("int").alias("bucket_size"),
+                    F.shiftright(seen, SLOT_SHIFT).bitwiseAND(F.lit(JOINT)).cast("int").alias("slot"),
+                    seen.bitwiseAND(F.lit(VALUES)).cast("int").alias("value"), "cnt"))
+
+
+def _with_pixels(levels: DataFrame, *keys: str) -> DataFrame:
     of_red = F.when(F.col("slot") == RED, F.col("cnt"))
-    rows = rows.withColumn("pixels", F.sum(of_red).over(Window.partitionBy(*frame)))
+    return levels.withColumn("pixels", F.sum(of_red).over(Window.partitionBy(*keys)))
 
+
+def _averages(buckets: DataFrame, rounding: str) -> DataFrame:
+    """Average colours from counted buckets (frame, bucket_size, pixels, slot, value, cnt).
+
+    ``truncate`` drops the fraction of every bucket's contribution to an average, ``exact`` only that of the sum.
+    """
     def average(slot):
-        part = F.col("cnt") * F.col("value")
+        part = F.when(F.col("slot") == slot, F.col("cnt") * F.col("value"))
         if rounding == "truncate":
-            return F.sum(F.when(F.col("slot") == slot, F.call_function("div", part, F.col("pixels"))))
-        return F.call_function("div", F.sum(F.when(F.col("slot") == slot, part)), F.max("pixels"))
+            return F.sum(F.call_function("div", part, F.col("pixels")))
+        return F.call_function("div", F.sum(part), F.max("pixels"))
+
+    return buckets.groupBy(*FRAME, "bucket_size").agg(F.lit("average").alias("kind"), *[
+        average(slot).cast("int").alias(name) for slot, name in ((RED, "r"), (GREEN, "g"), (BLUE, "b"))])
+
+
+def _dominants(joint: DataFrame) -> DataFrame:
+    """The most frequent joint bucket (frame, bucket_size, value, cnt); of equally frequent ones the greatest label in byte order.
+
+    Count and place of the label make one number, so that its maximum is kept in place and one row per frame and size leaves a task.
+    """
+    def looked_up(value, levels):
+        table = F.expr(f"array({', '.join(map(str, levels))})")
+        return [F.get(table, channel) for channel in _channels(value)]
 
-    red, green, blue = (F.shiftright("value", s).bitwiseAND(F.lit(255)) for s in (16, 8, 0))
-    most = F.struct("cnt", bucket_label(red, green, blue).alias("label"), "value")
-    per_frame = rows.groupBy(*frame).agg(
-        average(RED).alias("ar"), average(GREEN).alias("ag"), average(BLUE).alias("ab"),
-        F.max(F.when(F.col("slot") == JOINT, most))["value"].alias("top"))
-    return per_frame.select(*frame, *[
-        F.when(F.col("kind") == "average", F.col(f"a{name}")).otherwise(F.shiftright("top", shift).bitwiseAND(F.lit(255)))
-        .cast("int").alias(name) for name, shift in (("r", 16), ("g", 8), ("b", 0))])
+    place = _pack(*looked_up(F.col("value"), PLACE_BY_TEXT)).cast("long")
+    top = joint.groupBy(*FRAME, "bucket_size").agg(
+        F.max(F.shiftleft(F.col("cnt").cast("long"), SLOT_SHIFT).bitwiseOR(place)).alias("top"))
+    return top.select(*FRAME, "bucket_size", F.lit("dominant").alias("kind"), *[
+        level.cast("int").alias(name) for name, level in zip("rgb", looked_up(F.col("top").bitwiseAND(F.lit(VALUES)), BY_TEXT))])
+
+
+def _valid_rounding(rounding: str) -> None:
+    if rounding not in ROUNDINGS:
+        raise ValueError(f"rounding is one of {ROUNDINGS}")
 
 
 def colors_of(pixels: DataFrame, *, rounding: str = "truncate") -> DataFrame:
     """One colour per frame, bucket size and kind, from pixels that carry distinct ``bucket_size`` and ``kind``.
 
-    One pass serves both kinds; at most 3 x 256 counted channel buckets of a frame leave a task.
+    At most 3 x 256 counted channel buckets of a frame leave a task.
     """
     require(pixels, *FRAME, "r", "g", "b", "bucket_size", "kind")
-    observed = _observations(*[bucketize(c, "bucket_size") for c in "rgb"], F.col("kind") == "average")
-    counted = (usable_pixels(pixels).withColumn("seen", F.explode(observed))
-               .groupBy(*FRAME, "bucket_size", "seen").agg(pixel_weight(pixels).alias("cnt")))
-    return _colors(_split(counted), rounding)
+    _valid_rounding(rounding)
+    usable, size, channels = usable_pixels(pixels), F.col("bucket_size"), [F.col(c) for c in "rgb"]
+    levels = [_seen(size, slot, c - c % size) for slot, c in zip((RED, GREEN, BLUE), channels)]
+    of_average = usable.filter(F.col("kind") == "average").withColumn("seen", F.array(*levels))
+    of_dominant = usable.filter(F.col("kind") != "average").withColumn("seen", F.array(_seen(size, JOINT, _cut(channels, size))))
+    buckets = _with_pixels(_counted(of_average, pixel_weight(pixels)), *FRAME, "bucket_size")
+    return _averages(buckets, rounding).unionByName(_dominants(_counted(of_dominant, pixel_weight(pixels))))
 
 
 def average_color(pixels: DataFrame, bucket_size: int, *, rounding: str = "truncate") -> DataFrame:
@@ -151,29 +183,91 @@ def dominant_color(pixels: DataFrame, bucket_size: int) -> DataFrame:
     return colors_of(asked)
 
 
+def _divisor(size: Column, sizes: Column) -> Column:
+    """The largest of ``sizes`` that ``size`` is a multiple of, other than itself; null if there is none."""
+    return F.array_max(F.filter(sizes, lambda s: (s < size) & (size % s == 0)))
+
+
+def derived_sizes(wanted: DataFrame) -> DataFrame:
+    """How a video's joint histograms follow from one another: (video_key, bucket_size, from_size, step, asked).
+
+    Buckets of a multiple are unions of a divisor's buckets, so a size follows from the largest asked size that divides it; ``step``
+    is the length of its chain. Sizes without a divisor (``from_size`` null, step 0) are counted from pixels. Where these are more
+    than ``FIRST_SIZES``, only size 1 is, which divides all; it is not ``asked`` if nobody asked for it.
+    """
+    per_video = wanted.filter(F.col("kind") != "average").groupBy("video_key").agg(F.collect_set("bucket_size").alias("own"))
+    first = F.filter("own", lambda s: _divisor(s, F.col("own")).isNull())
+    one = F.array(F.lit(1))
+    sizes = per_video.select("video_key", "own", F.when(F.size(first) <= FIRST_SIZES, F.col("own")).otherwise(
+        F.array_union(one, "own")).alias("sizes"))
+    each = sizes.withColumn("bucket_size", F.explode("sizes"))
+    start = F.struct(F.col("bucket_size").alias("at"), F.lit(0).alias("step"))
+
+    def follow(chain, _):
+        divisor = _divisor(chain["at"], F.col("sizes"))
+        return F.struct(divisor.alias("at"), (chain["step"] + divisor.isNotNull().cast("int")).alias("step"))
+
+    return each.select("video_key", "bucket_size", _divisor(F.col("bucket_size"), F.col("sizes")).alias("from_size"),
+                       F.aggregate(F.sequence(F.lit(1), F.lit(CHAIN)), start, follow)["step"].alias("step"),
+                       F.array_contains("own", F.col("bucket_size")).alias("asked"))
+
+
+def count_observations(pixels: DataFrame, wanted: DataFrame, sizes: DataFrame, small: bool, first_sizes: int = FIRST_SIZES) -> DataFrame:
+    """Counted observations of the requested videos' frames: levels for averages, joint buckets of the first sizes.
+
+    No video has more than ``first_sizes`` of these.
+    """
+    first = sizes.filter("step = 0").groupBy("video_key").agg(F.collect_list("bucket_size").alias("_first"))
+    videos = (wanted.groupBy("video_key").agg(F.max(F.col("kind") == "average").alias("_averages"))
+              .join(first, "video_key", "left"))
+    used = join_on_group(usable_pixels(pixels), videos, "video_key", [*FRAME, "r", "g", "b"], small=small)
+    channels = [F.col(c) for c in "rgb"]
+    levels = [F.when(F.col("_averages"), _seen(F.lit(0), slot, c)) for slot, c in zip((RED, GREEN, BLUE), channels)]
+    of_size = (F.get("_first", F.lit(k)) for k in range(first_sizes))
+    joints = [F.when(size.isNotNull(), _seen(size, JOINT, _cut(channels, size))) for size in of_size]
+    return _counted(used.withColumn("seen", F.array(*levels, *joints)), pixel_weight(pixels))
+
+
 def requested_colors(pixels: DataFrame, requests: DataFrame, *, rounding: str = "truncate") -> DataFrame:
     """Colours of the requested videos' frames, for each (bucket size, kind) asked of their video.
 
-    The pixels are counted once, before anything is known of sizes: levels per channel (at most 768 rows a frame, which
-    serve the averages of all sizes) and colours (which serve all dominant ones). The requests meet the counted rows
-    and cut them into their buckets. Sizes outside 1..255 get no colour.
+    The pixels are read and counted once: levels per channel (at most 768 rows a frame, which serve the averages of all
+    sizes) and joint buckets of the sizes that no other asked size divides, cut before anything is exchanged. The counts are
+    staged. A frame's levels come together once and give all its averages; every other size is counted from the buckets
+    of its largest divisor, step by step. Sizes outside 1..255 get no colour.
     """
+    _valid_rounding(rounding)
     asked = ["video_key", "bucket_size", "kind"]
     wanted = staged(requests.filter(F.col("bucket_size").between(SMALLEST_BUCKET, LARGEST_BUCKET)).select(*asked).distinct())
     small = is_small(wanted)
-    videos = wanted.groupBy("video_key").agg(F.max(F.col("kind") == "average").alias("_averages"),
-                                             F.max(F.col("kind") != "average").alias("_dominants"))
-    used = join_on_group(usable_pixels(pixels), videos, "video_key", [*FRAME, "r", "g", "b"], small=small)
-    observed = F.filter(_observations(F.col("r"), F.col("g"), F.col("b")), lambda seen: F.when(
-        F.shiftright(seen, SLOT_SHIFT) == JOINT, F.col("_dominants")).otherwise(F.col("_averages")))
-    counted = _split(used.withColumn("seen", F.explode(observed)).groupBy(*FRAME, "seen").agg(pixel_weight(pixels).alias("cnt")))
-    spread = join_on_group(counted, wanted, "video_key", ["frame_index", "slot", "value"], small=small)
-    spread = spread.filter((F.col("slot") == JOINT) == (F.col("kind") != "average"))
-    channels = [bucketize(F.shiftright("value", shift).bitwiseAND(F.lit(255)), "bucket_size") for shift in (16, 8, 0)]
-    joint = F.shiftleft(channels[0], 16).bitwiseOR(F.shiftleft(channels[1], 8)).bitwiseOR(channels[2])
-    value = F.when(F.col("slot") == JOINT, joint).otherwise(bucketize("value", "bucket_size"))
-    bucketed = (spread.withColumn("value", value).groupBy(*FRAME, "bucket_size", "slot", "value").agg(F.sum("cnt").alias("cnt")))
-    return _colors(bucketed, rounding)
+    sizes = staged(derived_sizes(wanted))
+    per_video = sizes.groupBy("video_key").agg(F.max("step").alias("steps"), F.max(~F.col("asked")).alias("added"),
+                                               F.count_if(F.col("step") == 0).alias("firsts"))
+    steps, added, firsts = per_video.agg(F.max("steps"), F.max("added"), F.max("firsts")).first()
+    counted = staged(count_observations(pixels, wanted, sizes, small, firsts or 0))
+
+    levels = _with_pixels(counted.filter(F.col("slot") != JOINT).drop("bucket_size"), *FRAME)
+    averaged = wanted.filter(F.col("kind") == "average").select("video_key", "bucket_size")
+    buckets = (join_on_group(levels, averaged, "video_key", ["frame_index", "slot", "value"], small=small)
+               .groupBy(*FRAME, "bucket_size", "pixels", "slot", bucketize("value", "bucket_size").alias("value"))
+               .agg(F.sum("cnt").alias("cnt")))
+    found = _averages(buckets, rounding)
+
+    joint = counted.filter(F.col("slot") == JOINT).drop("slot")
+    reached = joint
+    for step in range(1, (steps or 0) + 1):
+        following = sizes.filter(F.col("step") == step).select(
+            "video_key", F.col("from_size").alias("bucket_size"), F.col("bucket_size").alias("_size"))
+        spread = join_on_group(reached, following, ["video_key", "bucket_size"], ["frame_index", "value"], small=small)
+        reached = (spread.groupBy(*FRAME, F.col("_size").alias("bucket_size"), _cut(_channels(F.col("value")), F.col("_size")).alias("value"))
+                   .agg(F.sum("cnt").alias("cnt")))
+        if step < steps:
+            reached = staged(reached)
+        joint = joint.unionByName(reached)
+    if added:
+        joint = join_on_group(joint, sizes.filter("asked").select("video_key", "bucket_size"), ["video_key", "bucket_size"],
+                              ["frame_index", "value"], "left_semi", small=small)
+    return found.unionByName(_dominants(joint))
 
 
 def attach_frames(pixels: DataFrame, frames: DataFrame) -> DataFrame:
