@@ -82,18 +82,21 @@ KIND = "CASE c_custkey % 3 WHEN 0 THEN 'average' WHEN 1 THEN 'domiant' ELSE 'dom
 OTHER_KIND = "CASE WHEN event_id % 4 < 2 THEN 'average' ELSE 'domiant' END"
 
 
+OTHER_SIZE = "event_id % 17 * 15 + 1"
+
+
 def requests(spark, sf_dir):
-    """Customers ask for a video each, and events for their user's: many sizes and both kinds of one video."""
+    """Customers ask for a video each, and every event for its user's: 17 sizes and both kinds of one video."""
     own = table(spark, sf_dir, "customer").selectExpr(
         "c_custkey as video_key", "cast(c_custkey % 300 - 10 as int) as bucket_size", f"{KIND} as kind")
-    again = table(spark, sf_dir, "events").filter("event_id % 5 = 0").selectExpr(
-        "user_id as video_key", "cast(event_id % 255 + 1 as int) as bucket_size", f"{OTHER_KIND} as kind")
+    again = table(spark, sf_dir, "events").selectExpr(
+        "user_id as video_key", f"cast({OTHER_SIZE} as int) as bucket_size", f"{OTHER_KIND} as kind")
     return own.unionByName(again)
 
 
 REQUESTS = (f"requests AS (SELECT c_custkey AS video_key, CAST(c_custkey % 300 - 10 AS INTEGER) AS bucket_size, "
-            f"{KIND} AS kind FROM customer UNION ALL SELECT user_id, CAST(event_id % 255 + 1 AS INTEGER), {OTHER_KIND} "
-            "FROM events WHERE event_id % 5 = 0)")
+            f"{KIND} AS kind FROM customer UNION ALL SELECT user_id, CAST({OTHER_SIZE} AS INTEGER), {OTHER_KIND} "
+            "FROM events)")
 ACCEPTED = ("accepted AS (SELECT DISTINCT video_key, bucket_size, CASE WHEN kind = 'average' THEN 'average' "
             "ELSE 'dominant' END AS kind FROM requests WHERE bucket_size BETWEEN 1 AND 255)")
 
@@ -228,14 +231,15 @@ def scaled_sql(strip="strip", name="scaled"):
 
 
 def event_pixels(spark, sf_dir):
-    """Pixels of picture events: line items of an order belong to the event of the same number."""
-    owners = table(spark, sf_dir, "events").selectExpr("event_id as l_orderkey", "user_id as video_key")
-    return table(spark, sf_dir, "lineitem").join(owners, "l_orderkey").selectExpr(
-        "video_key", "l_orderkey as seq", *RGB)
+    """Pixels of picture events: line items belong to the event their order's number points at, going round all events."""
+    events = table(spark, sf_dir, "events")
+    owners = events.selectExpr("event_id as seq", "user_id as video_key")
+    return table(spark, sf_dir, "lineitem").withColumn("seq", F.expr(f"l_orderkey % {max(events.count(), 1)}")).join(
+        owners, "seq").select("video_key", "seq", *map(F.expr, RGB))
 
 
-EVENT_PIXELS = ("event_pixels AS (SELECT user_id AS video_key, l_orderkey AS seq, "
-                f"{', '.join(RGB)} FROM lineitem JOIN events ON l_orderkey = event_id)")
+EVENT_PIXELS = ("event_pixels AS (SELECT user_id AS video_key, event_id AS seq, "
+                f"{', '.join(RGB)} FROM lineitem JOIN events ON l_orderkey % (SELECT count(*) FROM events) = event_id)")
 
 CACHED_EXPR = ["user_id as video_key", "event_id as frame_index", "cast(event_id % 255 + 1 as int) as bucket_size",
                f"{BLOCK_KIND} as kind",

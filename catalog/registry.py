@@ -489,17 +489,20 @@ def sample_frames(spark, sf_dir):
 
 @query(SAMPLED)
 def sample_frames_stream(spark, sf_dir):
-    """The events arrive in three micro-batches, one after the other in time, so that state is carried."""
+    """The events arrive in three micro-batches, one after the other in time, so that state is carried.
+
+    Each third is written as it is partitioned and taken by one run of the stream, which goes on where the last one ended.
+    """
     arrived, out, state = (new_folder(spark, name) for name in ("arrived", "sampled", "sampled-state"))
     events = i.frame_events(spark, sf_dir)
     first, second = events.approxQuantile("pts_us", [1 / 3, 2 / 3], 0.01) or [0, 0]
-    for part in (F.col("pts_us") <= first, (F.col("pts_us") > first) & (F.col("pts_us") <= second), F.col("pts_us") > second):
-        events.filter(part).coalesce(1).write.mode("append").parquet(arrived)
-    events = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(arrived)
-    written = (sampler.sample_frames_stream(events, interval_us=i.HOURS_6, first_stream_only=False).writeStream
-               .outputMode("append").option("checkpointLocation", state).trigger(availableNow=True)
-               .format("parquet").start(out))
-    written.awaitTermination()
+    later, last = F.coalesce(F.col("pts_us") > first, F.lit(False)), F.coalesce(F.col("pts_us") > second, F.lit(False))
+    for part in (~later, later & ~last, last):
+        events.filter(part).write.mode("append").parquet(arrived)
+        stream = spark.readStream.schema(events.schema).parquet(arrived)
+        sampled = sampler.sample_frames_stream(stream, interval_us=i.HOURS_6, first_stream_only=False)
+        (sampled.writeStream.outputMode("append").option("checkpointLocation", state).trigger(availableNow=True)
+         .format("parquet").start(out).awaitTermination())
     return spark.read.parquet(out)
 
 
