@@ -98,3 +98,12 @@ def test_stream_may_start_with_another_streams_events(spark):
     cut = [[("v", 1, 50, 1)], [("v", 0, 60, 2), ("v", 1, 1100, 3)]]
     found = run_stream(spark, arrivals(spark, cut), interval_us=1000)
     assert rows(found, "seq", "frame_no") == [(1, 0), (3, 1)]
+
+
+def test_stream_leaves_out_pictures_without_a_time(spark):
+    arrived, out, state = (new_folder(spark, name) for name in ("arrived", "sampled", "state"))
+    spark.createDataFrame([("v", 0, 0, 0), ("v", 0, None, 1), ("v", 0, 2000, 2), ("w", 0, None, 3)], EVENT).write.parquet(arrived)
+    events = spark.readStream.schema(EVENT).parquet(arrived)
+    (sample_frames_stream(events, interval_us=1000).writeStream.outputMode("append").option("checkpointLocation", state)
+     .trigger(availableNow=True).format("parquet").start(out).awaitTermination())
+    assert rows(spark.read.parquet(out), "video_key", "seq", "frame_no") == [("v", 0, 0), ("v", 2, 1)]

@@ -41,6 +41,20 @@ def write_files(files: DataFrame, folder: str, *, name: str = "name", content: s
     return files.mapInPandas(write, files.drop(content).schema.add("path", "string"))
 
 
+def remove_files(files: DataFrame, folder: str, *, name: str = "name") -> DataFrame:
+    """Remove the files of these names from ``folder`` in the tasks; the names. One that is gone already does no harm."""
+    def remove(batches):
+        from pyarrow import fs
+        target, root = fs.FileSystem.from_uri(folder)
+        for batch in batches:
+            for file in batch[name]:
+                if target.get_file_info(f"{root}/{file}").type == fs.FileType.File:
+                    target.delete_file(f"{root}/{file}")
+            yield batch
+
+    return files.select(name).mapInPandas(remove, files.select(name).schema)
+
+
 def list_files(spark: SparkSession, path: str, *, recursive: bool = True) -> DataFrame:
     """Path and modification time of the files in a directory; no file is opened."""
     return (spark.read.format("binaryFile").option("recursiveFileLookup", recursive).load(path)

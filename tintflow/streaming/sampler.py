@@ -15,7 +15,8 @@ def sample_frames_stream(events: DataFrame, *, interval_us: int = DEFAULT_INTERV
     State per video: the chosen stream, the first picture's time and the number of pictures written. Within a
     micro-batch a video's events are taken in (pts_us, seq) order; a later batch's event that lies
     before the next deadline is not written. A task holds one video's events of one micro-batch, four numbers each:
-    set the source's ``maxFilesPerTrigger`` or ``maxBytesPerTrigger`` so that a whole micro-batch would fit.
+    set the source's ``maxFilesPerTrigger`` or ``maxBytesPerTrigger`` so that a whole micro-batch would fit. Pictures without a
+    time or a place in their video are not written.
 
     With ``forget_after_ms`` the state of a video without events for that long is dropped; should it go on
     later, it starts anew. Without it a video is never forgotten. For many videos, name the RocksDB state store provider.
@@ -52,7 +53,7 @@ def sample_frames_stream(events: DataFrame, *, interval_us: int = DEFAULT_INTERV
         if forget_after_ms is not None:
             state.setTimeoutDuration(forget_after_ms)
 
-    return events.select(*columns).groupBy("video_key").applyInPandasWithState(
+    return events.select(*columns).dropna(subset=["pts_us", "seq"]).groupBy("video_key").applyInPandasWithState(
         sample,
         f"video_key {key_type}, stream_index int, pts_us long, seq long, frame_no long",
         "stream_index int, start long, written long",
