@@ -234,6 +234,15 @@ def tiktoken_rows(rows):
         yield (i, len(ids), hashlib.sha256(struct.pack(f"<{len(ids)}I", *ids)).hexdigest(), hashlib.sha256((text or "").encode()).hexdigest())
 
 
+@pytest.mark.parametrize("pattern", [r"\S|\s+", r"\p{L}+|\P{L}", public_tokenizers.PATTERN])
+def test_byte_bpe_splits_by_the_pattern_it_is_given(pattern):
+    ranks = byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    library = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    own = byte_bpe.ByteBPE(ranks, pattern)
+    for text in ("hello world", "it's 12 o'clock\n\n  naïve ", "Ωmega and hello"):
+        assert np.frombuffer(b"".join(own.encode(text)), "<u4").tolist() == library.encode_ordinary(text)
+
+
 def test_byte_bpe(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(byte_bpe, "LONG", 200)
     rows = write(spark, tmp_path, some_texts(6))

@@ -33,8 +33,12 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
 
 
+# Fixed value: the splitting pattern that ``latin_pattern`` spells out.
+SPELT_OUT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
+
 def latin_pattern() -> str:
-    """The splitting pattern with its classes spelt out for characters below U+0250, where ``re`` is twice as fast."""
+    """``SPELT_OUT`` with its classes spelt out for characters below U+0250, where ``re`` is twice as fast."""
     low = [chr(c) for c in range(0x250)]
     letters = "".join(c for c in low if regex.match(r"\p{L}", c))
     numbers = "".join(c for c in low if regex.match(r"\p{N}", c))
@@ -51,7 +55,8 @@ class ByteBPE:
         self.ranks = ranks
         self.bytes_of = {rank: token for token, rank in ranks.items()}
         self.split = regex.compile(pattern)
-        self.split_latin = re.compile(latin_pattern())
+        # Any other pattern splits all texts itself.
+        self.split_latin = re.compile(latin_pattern()) if pattern == SPELT_OUT else self.split
         self.beyond_latin = re.compile("[^\x00-ɏ]")
         self.length = [0] * (max(ranks.values()) + 1)
         self.shorter = [-1] * len(self.length)  # the longest entry that is a proper prefix
