@@ -1,14 +1,17 @@
 """The operators on documents against brute force, on rows with nulls, empty and long texts, ties and repeated rows."""
 
 import hashlib
+import math
 import random
 import re
 import struct
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
 import pytest
+import regex
 import tiktoken
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -113,6 +116,73 @@ def test_language_ignores_held_out_labels_and_learns_nothing_from_none(spark):
     assert {(r["lang_pred"], r["score"]) for r in language_id.identify(unlabelled).collect()} == {("und", 0.0)}
 
 
+def language_row(rows, text):
+    """Plain statement of fit and score: (best languages, score) of ``text`` after learning all (text, lang) ``rows``."""
+    def words(t):
+        return regex.findall(r"\p{L}+", t.lower())
+
+    def pieces(word, size):
+        padded = f" {word} " if size > 1 else word
+        return [word] if size == 0 else [padded[k:k + size] for k in range(len(padded) - size + 1)]
+
+    langs = sorted({lang for _, lang in rows})
+    counts = {(lang, size): Counter(g for t, of in rows if of == lang for w in words(t) for g in pieces(w, size))
+              for lang in langs for size in range(6)}
+    found = words(text)
+    if not found:
+        return ["und"], 0.0
+
+    def value(lang, size, gram):
+        n = counts[lang, size][gram]
+        return -math.log10(n / counts[lang, size].total()) if n else 7.0
+
+    means = []
+    for lang in langs:
+        total = 0.0
+        for word in found:
+            for size in (0, 5, 4, 3, 2, 1):
+                known = [g for g in pieces(word, size) if any(counts[of, size][g] for of in langs)]
+                if known:
+                    total += sum(value(lang, size, g) for g in known) / len(known)
+                    break
+            else:
+                total += 7.0
+        means.append(total / len(found))
+    best = [lang for lang, m in zip(langs, means) if m < min(means) + 1e-9]
+    return best, 1 / sum(10 ** (-(m - min(means)) * min(len(found), 30)) for m in means)
+
+
+def test_language_equals_its_plain_statement(spark):
+    rng = random.Random(5)
+    vocabulary = ["the", "of", "and", "der", "und", "mit", "le", "la", "été", "что", "漢字", "naïve", "theta", "a²b"]
+    rows = [(i, " ".join(rng.choice(vocabulary) + rng.choice(["", "", "n", "er", "xq"]) for _ in range(rng.randint(0, 9))), rng.choice("abc"))
+            for i in range(120)] + [(500, "12 !", "a"), (501, "zzz", None), (502, "unheard", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    learned = [(t, lang) for i, t, lang in rows if lang and zlib.crc32(str(i).encode()) % 3 != 1]
+    text_of = {i: t for i, t, _ in rows}
+    for r in language_id.identify(docs).collect():
+        best, score = language_row(learned, text_of[r["doc_id"]])
+        assert r["score"] == pytest.approx(score, rel=1e-6) and r["lang_pred"] in best
+
+
+def test_a_rare_language_is_learned_from_all_its_rows(spark):
+    rows = [(i, "the of and in", "en") for i in range(3000)] + [(9001 + i, "αυτό είναι", "el") for i in range(8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language_id.fit(docs, sample_docs=40, least_docs=20)
+    assert model["langs"] == ["el", "en"] and "αυτό" in model["values"][0] and "the" in model["values"][0]
+    got = language_id.predict(docs.where("lang = 'el'"), model).collect()
+    assert len(got) == 8 and {r["lang_pred"] for r in got} == {"el"}
+
+
+def test_every_language_and_gram_is_learned(spark):
+    rows = [(3 * k, "w" + "".join(chr(97 + int(c)) for c in str(k)), f"l{k}") for k in range(1200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    learned = {lang for i, _, lang in rows if zlib.crc32(str(i).encode()) % 3 != 1}
+    model = language_id.fit(docs, sample_docs=10, least_docs=1)
+    assert set(model["langs"]) == learned
+    assert all(t in model["values"][0] for _, t, lang in rows if lang in learned)
+
+
 def test_back_off_takes_the_largest_known_size():
     model = {"langs": ["a", "b"], "values": {0: {"known": np.array([1.0, 2.0])}, 5: {}, 4: {}, 3: {" ab": np.array([3.0, 4.0])},
                                              2: {"ab": np.array([9.0, 0.0])}, 1: {}}}

@@ -5,9 +5,9 @@ there; a language that lacks it gets a fixed penalty. An unseen word is scored b
 which at least one is known, by their mean; if none is, by the next smaller size. A document's language is the one with
 the smallest mean over its words, equal ones resolved by code point.
 
-The model is fitted on a bounded sample of the labelled rows: about ``sample_docs`` of them, taken by a hash of the id,
-at most ``max_features`` grams in all, the most frequent of each language and size, and the ``max_langs`` most frequent languages. Predictions read whole texts
-and nothing but the text.
+The model is fitted on a bounded sample of the labelled rows, taken by a hash of the id: of each language about an equal part of
+``sample_docs`` rows, but not fewer than ``least_docs``, and all of them if it has no more. Every language and every word and gram
+of the sampled rows is learned. Predictions read whole texts and nothing but the text.
 
 Defined results: a null text, a text without a letter, and any text when nothing was learned get ``und`` with score 0;
 equal rows get equal predictions; unlabelled rows teach nothing; a null id counts as not held out; other columns are not
@@ -19,8 +19,9 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tintflow.llm.common import bound_batches
@@ -28,6 +29,7 @@ from tintflow.llm.common import bound_batches
 SIZES = (5, 4, 3, 2, 1)  # n-grams, tried in this order
 WORD = 0  # the size that stands for whole words
 PENALTY = 7.0  # negative decimal logarithm given to a language that lacks a gram
+DRAWS = 1 << 30  # steps in which the sample's rates are given
 CERTAIN_WORDS = 30  # words beyond which more text does not make a prediction more certain
 
 ALNUM = re.compile(r"[^\W\d_]+")
@@ -69,30 +71,60 @@ def count_grams(batches):
                     "gram": pa.array(list(counts), pa.string()), "n": pa.array(list(counts.values()), pa.int64())})
 
 
+class Grams:
+    """Values of the grams of one size: a row of all languages per gram, of which only those that know the gram are kept."""
+
+    def __init__(self, langs: int, places: dict[str, int], starts: np.ndarray, lang: np.ndarray, value: np.ndarray):
+        self.langs, self.places, self.starts, self.lang, self.value = langs, places, starts, lang, value
+
+    def __contains__(self, gram: str) -> bool:
+        return gram in self.places
+
+    def __getitem__(self, gram: str) -> np.ndarray:
+        place = self.places[gram]
+        kept = slice(self.starts[place], self.starts[place + 1])
+        row = np.full(self.langs, PENALTY)
+        row[self.lang[kept]] = self.value[kept]
+        return row
+
+    def get(self, gram: str) -> np.ndarray | None:
+        return self[gram] if gram in self.places else None
+
+
 def fit(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", lang_column: str = "lang",
-        sample_docs: int = 20_000, max_features: int = 400_000, max_langs: int = 1000) -> dict:
-    """The model: languages in code point order, and per gram size a map from gram to the values of each language."""
+        sample_docs: int = 20_000, least_docs: int = 50) -> dict:
+    """The model: languages in code point order, and per gram size the values of each gram in each language.
+
+    The driver and every task hold it: one number per gram and language that knows it, of the sampled rows.
+    """
     labelled = docs.select(F.col(id_column).alias("id"), F.col(lang_column).alias("lang"), F.col(text_column).alias("text"))
     labelled = labelled.where(F.col("lang").isNotNull() & ~held_out("id"))
-    per_lang = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_langs).collect()
-    total = sum(r["count"] for r in per_lang)
-    langs = sorted(r["lang"] for r in per_lang)
+    rows_of = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().collect()}
+    langs = sorted(rows_of)
     if not langs:
         return {"langs": [], "values": {}}
-    kept = F.pmod(F.xxhash64(F.lit("language"), "id"), F.lit(1_000_000)) < int(1e6 * min(1.0, sample_docs / total)) + 1
-    sample = labelled.where(kept & F.col("text").isNotNull()).select("lang", "text")
+    spark = docs.sparkSession
+    part = max(least_docs, sample_docs // len(langs))
+    below = [(lang, -(-min(part, n) * DRAWS // n)) for lang, n in rows_of.items()]
+    # One row per language, which the model holds as well.
+    rates = F.broadcast(spark.createDataFrame(below, "lang string, below long"))
+    drawn = F.pmod(F.xxhash64(F.lit("language"), "id"), F.lit(DRAWS))
+    sample = labelled.join(rates, "lang").where((drawn < F.col("below")) & F.col("text").isNotNull()).select("lang", "text")
     counted = (sample.mapInArrow(count_grams, "lang string, size int, gram string, n long")
-               .groupBy("lang", "size", "gram").agg(F.sum("n").alias("n")))
-    most = max(1, max_features // (len(langs) * (1 + len(SIZES))))
-    group = Window.partitionBy("lang", "size")
-    top = (counted.withColumn("place", F.row_number().over(group.orderBy(F.desc("n"), "gram")))
-           .where(F.col("place") <= most).withColumn("total", F.sum("n").over(group))
-           .withColumn("value", -F.log10(F.col("n") / F.col("total"))))
-    values: dict[int, dict[str, np.ndarray]] = {size: {} for size in (WORD, *SIZES)}
-    place = {lang: i for i, lang in enumerate(langs)}
-    collected = top.select("lang", "size", "gram", "value").toPandas()  # at most max_features rows
-    for lang, size, gram, value in collected.itertuples(index=False):
-        values[size].setdefault(gram, np.full(len(langs), PENALTY))[place[lang]] = value
+               .groupBy("lang", "size", "gram").agg(F.sum("n").alias("n"))).toArrow()
+    lang = pc.index_in(counted["lang"], value_set=pa.array(langs, pa.string())).to_numpy()
+    size, n = counted["size"].to_numpy(), counted["n"].to_numpy()
+    values = {}
+    for each in (WORD, *SIZES):
+        of_size = np.flatnonzero(size == each)
+        places: dict[str, int] = {}
+        place = np.fromiter((places.setdefault(gram, len(places)) for gram in counted["gram"].take(of_size).to_pylist()),
+                            np.int64, len(of_size))
+        by_gram = np.argsort(place, kind="stable")
+        rows, n_rows = lang[of_size], n[of_size]
+        value = -np.log10(n_rows / np.bincount(rows, n_rows, len(langs))[rows])
+        starts = np.searchsorted(place[by_gram], np.arange(len(places) + 1))
+        values[each] = Grams(len(langs), places, starts, rows[by_gram].astype(np.int32), value[by_gram])
     return {"langs": langs, "values": values}
 
 
@@ -149,7 +181,7 @@ class Scorer:
 
 def predict(docs: DataFrame, model: dict, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """Per row: id, held_out, lang_pred, score (the share of the best language's odds), evidence."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # at most max_features grams
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # the grams of the sampled rows
 
     def run(batches):
         scorer = Scorer(shared.value)
