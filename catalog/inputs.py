@@ -85,10 +85,24 @@ OTHER_KIND = "CASE WHEN event_id % 4 < 2 THEN 'average' ELSE 'domiant' END"
 OTHER_SIZE = "event_id % 17 * 15 + 1"
 
 
+def own_requests(spark, sf_dir):
+    return table(spark, sf_dir, "customer").selectExpr(
+        "c_custkey as video_key", "cast(c_custkey % 300 - 10 as int) as bucket_size", f"{KIND} as kind")
+
+
+OWN_REQUESTS = ("requests AS (SELECT c_custkey AS video_key, CAST(c_custkey % 300 - 10 AS INTEGER) AS bucket_size, "
+                f"{KIND} AS kind FROM customer)")
+
+
+def customer_files(spark, sf_dir):
+    """The stored file of every customer's video."""
+    return table(spark, sf_dir, "customer").selectExpr(
+        "c_custkey as video_key", "c_name as name", "c_custkey * 1000 as size", "timestamp_seconds(c_custkey) as recorded_at")
+
+
 def requests(spark, sf_dir):
     """Customers ask for a video each, and every event for its user's: 17 sizes and both kinds of one video."""
-    own = table(spark, sf_dir, "customer").selectExpr(
-        "c_custkey as video_key", "cast(c_custkey % 300 - 10 as int) as bucket_size", f"{KIND} as kind")
+    own = own_requests(spark, sf_dir)
     again = table(spark, sf_dir, "events").selectExpr(
         "user_id as video_key", f"cast({OTHER_SIZE} as int) as bucket_size", f"{OTHER_KIND} as kind")
     return own.unionByName(again)

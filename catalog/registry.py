@@ -9,6 +9,7 @@ from tintflow.operators import color, filters, history, lookup, ordering, packin
 from tintflow.plans.analyze import analyze
 from tintflow.plans.colors import frame_colors, image_frame_colors
 from tintflow.plans.ingest import ingest
+from tintflow.plans.store import commit, load
 from tintflow.plans.strips import prefix_scan, video_strip
 from tintflow.schemas import VIDEO_METADATA
 from tintflow.session import new_folder
@@ -660,6 +661,48 @@ def analyze_(spark, sf_dir):
     return done.strips
 
 
+def _run_sql(name: str, events: str, interval: int):
+    """Sampled pictures and colours of a run over all accepted requests."""
+    return (f"{i.sampled_sql(events, f'{name}_sampled', interval)}, "
+            f"{name}_frames AS (SELECT p.video_key, s.frame_no + 1 AS frame_index, r, g, b FROM event_pixels p "
+            f"JOIN {name}_sampled s ON p.video_key = s.video_key AND p.seq = s.seq), "
+            + i.asked_colors_sql(f"{name}_frames", "accepted", name))
+
+
+def _drawn_sql(run: int, action: str, colors: str):
+    """One row per request: what it needed and a digest of its strip."""
+    name = f"run{run}"
+    return (f"{i.strip_sql(colors, f'{name}_strip')}, {i.scaled_sql(f'{name}_strip', f'{name}_scaled')}, "
+            f"{name} AS (SELECT CAST({run} AS INTEGER) AS run, a.*, {action} AS action, s.width, s.height, s.checksum FROM accepted a "
+            f"LEFT JOIN (SELECT {i.STRIP_KEYS}, max(width) AS width, max(height) AS height, "
+            f"CAST(sum((x + 1) * (CAST(rgb AS BIGINT) + 1)) AS BIGINT) AS checksum FROM {name}_scaled GROUP BY ALL) s "
+            "ON a.video_key = s.video_key AND a.bucket_size = s.bucket_size AND a.kind = s.kind)")
+
+
+@query(with_(i.OWN_REQUESTS, i.ACCEPTED, i.FRAME_EVENTS, i.EVENT_PIXELS,
+             "open_events AS (SELECT * FROM frame_events WHERE video_key IN (SELECT video_key FROM accepted) "
+             "QUALIFY stream_index = first_value(stream_index) OVER (PARTITION BY video_key ORDER BY seq))",
+             _run_sql("six", "open_events", i.HOURS_6), _run_sql("twelve", "open_events", 2 * i.HOURS_6),
+             f"kept_colors AS (SELECT * FROM twelve UNION ALL SELECT * FROM six WHERE ({i.STRIP_KEYS}) NOT IN "
+             f"(SELECT ({i.STRIP_KEYS}) FROM twelve))",
+             _drawn_sql(1, "'ingest'", "six"), _drawn_sql(2, "'analyze'", "twelve"),
+             _drawn_sql(3, "CASE WHEN s.width IS NULL THEN 'analyze' ELSE 'show' END", "kept_colors"))
+       + "SELECT * FROM run1 UNION ALL SELECT * FROM run2 UNION ALL SELECT * FROM run3")
+def analyze_again(spark, sf_dir):
+    """Three runs on one store: all videos are new; all are drawn again from half as many pictures; all is shown as stored."""
+    folder, drawn = new_folder(spark, "store"), []
+    asked, files_ = i.own_requests(spark, sf_dir), i.customer_files(spark, sf_dir)
+    for run, interval, force in ((1, i.HOURS_6, False), (2, 2 * i.HOURS_6, True), (3, i.HOURS_6, False)):
+        done = analyze(asked, events=i.frame_events(spark, sf_dir), pixels=i.event_pixels(spark, sf_dir), arrivals=files_,
+                       interval_us=interval, force=force, **load(spark, folder, key_type="long"))
+        commit(done, folder)
+        strips = done.strips.groupBy(*lookup.ASKED).agg(
+            F.max("width").alias("width"), F.max("height").alias("height"),
+            F.sum((F.col("x") + 1) * (F.col("rgb").cast("long") + 1)).alias("checksum"))
+        drawn.append(done.routed.join(strips, lookup.ASKED, "left").withColumn("run", F.lit(run)))
+    return drawn[0].unionByName(drawn[1]).unionByName(drawn[2])
+
+
 # Functions whose plain name belongs to the operator they call.
 for _registered in (QUERIES, ORACLES):
     for _name in [n for n in _registered if n.endswith("_")]:

@@ -2,6 +2,8 @@ import pytest
 
 from conftest import rows
 from tintflow.operators.history import read_frame_colors, read_video_metadata
+from tintflow.plans import analyze as analyze_plan
+from tintflow.plans import store
 from tintflow.plans.analyze import analyze, save
 from tintflow.schemas import VIDEO_METADATA
 
@@ -100,3 +102,42 @@ def test_second_run_shows_all_and_a_shorter_rerun_leaves_no_stale_frame(spark, t
     save(shorter.fresh, colors, blocks)
     assert rows(again().strips) == rows(shorter.strips) != rows(first.strips)
     assert rows(read_video_metadata(spark, metadata), "video_key") == sorted(keys)
+
+
+def test_a_run_that_ends_before_its_record_is_not_seen(spark, tables, tmp_path, monkeypatch):
+    folder = str(tmp_path / "store")
+    given = {k: tables[k] for k in ("requests", "events", "pixels")}
+    arrivals = spark.createDataFrame([(k, k, 10, 1) for k in ("seen", "known", "new")], "video_key string, name string, size long, at long").selectExpr(
+        "video_key", "name", "size", "timestamp_seconds(at) as recorded_at")
+    empty = store.load(spark, folder)
+    assert [t.count() for t in empty.values()] == [0, 0, 0]
+    fewer = {**given, "events": tables["events"].filter("seq < 4")}
+
+    def stopped(*_, **__):
+        raise InterruptedError
+
+    # The very first run ends between its colours and its records: videos are known, nothing counts as analysed.
+    first = analyze(**given, **empty, arrivals=arrivals)
+    with monkeypatch.context() as patch:
+        patch.setattr(analyze_plan, "append_history", stopped)
+        with pytest.raises(InterruptedError):
+            store.commit(first, folder)
+    half = store.load(spark, folder)
+    assert half["stored"].count() == 0 and half["blocks"].count() == 0
+    again = analyze(**given, **half, arrivals=arrivals)
+    assert rows(again.routed, "action") == [("analyze",)] * 3 and again.ingested.count() == 0
+    store.commit(again, folder)
+
+    # A later one ends there too: the run before it is still shown, whole.
+    shorter = analyze(**fewer, **store.load(spark, folder), force=True)
+    with monkeypatch.context() as patch:
+        patch.setattr(analyze_plan, "append_history", stopped)
+        with pytest.raises(InterruptedError):
+            store.commit(shorter, folder)
+    shown = analyze(**given, **store.load(spark, folder))
+    assert rows(shown.routed, "action") == [("show",)] * 3
+    assert rows(shown.strips) == rows(again.strips) != rows(shorter.strips)
+
+    # Stored whole, it replaces them.
+    store.commit(shorter, folder)
+    assert rows(analyze(**given, **store.load(spark, folder)).strips) == rows(shorter.strips)

@@ -78,8 +78,20 @@ def latest_runs(colors: DataFrame, *, written=WRITTEN) -> DataFrame:
     return kept.filter(F.struct(*written) == F.col("_newest")).drop("_newest")
 
 
-def read_frame_colors(spark: SparkSession, path: str) -> DataFrame:
-    return latest_record(latest_runs(spark.read.parquet(path)), FRAME_KEY)
+def recorded_runs(colors: DataFrame, runs: DataFrame, *, written=WRITTEN) -> DataFrame:
+    """The frames of the newest run per (video, bucket size, kind) that ``runs``, the block records, has a record of.
+
+    A record is written after the last frame of its run, so a run that ended half-way is not seen. The newest stamps come from the
+    records, one row per run, and the frames are read once.
+    """
+    newest = latest_record(runs.select(*RUN_KEY, *written), RUN_KEY, written=written)
+    return join_on_group(colors, newest, [*RUN_KEY, *written], ["frame_index"], "left_semi")
+
+
+def read_frame_colors(spark: SparkSession, path: str, runs: DataFrame | None = None) -> DataFrame:
+    """The newest colours of every frame; with ``runs``, of the runs recorded there only."""
+    colors = spark.read.parquet(path)
+    return latest_record(latest_runs(colors) if runs is None else recorded_runs(colors, runs), FRAME_KEY)
 
 
 def merge_frame_colors(*writes: DataFrame) -> DataFrame:

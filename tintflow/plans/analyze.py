@@ -1,5 +1,6 @@
 """From requests to strips."""
 
+import uuid
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame
@@ -69,11 +70,13 @@ def save(fresh: DataFrame, colors_path: str, blocks_path: str, *, ingested: Data
          metadata_path: str | None = None) -> None:
     """Store new metadata and colours, and only then that their bucket sizes and kinds are analysed.
 
-    All colours of a run carry one stamp, by which reading tells the newest run from those before it.
+    All colours of a run carry one stamp, which no other run has and by which reading tells the newest run from those before it. The block
+    records carry it too: a run that ends before they are written leaves colours that ``recorded_runs`` does not see.
     """
     if ingested is not None:
         upsert_video_metadata(ingested, metadata_path)
     now = fresh.sparkSession.sql("select current_timestamp() as t").first()["t"]
-    stamp = [F.lit(now).alias("recorded_at"), F.lit(0).cast("long").alias("seq")]
+    run = uuid.uuid4().int >> 65
+    stamp = [F.lit(now).alias("recorded_at"), F.lit(run).cast("long").alias("seq")]
     upsert_frame_colors(fresh.select("*", *stamp), colors_path)
     append_history(fresh.select(*ASKED).distinct().select("*", *stamp), blocks_path)
