@@ -3,7 +3,9 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tintflow.functions.colour import pack_rgb
 from tintflow.operators.color import average_color
+from tintflow.operators.strip import gradient
 from tintflow.session import apply_defaults
 
 HOURS_6 = 6 * 3600 * 1_000_000
@@ -266,3 +268,31 @@ def cached_colors(spark, sf_dir):
 
 
 CACHED_COLORS = f"cached_colors AS (SELECT {', '.join(CACHED_EXPR)} FROM events)"
+
+
+PICTURE_RGB = ["cast((r + p_partkey * 7) % 256 as int) as r", "cast((g + p_partkey * 13) % 256 as int) as g",
+               "cast(p_partkey % 256 as int) as b"]
+
+
+def pictures(spark, sf_dir):
+    """A picture per part, all of whose pixels differ, as (name, x, y, rgb); parts of one size 1 a side are no usable picture."""
+    rasters = table(spark, sf_dir, "part").selectExpr(
+        "p_partkey", "concat(p_partkey, '.png') as name", "p_size % 10 + 1 as width", "p_size % 7 + 1 as height")
+    return (gradient(rasters).drop("b", "rgb").selectExpr("name", "x", "y", *PICTURE_RGB)
+            .select("name", "x", "y", pack_rgb().alias("rgb")))
+
+
+def picture_requests(spark, sf_dir):
+    return table(spark, sf_dir, "part").selectExpr(
+        "p_brand as video_key", "element_at(array(1, 16, 40, 256), cast(p_partkey % 4 + 1 as int)) as bucket_size",
+        "if(p_size % 2 = 0, 'average', 'domiant') as kind").distinct()
+
+
+PICTURES = ("rasters AS (SELECT p_partkey, p_brand AS video_key, p_size % 10 + 1 AS width, p_size % 7 + 1 AS height, "
+            "row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) AS frame_index FROM part), "
+            "lines AS (SELECT *, unnest(range(height)) AS y FROM rasters WHERE width > 1 AND height > 1), "
+            "places AS (SELECT *, unnest(range(width)) AS x FROM lines), "
+            "ramps AS (SELECT *, y * 255 // (height - 1) AS r, x * 255 // (width - 1) AS g FROM places), "
+            f"pictures AS (SELECT video_key, frame_index, {', '.join(PICTURE_RGB)} FROM ramps), "
+            "picture_asked AS (SELECT DISTINCT p_brand AS video_key, CAST(list_extract([1, 16, 40, 256], p_partkey % 4 + 1) AS INTEGER) "
+            "AS bucket_size, CASE WHEN p_size % 2 = 0 THEN 'average' ELSE 'dominant' END AS kind FROM part WHERE p_partkey % 4 < 3)")

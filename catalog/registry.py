@@ -7,7 +7,7 @@ from tintflow.functions import colour, naming
 from tintflow.functions.requests import kind_choice, validate_requests
 from tintflow.operators import color, filters, history, lookup, ordering, packing, sampling, strip
 from tintflow.plans.analyze import analyze
-from tintflow.plans.colors import frame_colors, image_frame_colors
+from tintflow.plans.colors import frame_colors, frame_colors_from_files, image_frame_colors
 from tintflow.plans.ingest import ingest
 from tintflow.plans.store import commit, load
 from tintflow.plans.strips import prefix_scan, video_strip
@@ -241,6 +241,20 @@ def image_colors(spark, sf_dir):
     return image_frame_colors(frames, pictures.drop("video_key"), i.color_requests(spark, sf_dir, i.SUPPLIER))
 
 
+@query(with_(i.PICTURES, i.asked_colors_sql("pictures", "picture_asked", "found")) + "SELECT * FROM found")
+def frame_colors_from_files_(spark, sf_dir):
+    """Colours from stored manifests and images: the pictures of a brand's parts, in the order of their numbers, are its video."""
+    folder = new_folder(spark, "clips")
+    drawn = images.write_png(images.picture_png(i.pictures(spark, sf_dir)), f"{folder}/Frames")
+    drawn.write.format("noop").mode("overwrite").save()
+    parts = i.table(spark, sf_dir, "part").select(F.col("p_brand").alias("video_key"), "p_partkey")
+    manifests.write_manifests(
+        ordering.number_rows(parts, ["video_key"], ["p_partkey"], number="frame_no").select(
+            "video_key", F.col("frame_no") - 1, F.format_string(f"{folder}/Frames/%d.png", "p_partkey")).toDF("video_key", "frame_no", "path"),
+        f"{folder}/manifests")
+    return frame_colors_from_files(spark, f"{folder}/manifests", f"{folder}/Frames", i.picture_requests(spark, sf_dir), per_directory=True)
+
+
 # Scalar functions --------------------------------------------------------------------------------------------------
 
 @query(with_(i.PX) + "SELECT video_key, frame_index, r - r % 40 AS r40, (g // 7) * 7 AS g7, (b // 1) * 1 AS b1 FROM px")
