@@ -1,6 +1,7 @@
 import pytest
 
-from conftest import rows
+from conftest import plan, rows
+from tintflow.operators import lookup
 from tintflow.operators.history import read_frame_colors, read_video_metadata
 from tintflow.plans import analyze as analyze_plan
 from tintflow.plans import store
@@ -141,3 +142,25 @@ def test_a_run_that_ends_before_its_record_is_not_seen(spark, tables, tmp_path,
     # Stored whole, it replaces them.
     store.commit(shorter, folder)
     assert rows(analyze(**given, **store.load(spark, folder)).strips) == rows(shorter.strips)
+
+
+@pytest.mark.parametrize("kind", ["long", "int", "string"])
+def test_key_filter_drops_nothing_that_is_wanted(spark, kind):
+    wanted = spark.range(0, 3000, 7).selectExpr(f"cast(id as {kind}) as video_key").unionByName(
+        spark.sql(f"select cast(null as {kind}) as video_key"))
+    history = spark.range(30000).selectExpr(f"cast(id % 10000 as {kind}) as video_key", "id as _word", "id as seq", "id as bits")
+    found = lookup.may_be_wanted(history, wanted, lookup.key_bits(wanted))
+    assert found.columns == history.columns
+    kept = {r[0] for r in rows(found, "seq")}
+    right = {n for n in range(30000) if n % 10000 % 7 == 0 and n % 10000 < 3000}
+    assert right <= kept and len(kept - right) < 30
+    shown = plan(found)
+    assert "BroadcastHashJoin" in shown and "SortMergeJoin" not in shown
+
+
+def test_key_filter_of_unlike_keys_and_of_no_keys(spark):
+    history = spark.createDataFrame([("5",), ("05",), (None,)], "video_key string")
+    numbers = spark.createDataFrame([(5,)], "video_key long")
+    assert lookup.may_be_wanted(history, numbers, lookup.key_bits(numbers)).count() == 3
+    none = history.filter("false")
+    assert lookup.may_be_wanted(history, none, lookup.key_bits(none)).count() == 0

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tintflow.functions.requests import accepted
 from tintflow.operators.color import attach_frames, requested_colors
 from tintflow.operators.history import KEPT_VERSIONS, append_history, last_versions, upsert_frame_colors, upsert_video_metadata
-from tintflow.operators.lookup import ASKED, route_requests
+from tintflow.operators.lookup import ASKED, key_bits, may_be_wanted, route_requests
 from tintflow.operators.sampling import DEFAULT_INTERVAL_US, first_stream, sample_frames
 from tintflow.plans.ingest import ingest
 from tintflow.plans.strips import video_strip
@@ -39,10 +39,14 @@ def analyze(requests: DataFrame, videos: DataFrame, blocks: DataFrame, events: D
     block records count; an older one is computed again. Routes, ordered events and new colours are staged, so that the
     colours are computed once for the strips and for ``save``.
     """
+    asked = staged(accepted(requests))
+    # Records and colours of videos nobody asks for are left out where they are scanned; all rows of a video share its bit.
+    bits = key_bits(asked)
+    blocks, stored = (may_be_wanted(history, asked, bits) for history in (blocks, stored))
     kept = last_versions(blocks, ["video_key"], kept=kept_versions)
     with_colors = stored.groupBy(*ASKED).agg(F.count(F.lit(1)).alias("_frames")).drop("_frames")
     routed = staged(route_requests(
-        accepted(requests), videos, kept.join(with_colors, ASKED, "left_semi"), force=force))
+        asked, videos, kept.join(with_colors, ASKED, "left_semi"), force=force))
     work = routed.filter("action != 'show'").select(*ASKED)
     shown = routed.filter("action = 'show'").select(*ASKED)
     ingested = None
