@@ -28,27 +28,27 @@ def sample_frames_stream(events: DataFrame, *, interval_us: int = DEFAULT_INTERV
         if state.hasTimedOut:
             state.remove()
             return
-        rows = pd.concat(list(batches), ignore_index=True)
+        # Arrays: a video has few events in a micro-batch, and a call for each is most of the work.
+        parts = [[part[c].to_numpy() for c in columns] for part in batches]
+        video, streams, times, seq = parts[0] if len(parts) == 1 else map(np.concatenate, zip(*parts))
         if state.exists:
             stream, start, written = state.get
         else:
-            first = rows["seq"].idxmin()
-            stream, start, written = int(rows["stream_index"][first]), None, 0
+            stream, start, written = int(streams[np.argmin(seq)]), None, 0
+        at = np.lexsort((seq, times))
         if first_stream_only:
-            rows = rows[rows["stream_index"] == stream]
-        rows = rows.sort_values(["pts_us", "seq"])
+            at = at[streams[at] == stream]
         if start is None:
-            start = int(rows["pts_us"].iloc[0])
-        reached = (rows["pts_us"].to_numpy() - start) // interval_us + 1
-        rows, reached = rows[reached > written], reached[reached > written]
-        if len(rows):
-            slack = reached - np.arange(1, len(rows) + 1)
+            start = int(times[at[0]])
+        reached = (times[at] - start) // interval_us + 1
+        at, reached = at[reached > written], reached[reached > written]
+        if len(at):
+            slack = reached - np.arange(1, len(at) + 1)
             floor = np.minimum.accumulate(np.concatenate([[written], slack]))
-            keep = slack >= floor[:-1]
-            out = rows.loc[keep, columns].copy()
-            out["frame_no"] = np.arange(written, written + keep.sum())
-            written += int(keep.sum())
-            yield out
+            at = at[slack >= floor[:-1]]
+            yield pd.DataFrame({"video_key": video[at], "stream_index": streams[at], "pts_us": times[at], "seq": seq[at],
+                                "frame_no": np.arange(written, written + len(at))})
+            written += len(at)
         state.update((stream, start, written))
         if forget_after_ms is not None:
             state.setTimeoutDuration(forget_after_ms)
