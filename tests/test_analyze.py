@@ -1,7 +1,7 @@
 import pytest
 
 from conftest import plan, rows
-from tintflow.operators import lookup
+from tintflow.operators import color, lookup
 from tintflow.operators.history import read_frame_colors, read_video_metadata
 from tintflow.plans import analyze as analyze_plan
 from tintflow.plans import store
@@ -164,3 +164,12 @@ def test_key_filter_of_unlike_keys_and_of_no_keys(spark):
     assert lookup.may_be_wanted(history, numbers, lookup.key_bits(numbers)).count() == 3
     none = history.filter("false")
     assert lookup.may_be_wanted(history, none, lookup.key_bits(none)).count() == 0
+
+
+def test_pixels_are_weighed_once_where_many_pictures_become_frames(spark, monkeypatch):
+    pixels = spark.range(60).selectExpr("id % 6 as video_key", "id % 12 as seq", "cast(id % 2 as int) as r", "1 as g", "2 as b")
+    frames = spark.range(12).selectExpr("id % 6 as video_key", "id as seq", "id + 1 as frame_index")
+    monkeypatch.setattr(color, "is_small", lambda df: False)
+    found = color.attach_frames(pixels, frames)
+    assert "Aggregate" not in plan(found)  # the counts are read, not made again
+    assert found.groupBy("frame_index").sum("weight").select("sum(weight)").distinct().collect() == [(5,)]

@@ -77,6 +77,8 @@ VALUES = (1 << SLOT_SHIFT) - 1
 
 # A video with more sizes than this that no other asked size divides gets all its sizes from its colours.
 FIRST_SIZES = 4
+# Counted levels of one task: each meets all its video's sizes there, and their buckets are to fit its memory.
+LEVELS_A_TASK = 200_000
 # A size is at least twice its divisor, so chains up to 255 have fewer steps.
 CHAIN = 8
 
@@ -246,7 +248,9 @@ def requested_colors(pixels: DataFrame, requests: DataFrame, *, rounding: str =
     steps, added, firsts = per_video.agg(F.max("steps"), F.max("added"), F.max("firsts")).first()
     counted = staged(count_observations(pixels, wanted, sizes, small, firsts or 0))
 
-    levels = _with_pixels(counted.filter(F.col("slot") != JOINT).drop("bucket_size"), *FRAME)
+    levels = counted.filter(F.col("slot") != JOINT).drop("bucket_size")
+    parts = -(-levels.count() // LEVELS_A_TASK)
+    levels = _with_pixels(levels.repartition(parts, *FRAME) if parts > 1 else levels, *FRAME)
     averaged = wanted.filter(F.col("kind") == "average").select("video_key", "bucket_size")
     buckets = (join_on_group(levels, averaged, "video_key", ["frame_index", "slot", "value"], small=small)
                .groupBy(*FRAME, "bucket_size", "pixels", "slot", bucketize("value", "bucket_size").alias("value"))
@@ -276,4 +280,6 @@ def attach_frames(pixels: DataFrame, frames: DataFrame) -> DataFrame:
     places = staged(frames.select(*event, "frame_index"))
     if is_small(places):
         return pixels.join(F.broadcast(places), event).drop("seq")
-    return join_on_group(weigh(pixels, event), places, event, ["r", "g", "b"], salts=8, small=False).drop("seq")
+    # Stored, because the join reads its large side three times, and the pixels may themselves come from a join.
+    weighed = staged(weigh(pixels, event))
+    return join_on_group(weighed, places, event, ["r", "g", "b"], salts=8, small=False).drop("seq")

@@ -3,9 +3,9 @@
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tintflow.operators.ordering import CHUNK, HOT, across_chunks, cut_hot_groups, earlier_chunks, read_again, with_carried
+from tintflow.operators.ordering import CHUNK, HOT, across_chunks, cut_hot_groups, earlier_chunks, with_carried
 from tintflow.schemas import require
-from tintflow.session import join_on_group, staged
+from tintflow.session import join_on_group, read_again, staged
 
 # Time between two sampled pictures: 5.5 seconds in microseconds (fixed value).
 DEFAULT_INTERVAL_US = 5_500_000
@@ -13,6 +13,7 @@ DEFAULT_INTERVAL_US = 5_500_000
 
 def first_stream(events: DataFrame) -> DataFrame:
     """Keep the events of the stream that each video's first event (by arrival) belongs to."""
+    events = read_again(events)
     chosen = events.groupBy("video_key").agg(F.min_by("stream_index", "seq").alias("_stream"))
     return (join_on_group(events, chosen, "video_key", ["seq"])
             .filter("stream_index = _stream").drop("_stream"))
