@@ -1,7 +1,9 @@
 """The operators on documents against brute force, on rows with nulls, empty and long texts, ties and repeated rows."""
 
+import cProfile
 import hashlib
 import math
+import pickle
 import random
 import re
 import struct
@@ -190,6 +192,56 @@ def test_back_off_takes_the_largest_known_size():
     assert [list(scorer.score(w)[0]) for w in ("known", "abc", "xab", "zz")] == [[1, 2], [3, 4], [9, 0], [7, 7]]
 
 
+def test_unseen_words_are_scored_together_and_alike(monkeypatch):
+    rng = random.Random(8)
+    values = {size: {} for size in range(6)}
+    for word in ["abcab", "été", "x", "bca", "ab", "ca", "漢字"]:
+        for size in range(6):
+            for gram in [word] if size == 0 else language_id.grams(word, size):
+                values[size][gram] = np.array([rng.random(), rng.choice([language_id.PENALTY, rng.random()])])
+    model = {"langs": ["a", "b"], "values": values}
+    texts = [" ".join("".join(rng.choice("abcxé漢9²A") for _ in range(rng.randint(1, 9))) for _ in range(rng.randint(0, 40)))
+             for _ in range(300)] + [None, "", "1 ²!", "zzz", "KÅ", "ab" * 5000]
+    alone = [language_id.Scorer(model).predict(t) for t in texts]
+    for t, (lang, score, evidence) in zip(texts, alone):
+        found = Counter(regex.findall(r"\p{L}+", (t or "").lower()))
+        total, known = np.zeros(2), 0
+        for word, n in found.items():
+            sizes = [[values[size][g] for g in ([word] if size == 0 else language_id.grams(word, size)) if g in values[size]]
+                     for size in (0, 5, 4, 3, 2, 1)]
+            rows = next(filter(None, sizes), [])
+            total += n * (np.mean(rows, axis=0) if rows else language_id.PENALTY)
+            known += n * bool(rows)
+        means = total / max(1, found.total())
+        assert evidence == known and (lang == "und" if not found else lang == "ab"[int(np.argmin(means))])
+        assert score == pytest.approx(0 if not found else 1 / sum(10 ** (-(means - means.min()) * min(found.total(), 30))))
+    assert list(language_id.Scorer(model).predict_all(iter(texts))) == alone
+    monkeypatch.setattr(language_id.Scorer, "ROWS", 50)
+    monkeypatch.setattr(language_id.Scorer, "CELLS", 60)
+    assert [r[::2] for r in language_id.Scorer(model).predict_all(texts)] == [r[::2] for r in alone]
+
+
+def test_language_costs_few_calls_a_word(spark):
+    names = ["".join(chr(97 + int(c)) for c in str(10_000 + 7 * k)) for k in range(4000)]
+    docs = spark.createDataFrame([(3 * k, w, "ab"[k % 2]) for k, w in enumerate(names[:2000])], "doc_id long, text string, lang string")
+    model = language_id.fit(docs)
+    scorer, profile = language_id.Scorer(model), cProfile.Profile()
+    profile.runcall(lambda: [scorer.predict(" ".join(names[k:k + 500])) for k in range(0, 4000, 500)])
+    assert sum(call.callcount for call in profile.getstats()) < 10 * len(names)
+
+
+def test_the_driver_makes_no_dictionary_of_grams(spark):
+    docs = spark.createDataFrame([(i, "the of and", "en") for i in range(30)], "doc_id long, text string, lang string")
+    model = language_id.fit(docs)
+
+    def dictionaries(values):
+        return [v for of in values.values() for v in vars(of).values() if isinstance(v, dict)]
+
+    assert not dictionaries(model["values"])
+    assert "the" in model["values"][0] and "zzz" not in model["values"][0] and dictionaries(model["values"])
+    assert not dictionaries(pickle.loads(pickle.dumps(model))["values"])
+
+
 # Licences
 
 LICENCE_WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")

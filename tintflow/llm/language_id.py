@@ -16,6 +16,9 @@ read. ``evidence`` counts the words of which at least one gram is known.
 
 import re
 from collections import Counter
+from collections.abc import Iterable, Iterator
+from functools import cached_property
+from itertools import chain, compress, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -34,11 +37,15 @@ CERTAIN_WORDS = 30  # words beyond which more text does not make a prediction mo
 
 ALNUM = re.compile(r"[^\W\d_]+")
 LETTERS = regex.compile(r"\p{L}+")
+ASCII_LETTERS = bytes(c if chr(c).isascii() and chr(c).isalpha() else ord(" ") for c in range(256))
 
 
 def words(text: str) -> Counter:
     """Lower-cased runs of letters with their counts."""
-    found = Counter(ALNUM.findall(text.lower()))
+    text = text.lower()
+    if text.isascii():
+        return Counter(text.encode().translate(ASCII_LETTERS).decode().split())
+    found = Counter(ALNUM.findall(text))
     for other in [w for w in found if not w.isalpha()]:
         n = found.pop(other)
         for run in LETTERS.findall(other):
@@ -72,23 +79,40 @@ def count_grams(batches):
 
 
 class Grams:
-    """Values of the grams of one size: a row of all languages per gram, of which only those that know the gram are kept."""
+    """Values of the grams of one size: a row of all languages per gram, of which only those that know the gram are kept.
 
-    def __init__(self, langs: int, places: dict[str, int], starts: np.ndarray, lang: np.ndarray, value: np.ndarray):
-        self.langs, self.places, self.starts, self.lang, self.value = langs, places, starts, lang, value
+    The grams stay an Arrow array until one is looked up, which the driver never does.
+    """
+
+    def __init__(self, langs: int, grams: pa.Array, starts: np.ndarray, lang: np.ndarray, value: np.ndarray):
+        self.langs, self.grams, self.starts, self.lang, self.value = langs, grams, starts, lang, value
+
+    @classmethod
+    def of(cls, langs: int, rows: dict[str, np.ndarray]) -> "Grams":
+        """From whole rows."""
+        return cls(langs, pa.array(rows, pa.string()), langs * np.arange(len(rows) + 1),
+                   np.tile(np.arange(langs, dtype=np.int32), len(rows)), np.concatenate([np.empty(0), *rows.values()]))
+
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k != "places"}
+
+    @cached_property
+    def places(self) -> dict[str, int]:
+        return {gram: place for place, gram in enumerate(self.grams.to_pylist())}
 
     def __contains__(self, gram: str) -> bool:
         return gram in self.places
 
-    def __getitem__(self, gram: str) -> np.ndarray:
-        place = self.places[gram]
-        kept = slice(self.starts[place], self.starts[place + 1])
-        row = np.full(self.langs, PENALTY)
-        row[self.lang[kept]] = self.value[kept]
-        return row
+    def find(self, grams: list[str]) -> np.ndarray:
+        """Their places, -1 where unknown."""
+        return np.fromiter(map(self.places.get, grams, repeat(-1)), np.int64, len(grams))
 
-    def get(self, gram: str) -> np.ndarray | None:
-        return self[gram] if gram in self.places else None
+    def rows(self, places: np.ndarray) -> np.ndarray:
+        first, n = self.starts[places], self.starts[places + 1] - self.starts[places]
+        kept = np.repeat(first - np.cumsum(n) + n, n) + np.arange(n.sum())
+        rows = np.full((len(places), self.langs), PENALTY)
+        rows[np.repeat(np.arange(len(places)), n), self.lang[kept]] = self.value[kept]
+        return rows
 
 
 def fit(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", lang_column: str = "lang",
@@ -117,67 +141,113 @@ def fit(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", l
     values = {}
     for each in (WORD, *SIZES):
         of_size = np.flatnonzero(size == each)
-        places: dict[str, int] = {}
-        place = np.fromiter((places.setdefault(gram, len(places)) for gram in counted["gram"].take(of_size).to_pylist()),
-                            np.int64, len(of_size))
+        coded = counted["gram"].take(of_size).combine_chunks().dictionary_encode()
+        place, grams_of_size = coded.indices.to_numpy(), coded.dictionary
         by_gram = np.argsort(place, kind="stable")
         rows, n_rows = lang[of_size], n[of_size]
         value = -np.log10(n_rows / np.bincount(rows, n_rows, len(langs))[rows])
-        starts = np.searchsorted(place[by_gram], np.arange(len(places) + 1))
-        values[each] = Grams(len(langs), places, starts, rows[by_gram].astype(np.int32), value[by_gram])
+        starts = np.searchsorted(place[by_gram], np.arange(len(grams_of_size) + 1))
+        values[each] = Grams(len(langs), grams_of_size, starts, rows[by_gram].astype(np.int32), value[by_gram])
     return {"langs": langs, "values": values}
 
 
 class Scorer:
-    """Scores of distinct words, remembered; nothing depends on what is remembered."""
+    """Scores of words: learned ones by their place in the model, others by their grams, which are remembered.
+
+    Nothing depends on what is remembered, nor on which words are scored together.
+    """
 
-    ROWS = 1 << 16
+    ROWS = 1 << 16  # unseen words beyond which all are forgotten; a quarter of it is scored together
+    CELLS = 1 << 23  # the same, in words times languages
 
     def __init__(self, model: dict):
-        self.langs, self.values = model["langs"], model["values"]
+        self.langs = model["langs"]
+        self.values = {size: Grams.of(len(self.langs), of) if isinstance(of, dict) else of for size, of in model["values"].items()}
+        self.most = min(self.ROWS, self.CELLS // (len(self.langs) + 1))
         self.forget()
 
     def forget(self):
         self.row_of: dict[str, int] = {}
-        self.rows = np.empty((1024, len(self.langs) + 1))  # the last column: whether any gram is known
-        self.used = 0
-
-    def row(self, word: str) -> int:
-        known = self.row_of.get(word)
-        if known is None:
-            known, self.used = self.used, self.used + 1
-            if known == len(self.rows):
-                self.rows = np.concatenate([self.rows, np.empty_like(self.rows)])
-            self.rows[known, :-1], self.rows[known, -1] = self.score(word)
-            self.row_of[word] = known
-        return known
-
-    def score(self, word: str) -> tuple[np.ndarray, bool]:
-        whole = self.values[WORD].get(word)
-        if whole is not None:
-            return whole, True
+        self.rows = np.empty((1024, len(self.langs) + 1))
+
+    def rows_of(self, found: list[str]) -> np.ndarray:
+        """A row per word; its last column tells whether any gram is known."""
+        place = self.values[WORD].find(found)
+        seen = place >= 0
+        rows = np.ones((len(found), len(self.langs) + 1))
+        rows[seen, :-1] = self.values[WORD].rows(place[seen])
+        unseen = list(compress(found, ~seen))
+        self.remember(unseen)
+        rows[~seen] = self.rows[np.fromiter(map(self.row_of.__getitem__, unseen), np.int64, len(unseen))]
+        return rows
+
+    def remember(self, unseen: list[str]):
+        if len(self.row_of) > self.most:
+            self.forget()
+        new = [w for w in dict.fromkeys(unseen) if w not in self.row_of]
+        used, total = len(self.row_of), len(self.row_of) + len(new)
+        if total > len(self.rows):
+            self.rows = np.concatenate([self.rows[:used], np.empty((max(used, len(new)), self.rows.shape[1]))])
+        self.rows[used:total, :-1], self.rows[used:total, -1] = self.back_off(new)
+        self.row_of.update(zip(new, range(used, total)))
+
+    def back_off(self, unseen: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """A row per word, and whether any gram of it is known."""
+        rows, known = np.full((len(unseen), len(self.langs)), PENALTY), np.zeros(len(unseen), bool)
         for size in SIZES:
-            model = self.values[size]
-            found = [model[g] for g in grams(word, size) if g in model]
-            if found:
-                return np.mean(found, axis=0), True
-        return np.full(len(self.langs), PENALTY), False
+            left = np.flatnonzero(~known)
+            pieces = [grams(unseen[i], size) for i in left]
+            place = self.values[size].find(list(chain.from_iterable(pieces)))
+            word = np.repeat(np.arange(len(left)), list(map(len, pieces)))[place >= 0]
+            n = np.bincount(word, minlength=len(left))
+            found = n > 0
+            rows[left[found]] = self.sums(size, word, place[place >= 0], len(left))[found] / n[found, None]
+            known[left[found]] = True
+        return rows, known
+
+    def sums(self, size: int, word: np.ndarray, place: np.ndarray, n_words: int) -> np.ndarray:
+        """Per word the sum of its grams' rows, in steps that bound memory whatever the words' lengths."""
+        langs = len(self.langs)
+        total, step = np.zeros(n_words * langs), max(1, self.CELLS // 4 // langs)
+        for at in range(0, len(word), step):
+            cell = word[at:at + step, None] * langs + np.arange(langs)
+            total += np.bincount(cell.ravel(), self.values[size].rows(place[at:at + step]).ravel(), n_words * langs)
+        return total.reshape(n_words, langs)
 
-    def predict(self, text: str | None) -> tuple[str, float, int]:
-        found = words(text) if text and self.langs else None
-        if not found:
-            return "und", 0.0, 0
-        if self.used > self.ROWS:
-            self.forget()
+    def score(self, word: str) -> tuple[np.ndarray, bool]:
+        row = self.rows_of([word])[0]
+        return row[:-1], bool(row[-1])
+
+    def predict_all(self, texts: Iterable[str | None]) -> Iterator[tuple[str, float, int]]:
+        """Language, score and evidence of each text. Words of several texts are scored together."""
+        held, n = [], 0
+        for text in texts:
+            held.append(words(text) if text and self.langs else Counter())
+            n += len(held[-1])
+            if n >= self.most // 4:
+                yield from self.predict_held(held)
+                held, n = [], 0
+        yield from self.predict_held(held)
+
+    def predict_held(self, held: list[Counter]) -> Iterator[tuple[str, float, int]]:
+        together = list(chain.from_iterable(held))
+        rows, at = self.rows_of(together) if together else None, 0
+        for found in held:
+            yield self.predict_words(found, rows[at:at + len(found)]) if found else ("und", 0.0, 0)
+            at += len(found)
+
+    def predict_words(self, found: Counter, rows: np.ndarray) -> tuple[str, float, int]:
         counts = np.fromiter(found.values(), np.float64, len(found))
-        rows = np.fromiter(map(self.row, found), np.int64, len(found))
-        sums = counts @ self.rows[rows]
+        sums = counts @ rows
         n = counts.sum()
         means = sums[:-1] / n
         best = int(np.argmin(means))
         odds = np.exp(-np.log(10) * (means - means[best]) * min(n, CERTAIN_WORDS))
         return self.langs[best], float(1 / odds.sum()), int(sums[-1])
 
+    def predict(self, text: str | None) -> tuple[str, float, int]:
+        return next(self.predict_all([text]))
+
 
 def predict(docs: DataFrame, model: dict, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """Per row: id, held_out, lang_pred, score (the share of the best language's odds), evidence."""
@@ -186,7 +256,7 @@ def predict(docs: DataFrame, model: dict, id_column: str = "doc_id", text_column
     def run(batches):
         scorer = Scorer(shared.value)
         for batch in batches:
-            found = [scorer.predict(text.as_py()) for text in batch.column(2)]
+            found = list(scorer.predict_all(text.as_py() for text in batch.column(2)))
             lang, score, evidence = zip(*found) if found else ((), (), ())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(lang, pa.string()), pa.array(score, pa.float64()),
@@ -209,7 +279,8 @@ def keep_identified(docs: DataFrame, model: dict, text_column: str = "text") ->
     def run(batches):
         scorer = Scorer(shared.value)
         for batch in batches:
-            kept = [scorer.predict(text.as_py())[2] > 0 for text in batch.column(batch.schema.get_field_index(text_column))]
+            texts = batch.column(batch.schema.get_field_index(text_column))
+            kept = [evidence > 0 for _, _, evidence in scorer.predict_all(text.as_py() for text in texts)]
             yield batch.filter(pa.array(kept, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
