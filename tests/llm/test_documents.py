@@ -7,6 +7,7 @@ import pickle
 import random
 import re
 import struct
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -242,6 +243,20 @@ def test_the_driver_makes_no_dictionary_of_grams(spark):
     assert not dictionaries(pickle.loads(pickle.dumps(model))["values"])
 
 
+def test_the_model_takes_few_bytes_a_gram_on_the_driver(spark):
+    word = "translate(cast(id * 20 + k as string), '0123456789', 'abcdefghij')"
+    docs = spark.range(3000).selectExpr("3 * id as doc_id", "'en' as lang", f"concat_ws(' ', transform(sequence(1, 20), k -> {word})) as text")
+    language_id.fit(docs.limit(30))  # what is imported and remembered on first use does not count
+    tracemalloc.start()
+    try:
+        model = language_id.fit(docs)
+        kept = tracemalloc.get_traced_memory()[0] + sum(of.grams.nbytes for of in model["values"].values())
+    finally:
+        tracemalloc.stop()
+    n_grams = sum(len(of.starts) - 1 for of in model["values"].values())
+    assert n_grams > 90_000 and kept < 50 * n_grams
+
+
 # Licences
 
 LICENCE_WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")

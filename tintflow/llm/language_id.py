@@ -148,6 +148,8 @@ def fit(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", l
         value = -np.log10(n_rows / np.bincount(rows, n_rows, len(langs))[rows])
         starts = np.searchsorted(place[by_gram], np.arange(len(grams_of_size) + 1))
         values[each] = Grams(len(langs), grams_of_size, starts, rows[by_gram].astype(np.int32), value[by_gram])
+    del counted, coded
+    pa.default_memory_pool().release_unused()  # what was gathered is not left with the driver beside the model
     return {"langs": langs, "values": values}
 
 
