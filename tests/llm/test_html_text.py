@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 
 from tintflow.llm import html_text, queries
@@ -105,3 +106,43 @@ def test_a_repeat_around_the_text_takes_nothing_of_it(spark):
     pages = [(n, "http://h/" + str(n), f"<p>{' '.join(f'w{n}x{i}' for i in range(20))}</p><footer>{'same words again ' * 4}</footer>") for n in range(3)]
     found = html_text.extract(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()
     assert {r["page_id"]: r["text"] for r in found} == {n: " ".join(f"w{n}x{i}" for i in range(20)) for n, *_ in pages}
+
+
+def test_runs_of_an_article_of_the_host_stay(spark):
+    passage, notice = " ".join(f"quoted{i}" for i in range(12)), " ".join(f"notice{i}" for i in range(12))
+    own = [" ".join(f"own{n}x{i}" for i in range(40)) for n in range(2)]
+    pages = [(n, f"http://h/{n}", f"<p>{own[n]}<p>{passage}<p>{notice}") for n in range(2)]
+    pages += [(2, "http://h/2", f"<article><p>before {passage} after</article>"), (3, "http://other/3", f"<main>{notice}</main>")]
+    found = html_text.extract(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()
+    assert {r["page_id"]: r["text"] for r in found} == {
+        0: f"{own[0]}\n{passage}", 1: f"{own[1]}\n{passage}", 2: f"before {passage} after", 3: notice}
+
+
+def test_loose_text_against_comparing_all_pages(spark):
+    draw, size = random.Random(11), html_text.LONG
+    runs = [" ".join(draw.choice("abcdefgh") for _ in range(10)) for _ in range(6)]
+
+    def part():
+        return " ".join(draw.choice([*runs, *(f"w{draw.randrange(10**9)}" for _ in range(6))]) for _ in range(9))
+    pages = [(n, f"h{n % 3}", draw.choice(["p", "p", "article"]), part(), part()) for n in range(30)]
+    found = html_text.extract(spark.createDataFrame(
+        [(n, f"http://{host}/{n}", f"<{tag}>{text}</{tag}><footer>{foot}</footer>") for n, host, tag, text, foot in pages],
+        "page_id long, url string, html string")).collect()
+
+    def windows(text):
+        tokens = text.split()
+        return [tuple(tokens[at:at + size]) for at in range(len(tokens) - size + 1)]
+    expected = {}
+    for n, host, tag, text, _ in pages:
+        same = [p for p in pages if p[1] == host]
+        held = {w for p in same if p[2] == "article" for w in windows(p[3])}
+        others = {w for p in same if p[0] != n for t in p[3:] if not (t is p[3] and p[2] == "article") for w in windows(t)}
+        covered = np.zeros(len(text.split()), bool)
+        for state, those in ((True, others), (False, held)):
+            for at, w in enumerate(windows(text)):
+                if w in those:
+                    covered[at:at + size] = state
+        gone = html_text.without_most(covered) if tag == "p" else np.zeros(len(covered), bool)
+        expected[n] = " ".join(t for t, g in zip(text.split(), gone) if not g)
+    assert {r["page_id"]: r["text"] for r in found} == expected
+    assert any(expected[n] != text for n, _, tag, text, _ in pages if tag == "p")
