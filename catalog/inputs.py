@@ -250,8 +250,8 @@ def event_pixels(spark, sf_dir):
     """Pixels of picture events: line items belong to the event their order's number points at, going round all events."""
     events = table(spark, sf_dir, "events")
     owners = events.selectExpr("event_id as seq", "user_id as video_key")
-    return table(spark, sf_dir, "lineitem").withColumn("seq", F.expr(f"l_orderkey % {max(events.count(), 1)}")).join(
-        owners, "seq").select("video_key", "seq", *map(F.expr, RGB))
+    items = table(spark, sf_dir, "lineitem").selectExpr(f"l_orderkey % {max(events.count(), 1)} as seq", *RGB)
+    return items.join(owners, "seq").select("video_key", "seq", "r", "g", "b")
 
 
 EVENT_PIXELS = ("event_pixels AS (SELECT user_id AS video_key, event_id AS seq, "

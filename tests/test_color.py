@@ -3,7 +3,7 @@ from collections import Counter
 
 import pytest
 
-from conftest import rows
+from conftest import plan, rows
 from tintflow import session
 from tintflow.functions.requests import accepted, validate_requests
 from tintflow.operators import color
@@ -191,3 +191,47 @@ def test_sizes_are_checked_when_called(spark, size):
     for call in (color.average_color, color.dominant_color, color.channel_histogram):
         with pytest.raises(ValueError, match="between 1 and 255"):
             call(pixels, size)
+
+
+@pytest.mark.parametrize("small_frame,is_small", [(0, True), (0, False), (64, True)])
+def test_small_and_large_frames_are_counted_alike(spark, monkeypatch, small_frame, is_small):
+    rng = random.Random(21)
+    sizes = [1, 2, 4, 12, 36, 3, 5, 7, 11, 13, 255]
+    frames = {(v, n): [(rng.randrange(256), rng.randrange(4) * 80, rng.choice([0, 7, 255])) for _ in range(rng.randrange(1, 9))]
+              for v, count in (("hot", 90), ("b", 2), ("c", 1)) for n in range(1, count + 1)}
+    pixels = spark.createDataFrame([(v, n, *p) for (v, n), ps in frames.items() for p in ps] + [("b", 1, None, 0, 0), ("b", 1, 0, 256, 0), (None, 1, 1, 1, 1)],
+                                   "video_key string, frame_index long, r int, g int, b int")
+    wanted = [(v, s, kind) for v in ("hot", "b", "none") for s in sizes for kind in ("average", "dominant") if v == "hot" or s % 2]
+    monkeypatch.setattr(color, "SMALL_FRAME", small_frame)
+    if not is_small:
+        monkeypatch.setattr(color, "is_small", lambda *_: False)
+    asked = spark.createDataFrame(wanted, "video_key string, bucket_size int, kind string")
+    assert color.are_small_frames(pixels)[0] == bool(small_frame)
+    for rounding, given in (("truncate", pixels), ("exact", color.weigh(pixels, color.FRAME))):
+        expected = [(v, n, s, kind, *(average(ps, s, rounding) if kind == "average" else dominant(ps, s)))
+                    for (v, n), ps in frames.items() for w, s, kind in wanted if v == w]
+        assert rows(color.requested_colors(given, asked, rounding=rounding), *color.FRAME, "bucket_size", "kind", "r", "g", "b") == sorted(expected, key=repr)
+
+
+def test_small_frames_store_no_more_rows_than_they_have_pixels(spark, monkeypatch):
+    pixels = spark.range(300).selectExpr("id div 3 % 5 as video_key", "id div 3 as frame_index", "cast(id % 256 as int) as r", "cast(id * 7 % 256 as int) as g", "5 as b")
+    asked = spark.sql("select v as video_key, cast(s as int) as bucket_size, k as kind from range(5) as t(v), range(1, 9) as u(s), (values ('average'), ('dominant')) as w(k)")
+    stored = []
+
+    def recorded(df):
+        found = session.staged(df)
+        stored.append(found.count())
+        return found
+    monkeypatch.setattr(color, "staged", recorded)
+    found = color.requested_colors(pixels, asked)
+    assert found.count() == 100 * 16 and max(stored) <= 300
+    exchanged = [line for line in plan(found).split("\n") if "Exchange hashpartitioning" in line]
+    assert sum("slot" in line or "bucket_size" in line for line in exchanged) == 0
+
+
+def test_hot_keys_are_those_of_a_plain_count(spark):
+    large = spark.range(3000).selectExpr("if(id % 3 = 0, null, if(id % 5 = 0, -1, id % 900)) as k", "id % 2 as m")
+    for keys, share in ((["k"], 8), (["k", "m"], 16), (["m"], 2), (["m"], 1)):
+        counts = large.groupBy(*keys).count().filter(f"count > {3000 / share}").select(*keys)
+        assert rows(session.hot_keys(large, keys, share), *keys) == rows(counts)
+    assert rows(session.hot_keys(large.filter("false"), ["k"], 8)) == []

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tintflow.functions.colour import LARGEST_BUCKET, SMALLEST_BUCKET, bucket_label, bucketize, valid_size
 from tintflow.schemas import require
-from tintflow.session import is_small, join_on_group, staged
+from tintflow.session import hot_keys, is_small, join_on_group, read_again, staged
 
 FRAME = ["video_key", "frame_index"]
 ROUNDINGS = ("truncate", "exact")
@@ -79,6 +79,13 @@ VALUES = (1 << SLOT_SHIFT) - 1
 FIRST_SIZES = 4
 # Counted levels of one task: each meets all its video's sizes there, and their buckets are to fit its memory.
 LEVELS_A_TASK = 200_000
+# Frames of this many rows on average, or fewer, have fewer colours than all their sizes have buckets.
+SMALL_FRAME = 64
+# Counted buckets of one task, where small frames are counted, and the pieces that a large video's frames are dealt over.
+BUCKETS_A_TASK = 1_000_000
+DEALT = 64
+# Hashes of frames that rows are counted by.
+HASHES = 4096
 # A size is at least twice its divisor, so chains up to 255 have fewer steps.
 CHAIN = 8
 
@@ -124,7 +131,7 @@ def _with_pixels(levels: DataFrame, *keys: str) -> DataFrame:
     return levels.withColumn("pixels", F.sum(of_red).over(Window.partitionBy(*keys)))
 
 
-def _averages(buckets: DataFrame, rounding: str) -> DataFrame:
+def _averages(buckets: DataFrame, rounding: str, frame=tuple(FRAME)) -> DataFrame:
     """Average colours from counted buckets (frame, bucket_size, pixels, slot, value, cnt).
 
     ``truncate`` drops the fraction of every bucket's contribution to an average, ``exact`` only that of the sum.
@@ -135,11 +142,11 @@ def _averages(buckets: DataFrame, rounding: str) -> DataFrame:
             return F.sum(F.call_function("div", part, F.col("pixels")))
         return F.call_function("div", F.sum(part), F.max("pixels"))
 
-    return buckets.groupBy(*FRAME, "bucket_size").agg(F.lit("average").alias("kind"), *[
+    return buckets.groupBy(*frame, "bucket_size").agg(F.lit("average").alias("kind"), *[
         average(slot).cast("int").alias(name) for slot, name in ((RED, "r"), (GREEN, "g"), (BLUE, "b"))])
 
 
-def _dominants(joint: DataFrame) -> DataFrame:
+def _dominants(joint: DataFrame, frame=tuple(FRAME)) -> DataFrame:
     """The most frequent joint bucket (frame, bucket_size, value, cnt); of equally frequent ones the greatest label in byte order.
 
     Count and place of the label make one number, so that its maximum is kept in place and one row per frame and size leaves a task.
@@ -149,9 +156,9 @@ def _dominants(joint: DataFrame) -> DataFrame:
         return [F.get(table, channel) for channel in _channels(value)]
 
     place = _pack(*looked_up(F.col("value"), PLACE_BY_TEXT)).cast("long")
-    top = joint.groupBy(*FRAME, "bucket_size").agg(
+    top = joint.groupBy(*frame, "bucket_size").agg(
         F.max(F.shiftleft(F.col("cnt").cast("long"), SLOT_SHIFT).bitwiseOR(place)).alias("top"))
-    return top.select(*FRAME, "bucket_size", F.lit("dominant").alias("kind"), *[
+    return top.select(*frame, "bucket_size", F.lit("dominant").alias("kind"), *[
         level.cast("int").alias(name) for name, level in zip("rgb", looked_up(F.col("top").bitwiseAND(F.lit(VALUES)), BY_TEXT))])
 
 
@@ -230,17 +237,62 @@ def count_observations(pixels: DataFrame, wanted: DataFrame, sizes: DataFrame, s
     return _counted(used.withColumn("seen", F.array(*levels, *joints)), pixel_weight(pixels))
 
 
+def are_small_frames(pixels: DataFrame) -> tuple[bool, int]:
+    """Whether frames have few rows on average and none has many, and the number of rows."""
+    sizes = pixels.groupBy(F.pmod(F.xxhash64(*FRAME), F.lit(HASHES)).alias("_bucket")).agg(
+        F.count(F.lit(1)).alias("rows"), F.approx_count_distinct(F.xxhash64(*FRAME)).alias("frames"))
+    rows, frames, most = sizes.agg(F.sum("rows"), F.sum("frames"), F.max("rows")).first()
+    return (rows or 0) <= SMALL_FRAME * (frames or 0) and (most or 0) <= max(LEVELS_A_TASK, (rows or 0) // DEALT), rows or 0
+
+
+def small_frame_colors(pixels: DataFrame, wanted: DataFrame, rows: int, *, rounding: str = "truncate") -> DataFrame:
+    """``requested_colors`` where frames have few pixels: their colours are exchanged, once, and all sizes counted where they lie.
+
+    A video's frames lie together, those of a video with more than one in ``DEALT`` of the rows in as many places.
+    """
+    video, frame = ["video_key", "_deal"], ["video_key", "_deal", "frame_index"]
+    of_kind = {"_averages": F.col("kind") == "average", "_dominants": F.col("kind") != "average"}
+    per_video = wanted.groupBy("video_key").agg(*[
+        F.collect_set(F.when(which, F.col("bucket_size"))).alias(name) for name, which in of_kind.items()])
+    pairs = wanted.count() // max(1, wanted.select("video_key").distinct().count()) + 1
+    parts = -(-3 * rows * pairs // BUCKETS_A_TASK) or 1
+
+    weight = F.col("weight") if "weight" in pixels.columns else F.lit(1).cast("long")
+    colors = usable_pixels(pixels).select(*FRAME, _pack(*map(F.col, "rgb")).alias("value"), weight.alias("cnt"))
+    hot = F.broadcast(hot_keys(colors, ["video_key"], DEALT))
+    deal = F.pmod(F.xxhash64("frame_index"), F.lit(DEALT)).cast("int")
+    every = F.sequence(F.lit(0), F.lit(DEALT - 1))
+    dealt = colors.join(hot, "video_key", "left").withColumn("_deal", F.when(F.col("_hot"), deal).otherwise(0)).drop("_hot")
+    repeated = per_video.join(hot, "video_key", "left").withColumn(
+        "_deal", F.explode(F.when(F.col("_hot"), every).otherwise(F.array(F.lit(0))))).drop("_hot")
+    asked = dealt.repartition(parts, *video).join(repeated.repartition(parts, *video), video)
+
+    levels = (asked.withColumn("pixels", F.sum("cnt").over(Window.partitionBy(*frame)))
+              .select(*frame, "value", "cnt", "pixels", F.explode("_averages").alias("bucket_size"))
+              .select(*frame, "bucket_size", "pixels", "cnt", F.posexplode(F.array(*_channels(F.col("value")))).alias("slot", "level")))
+    buckets = (levels.groupBy(*frame, "bucket_size", "pixels", "slot", bucketize("level", "bucket_size").alias("value"))
+               .agg(F.sum("cnt").alias("cnt")))
+    joint = (asked.select(*frame, "value", "cnt", F.explode("_dominants").alias("bucket_size"))
+             .groupBy(*frame, "bucket_size", _cut(_channels(F.col("value")), F.col("bucket_size")).alias("value")).agg(F.sum("cnt").alias("cnt")))
+    return _averages(buckets, rounding, frame).unionByName(_dominants(joint, frame)).drop("_deal")
+
+
 def requested_colors(pixels: DataFrame, requests: DataFrame, *, rounding: str = "truncate") -> DataFrame:
     """Colours of the requested videos' frames, for each (bucket size, kind) asked of their video.
 
     The pixels are read and counted once: levels per channel (at most 768 rows a frame, which serve the averages of all
     sizes) and joint buckets of the sizes that no other asked size divides, cut before anything is exchanged. The counts are
     staged. A frame's levels come together once and give all its averages; every other size is counted from the buckets
-    of its largest divisor, step by step. Sizes outside 1..255 get no colour.
+    of its largest divisor, step by step. Frames of few pixels have fewer colours than that, and take ``small_frame_colors``.
+    Sizes outside 1..255 get no colour.
     """
     _valid_rounding(rounding)
     asked = ["video_key", "bucket_size", "kind"]
     wanted = staged(requests.filter(F.col("bucket_size").between(SMALLEST_BUCKET, LARGEST_BUCKET)).select(*asked).distinct())
+    pixels = read_again(pixels)
+    few, rows = are_small_frames(pixels)
+    if few:
+        return small_frame_colors(pixels, wanted, rows, rounding=rounding)
     small = is_small(wanted)
     sizes = staged(derived_sizes(wanted))
     per_video = sizes.groupBy("video_key").agg(F.max("step").alias("steps"), F.max(~F.col("asked")).alias("added"),

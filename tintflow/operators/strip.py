@@ -13,13 +13,14 @@ STRIP = ["video_key", "bucket_size", "kind"]
 def color_strip(frames: DataFrame, keys=tuple(STRIP), *, chunks: int | None = None) -> DataFrame:
     """Columns of each strip: complete frames in frame order, then a black one per incomplete frame."""
     keys = list(keys)
-    marked = frames.withColumn("_blank", ~has_all_channels())
+    blank = ~has_all_channels()
+    marked = frames.select(*keys, "frame_index", blank.alias("_blank"), F.when(blank, F.lit(0)).otherwise(pack_rgb()).alias("rgb"))
     after = F.col("frame_index").cast("long") + F.when(F.col("_blank"), F.lit(1 << 61)).otherwise(0)
     numbered = number_rows(marked, keys, ["_blank", "frame_index"], number="_n", total="width", along=after, chunks=chunks)
     return numbered.select(
         *keys,
         (F.col("_n") - 1).alias("x"),
-        F.when(F.col("_blank"), F.lit(0)).otherwise(pack_rgb()).alias("rgb"),
+        "rgb",
         "width",
         F.greatest(F.lit(1).cast("long"), F.expr("width div 4")).alias("height"),
     )
